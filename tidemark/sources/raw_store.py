@@ -2,8 +2,8 @@
 
 A table is the set of its committed loads. Each load is written to a folder of
 its own and becomes visible when its row is added to the load record, so a job
-that dies half way leaves no partial rows, and running a load again under the
-same id replaces what the first try wrote.
+that dies half way leaves no partial rows. A load that is run again under the
+same id overwrites what an unfinished try wrote and skips what is committed.
 """
 
 from __future__ import annotations
@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.sources.nested import ROW_ID
+from tidemark.sources.nested import PARENT_ID, ROW_ID
 
 LOAD_ID = "_load_id"
 
 _LOADS = (
-    "table_name string, load_id string, seq bigint, disposition string, path string, "
+    "resource string, table_name string, load_id string, seq bigint, disposition string, "
+    "path string, "
     "n_rows bigint, cursor_max string, table_schema string, committed_at timestamp"
 )
 
@@ -45,14 +46,15 @@ class RawStore:
             raise
         latest = {}
         for row in sorted(rows, key=lambda r: (r.seq, r.committed_at)):
-            latest[row.table_name, row.load_id] = row
+            latest[row.resource, row.table_name, row.load_id] = row
         return [r for r in latest.values() if table in (None, r.table_name)]
 
     def _current(self, table: str) -> list[Row]:
         """Loads a reader sees: everything since the last replace."""
-        loads = sorted(self.loads(table), key=lambda r: r.seq)
-        starts = [i for i, r in enumerate(loads) if r.disposition == "replace"]
-        return loads[starts[-1] :] if starts else loads
+        return _since_replace(self.loads(table))
+
+    def committed(self, resource: str, table: str, load_id: str) -> bool:
+        return any(r.resource == resource and r.load_id == load_id for r in self.loads(table))
 
     def commit(self, entries: Sequence[dict]) -> None:
         known = self.loads()
@@ -85,18 +87,60 @@ class RawStore:
         schema = T.StructType.fromJson(json.loads(loads[-1].table_schema))
         return self.spark.read.schema(schema).parquet(*[r.path for r in loads])
 
-    def high_water_mark(self, table: str) -> str | None:
+    def high_water_mark(self, resource: str) -> str | None:
         """Greatest cursor loaded so far, as text; ISO order is text order."""
-        return max((r.cursor_max for r in self._current(table) if r.cursor_max), default=None)
+        marks = (r.cursor_max for r in self._resource_loads(resource))
+        return max(marks, default=None)
+
+    def _resource_loads(self, resource: str) -> list[Row]:
+        """Visible loads of a resource that carry its cursor, over all its tables."""
+        tables = {r.table_name for r in self.loads() if r.resource == resource}
+        visible = [r for t in sorted(tables) for r in self._current(t)]
+        return [r for r in visible if r.resource == resource and r.cursor_max]
+
+    def unseen(
+        self, resource: str, df: DataFrame, cursor: str, load_id: str | None = None
+    ) -> DataFrame:
+        """Rows at or after the high-water mark that are not stored yet.
+
+        Rows equal to the mark may be new or seen before; the stored rows at that
+        one cursor value tell them apart by content. Rows of load ``load_id``
+        itself do not count as stored, for a load that is run again.
+        """
+        loads = [r for r in self._resource_loads(resource) if r.load_id != load_id]
+        if not loads:
+            return df
+        kind = df.schema[cursor].dataType
+        low = F.lit(max(r.cursor_max for r in loads)).cast(kind)
+        keys = T.StructType([T.StructField(ROW_ID, T.StringType()), T.StructField(cursor, kind)])
+        stored = self.spark.read.schema(keys).parquet(*[r.path for r in loads])
+        seen = stored.filter(F.col(cursor) == low).select(ROW_ID).distinct()
+        newer = df.filter(F.col(cursor) > low)
+        at_mark = df.filter(F.col(cursor) == low).join(seen, ROW_ID, "left_anti")
+        return newer.unionByName(at_mark.select(*df.columns))
 
     # --- writing ---------------------------------------------------------
 
-    def append(self, table: str, df: DataFrame, load_id: str, cursor: str | None = None) -> None:
-        self._write(table, df, load_id, "append", cursor)
+    def append(
+        self,
+        table: str,
+        df: DataFrame,
+        load_id: str,
+        cursor: str | None = None,
+        resource: str | None = None,
+    ) -> None:
+        self._write(table, df, load_id, "append", cursor, resource)
 
-    def replace(self, table: str, df: DataFrame, load_id: str, cursor: str | None = None) -> None:
+    def replace(
+        self,
+        table: str,
+        df: DataFrame,
+        load_id: str,
+        cursor: str | None = None,
+        resource: str | None = None,
+    ) -> None:
         """Full refresh: readers switch to this load alone, and the cursor starts over."""
-        self._write(table, df, load_id, "replace", cursor)
+        self._write(table, df, load_id, "replace", cursor, resource)
 
     def merge(
         self,
@@ -105,6 +149,7 @@ class RawStore:
         load_id: str,
         keys: Sequence[str],
         order_by: Sequence[str] = (),
+        resource: str | None = None,
     ) -> None:
         """Upsert: incoming rows replace stored rows of the same key.
 
@@ -112,43 +157,70 @@ class RawStore:
         to broadcast the table is not shuffled. The result is a new load; what it
         is read from stays in place until ``vacuum``.
         """
-        incoming = latest_per_key(df, keys, order_by)
-        loads = [r for r in self._current(table) if r.load_id != load_id]
-        if loads:
-            schema = T.StructType.fromJson(json.loads(loads[-1].table_schema))
-            stored = self.spark.read.schema(schema).parquet(*[r.path for r in loads])
-            incoming = self._evolve(incoming, schema)
-            untouched = stored.join(incoming.select(*keys), list(keys), "left_anti")
-            incoming = untouched.unionByName(incoming, allowMissingColumns=True)
-        self._write(table, incoming, load_id, "replace", None)
+        merged = latest_per_key(df, keys, order_by or keys)
+        schema, stored = self._before(table, load_id, resource or table)
+        if stored is not None:
+            merged = self._evolve(merged, schema)
+            untouched = stored.join(merged.select(*keys), list(keys), "left_anti")
+            merged = untouched.unionByName(merged, allowMissingColumns=True)
+        self._write(table, merged, load_id, "replace", None, resource)
+
+    def merge_children(
+        self, table: str, df: DataFrame, load_id: str, parent: str, resource: str | None = None
+    ) -> None:
+        """Child rows after their parents were merged: those of surviving parents."""
+        alive = self.read(parent).select(F.col(ROW_ID).alias(PARENT_ID)).distinct()
+        children = df.join(alive, PARENT_ID, "left_semi")
+        schema, stored = self._before(table, load_id, resource or table)
+        if stored is not None:
+            children = self._evolve(children, schema)
+            known = stored.select(PARENT_ID).distinct()
+            children = children.join(known, PARENT_ID, "left_anti")
+            kept = stored.join(alive, PARENT_ID, "left_semi")
+            children = kept.unionByName(children, allowMissingColumns=True)
+        self._write(table, children.distinct(), load_id, "replace", None, resource)
+
+    def _before(
+        self, table: str, load_id: str, resource: str
+    ) -> tuple[T.StructType | None, DataFrame | None]:
+        """The table without this load of this resource, for a repeatable merge."""
+        mine = (resource, load_id)
+        loads = _since_replace([r for r in self.loads(table) if (r.resource, r.load_id) != mine])
+        if not loads:
+            return None, None
+        schema = T.StructType.fromJson(json.loads(loads[-1].table_schema))
+        return schema, self.spark.read.schema(schema).parquet(*[r.path for r in loads])
 
     def _write(
-        self, table: str, df: DataFrame, load_id: str, disposition: str, cursor: str | None
+        self,
+        table: str,
+        df: DataFrame,
+        load_id: str,
+        disposition: str,
+        cursor: str | None,
+        resource: str | None,
     ) -> None:
+        resource = resource or table
+        if self.committed(resource, table, load_id):
+            return
         old = self.schema(table) if disposition == "append" else None
         df = self._evolve(df, old)
-        path = f"{self.root}/{table}/{load_id}"
+        path = f"{self.root}/{table}/{resource}/{load_id}"
         df.write.mode("overwrite").parquet(path)
         written = self.spark.read.schema(df.schema).parquet(path)
-        cursor_max = F.max(cursor) if cursor else F.lit(None)
-        facts = written.agg(F.count("*").alias("n"), cursor_max.cast("string").alias("top"))
-        top = facts.first()
-        self.commit(
-            [
-                {
-                    "table_name": table,
-                    "load_id": load_id,
-                    "disposition": disposition,
-                    "path": path,
-                    "n_rows": top.n,
-                    "cursor_max": top.top,
-                    "table_schema": json.dumps(merged_schema(old, df.schema).jsonValue()),
-                }
-            ]
-        )
+        top = F.max(cursor).cast("string") if cursor else F.lit(None).cast("string")
+        facts = written.agg(F.count("*").alias("n_rows"), top.alias("cursor_max")).first()
+        entry = self._entry(resource, table, load_id, disposition, path, facts)
+        self.commit([{**entry, "table_schema": _schema_text(old, df.schema)}])
 
     def append_routed(
-        self, df: DataFrame, target: str, load_id: str, cursor: str | None, disposition: str
+        self,
+        df: DataFrame,
+        target: str,
+        load_id: str,
+        cursor: str | None,
+        disposition: str,
+        resource: str,
     ) -> None:
         """Write rows to the table named in column ``target``.
 
@@ -156,49 +228,41 @@ class RawStore:
         shuffle, so a target with most of the rows is written by many tasks). A
         target's schema holds the columns that have a value in it.
         """
-        base = f"{self.root}/_routed/{load_id}"
+        base = f"{self.root}/_routed/{resource}/{load_id}"
         df.write.mode("overwrite").partitionBy(target).parquet(base)
-        written = self.spark.read.parquet(base)
+        written = self.spark.read.schema(df.schema).parquet(base)
         columns = [f for f in df.schema.fields if f.name != target]
         filled = [F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(columns)]
-        top = F.max(cursor) if cursor else F.lit(None)
-        facts = written.groupBy(F.col(target).cast("string").alias(target)).agg(
-            F.count("*").alias("n"), top.cast("string").alias("top"), *filled
+        top = F.max(cursor).cast("string") if cursor else F.lit(None).cast("string")
+        facts = written.groupBy(target).agg(
+            F.count("*").alias("n_rows"), top.alias("cursor_max"), *filled
         )
         entries = []
         for row in facts.collect():  # one row per target table
             table = row[target]
+            if self.committed(resource, table, load_id):
+                continue
             old = self.schema(table) if disposition == "append" else None
             own = T.StructType([f for i, f in enumerate(columns) if row[f"c{i}"]])
-            entries.append(
-                {
-                    "table_name": table,
-                    "load_id": load_id,
-                    "disposition": disposition,
-                    "path": f"{base}/{target}={table}",
-                    "n_rows": row.n,
-                    "cursor_max": row.top,
-                    "table_schema": json.dumps(merged_schema(old, own).jsonValue()),
-                }
-            )
+            path = f"{base}/{target}={table}"
+            entry = self._entry(resource, table, load_id, disposition, path, row)
+            entries.append({**entry, "table_schema": _schema_text(old, own)})
         if entries:
             self.commit(entries)
 
-    def unseen(self, table: str, df: DataFrame, cursor: str) -> DataFrame:
-        """Rows at or after the high-water mark that are not stored yet.
-
-        Rows equal to the mark may be new or seen before; the stored rows at that
-        one cursor value tell them apart by content.
-        """
-        mark = self.high_water_mark(table)
-        if mark is None:
-            return df
-        kind = df.schema[cursor].dataType
-        low = F.lit(mark).cast(kind)
-        seen = self.read(table).filter(F.col(cursor) == low).select(ROW_ID).distinct()
-        newer = df.filter(F.col(cursor) > low)
-        at_mark = df.filter(F.col(cursor) == low).join(seen, ROW_ID, "left_anti")
-        return newer.unionByName(at_mark)
+    @staticmethod
+    def _entry(
+        resource: str, table: str, load_id: str, disposition: str, path: str, facts: Row
+    ) -> dict:
+        return {
+            "resource": resource,
+            "table_name": table,
+            "load_id": load_id,
+            "disposition": disposition,
+            "path": path,
+            "n_rows": facts.n_rows,
+            "cursor_max": facts.cursor_max,
+        }
 
     @staticmethod
     def _evolve(df: DataFrame, old: T.StructType | None) -> DataFrame:
@@ -215,17 +279,26 @@ class RawStore:
         """Delete the folders of loads no reader sees any more."""
         current = {r.path for r in self._current(table)}
         stale = [r.path for r in self.loads(table) if r.path not in current]
-        jvm = self.spark._jvm
         conf = self.spark._jsc.hadoopConfiguration()
         for path in stale:
-            hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
         return stale
 
 
+def _since_replace(loads: Sequence[Row]) -> list[Row]:
+    ordered = sorted(loads, key=lambda r: r.seq)
+    starts = [i for i, r in enumerate(ordered) if r.disposition == "replace"]
+    return ordered[starts[-1] :] if starts else ordered
+
+
 def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     """Old columns first, then new ones; all nullable."""
     fields = {f.name: f for f in (old.fields if old else [])}
     for f in new.fields:
         fields.setdefault(f.name, f)
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields.values()])
+
+
+def _schema_text(old: T.StructType | None, new: T.StructType) -> str:
+    return json.dumps(merged_schema(old, new).jsonValue())
