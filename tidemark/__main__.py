@@ -5,8 +5,8 @@ from __future__ import annotations
 import argparse
 from datetime import UTC, datetime
 
-from tidemark.plans.build import all_passed, build, check_report, publish, raw_tables
-from tidemark.session import get_session
+from tidemark.plans.build import all_passed, check_report, publish, raw_tables, write_models
+from tidemark.session import get_session, shared_dir
 from tidemark.sources.load import load_resource
 from tidemark.sources.pages import BASE_DATE
 from tidemark.sources.raw_store import RawStore
@@ -48,7 +48,7 @@ def main() -> int:
     if args.job == "build":
         publish(spark, raw, args.database)
         return 0
-    results = check_report(raw, build(raw)).cache()
+    results = check_report(raw, write_models(raw, shared_dir(spark, "models"))).cache()
     results.show(1000, truncate=False)
     return 0 if all_passed(results) else 1
 

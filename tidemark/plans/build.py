@@ -183,6 +183,18 @@ def _save(
     return spark.table(table).select(*df.columns)
 
 
+def write_models(
+    raw: Mapping[str, DataFrame], folder: str, names: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """Every model written once and read back, so that many checks can share it."""
+    frames: dict[str, DataFrame] = dict(raw)
+    for name in names or MODELS:
+        df = MODELS[name].build(*[frames[i] for i in MODELS[name].inputs])
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        frames[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+    return {n: frames[n] for n in (names or MODELS)}
+
+
 def check_report(raw: Mapping[str, DataFrame], models: Mapping[str, DataFrame]) -> DataFrame:
     """Result of every declared check on the tables and models at hand."""
     tables = {**raw, **models}

@@ -17,12 +17,7 @@ from tidemark.operators.quality import (
     relationships,
     unique,
 )
-from tidemark.sources.schemas import (
-    DAILY_FLAGS,
-    MONTHLY_FLAGS,
-    RAW_TABLES,
-    schema_of,
-)
+from tidemark.sources.schemas import DAILY_FLAGS, MONTHLY_FLAGS, column_names
 
 FIRST = datetime(2020, 1, 1)
 LAST = datetime(2030, 12, 31)
@@ -123,7 +118,7 @@ MODEL_CHECKS: dict[str, list[Check]] = {
 
 
 def _raw_columns(table: str, *optional: str) -> list[str]:
-    return [f.name for f in schema_of(RAW_TABLES[table]).fields if f.name not in optional]
+    return [c for c in column_names(table) if c not in optional]
 
 
 _DAILY = "notion__data_source_daily_habits"

@@ -87,6 +87,11 @@ RAW_TABLES: dict[str, str] = {
 }
 
 
+def column_names(table: str) -> list[str]:
+    """Column names of a raw table, without a session to parse the types."""
+    return [column.split()[0] for column in RAW_TABLES[table].split(", ")]
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """The declared columns of a raw table; columns it lacks are null."""
     have = set(df.columns)
