@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import hashlib
+from datetime import date, datetime
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidemark.functions import (
+    completion_rate,
+    cursor_day,
+    date_prefix,
+    epoch_ms,
+    epoch_ms_to_iso,
+    from_epoch_ms,
+    int_from_text,
+    json_length,
+    json_value,
+    last_char_as_int,
+    safe_cast,
+    snake_key,
+    surrogate_key,
+    trunc_date,
+)
+
+
+def one(spark, column, **values):
+    frame = spark.createDataFrame([tuple(values.values()) or (0,)], _ddl(values))
+    return frame.select(column).first()[0]
+
+
+def _ddl(values):
+    kinds = {int: "bigint", str: "string", float: "double", datetime: "timestamp", date: "date"}
+    pairs = [f"{k} {kinds.get(type(v), 'string')}" for k, v in values.items()]
+    return ", ".join(pairs) or "z int"
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def test_surrogate_key_marks_nulls_and_takes_literals(spark):
+    expected = md5("7-_dbt_utils_surrogate_key_null_-x")
+    assert one(spark, surrogate_key("a", "b", F.lit("x")), a=7, b=None) == expected
+    assert one(spark, surrogate_key("a"), a=7) == md5("7")
+
+
+def test_safe_casts(spark):
+    assert one(spark, safe_cast("a", "int"), a="12") == 12
+    assert one(spark, safe_cast("a", "int"), a="x") is None
+    assert one(spark, int_from_text("a"), a="20") == 20
+    assert one(spark, int_from_text("a"), a="20.0") == 20
+    assert one(spark, int_from_text("a"), a="many") is None
+
+
+def test_last_char(spark):
+    found = [
+        one(spark, last_char_as_int("a"), a=v) for v in ("tier_1", "tier_3", "tier_x", "", None)
+    ]
+    assert found == [1, 3, None, None, None]
+
+
+def test_json(spark):
+    assert one(spark, json_value("a", "$.number"), a='{"number": 20.0}') == "20.0"
+    assert one(spark, json_value("a", "$.number"), a='{"number": null}') is None
+    assert one(spark, json_value("a", "$.number"), a="{broken") is None
+    lengths = [one(spark, json_length("a"), a=v) for v in ("[]", "[1,2]", "{}", None)]
+    assert lengths == [0, 2, None, None]
+
+
+def test_dates(spark):
+    sunday, monday = date(2023, 1, 8), date(2023, 1, 9)
+    assert one(spark, trunc_date("week", "a"), a=sunday) == date(2023, 1, 2)
+    assert one(spark, trunc_date("week", "a"), a=monday) == monday
+    assert one(spark, trunc_date("day", "a"), a=sunday) == sunday
+    assert one(spark, trunc_date("month", "a"), a=datetime(2023, 3, 9, 1)) == date(2023, 3, 1)
+    assert one(spark, date_prefix("a"), a="2025-01-24T23:30:00-11:00") == date(2025, 1, 24)
+    assert one(spark, date_prefix("a"), a="soon") is None
+
+
+def test_epoch(spark):
+    assert one(spark, epoch_ms("a"), a="2023-01-15T10:30:00Z") == 1673778600000
+    assert one(spark, epoch_ms("a"), a="2025-08-16T22:16:41.217Z") == 1755382601217
+    assert one(spark, epoch_ms_to_iso("a"), a=1735789600000) == "2025-01-02T03:46:40+00:00"
+    assert one(spark, epoch_ms_to_iso("a"), a=1755382601217) == "2025-08-16T22:16:41.217000+00:00"
+    assert one(spark, cursor_day("a"), a="2024-06-05T10:00:00.000Z") == "2024-06-05"
+    at = one(spark, from_epoch_ms("a").cast("string"), a=1673778600000)
+    assert at == "2023-01-15 10:30:00"
+
+
+def test_rate(spark):
+    assert one(spark, completion_rate("a", "b"), a=2, b=3) == 0.6667
+    assert one(spark, completion_rate("a", "b"), a=0, b=0) is None
+
+
+def test_snake_key(spark):
+    assert one(spark, snake_key("a"), a="Read The Bible") == "read_the_bible"
+    assert rows(spark.range(1).select(snake_key(F.lit(None).cast("string")))) == [(None,)]

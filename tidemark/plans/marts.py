@@ -141,7 +141,11 @@ def habits_metrics(
     """
     known = habits.filter(F.col("is_complete").isNotNull())
     done = F.when(F.col("is_complete"), 1).otherwise(0)
-    is_meeting = F.col("habit").isin(*MEETING_HABITS)
+    # Written as comparisons, not as a list, so that Spark can see that no meeting
+    # passes the second one and leaves the meetings out of that branch.
+    one_to_one, group = MEETING_HABITS
+    is_meeting = (F.col("habit") == one_to_one) | (F.col("habit") == group)
+    no_meeting = (F.col("habit") != one_to_one) & (F.col("habit") != group)
 
     by_week = (
         known.filter(F.col("habit_period") == "day")
@@ -163,7 +167,8 @@ def habits_metrics(
         )
 
     week_start = trunc_date("week", "habit_date") if align_weeks else F.col("habit_date")
-    weekly = single(known.filter((F.col("habit_period") == "week") & ~is_meeting), week_start, "week")
+    weekly_rows = known.filter((F.col("habit_period") == "week") & no_meeting)
+    weekly = single(weekly_rows, week_start, "week")
     monthly = single(known.filter(F.col("habit_period") == "month"), F.col("habit_date"), "month")
 
     thresholds = reference.select(F.col("habit_key").alias("habit"), "threshold")

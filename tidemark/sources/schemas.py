@@ -6,7 +6,6 @@ All names below are fixed values: they follow from the API field names.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -87,16 +86,21 @@ RAW_TABLES: dict[str, str] = {
 }
 
 
+def columns_of(table: str) -> list[tuple[str, str]]:
+    """Name and type of each column of a raw table, without a session to parse them."""
+    return [tuple(column.split(" ", 1)) for column in RAW_TABLES[table].split(", ")]
+
+
 def column_names(table: str) -> list[str]:
-    """Column names of a raw table, without a session to parse the types."""
-    return [column.split()[0] for column in RAW_TABLES[table].split(", ")]
+    return [name for name, _ in columns_of(table)]
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """The declared columns of a raw table; columns it lacks are null."""
     have = set(df.columns)
-    columns = [
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema_of(RAW_TABLES[table]).fields
-    ]
-    return df.select(*columns)
+    return df.selectExpr(
+        *[
+            f"cast({name if name in have else 'null'} as {kind}) as {name}"
+            for name, kind in columns_of(table)
+        ]
+    )

@@ -9,6 +9,7 @@ Nulls, ties, unknown ids and duplicates are put in on purpose.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SPARK_VERSIONS = "LATERAL VIEW explode(array(0, 1)) versions AS v"
 DUCKDB_VERSIONS = "CROSS JOIN (SELECT unnest([0, 1]) AS v) versions"
@@ -177,8 +178,15 @@ GIVEN = (
 )
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
