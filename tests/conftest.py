@@ -33,10 +33,10 @@ def spark(tmp_path_factory):
 def land(tmp_path):
     """Write landed pages: ``land(resource, page, number)``; returns the folder."""
 
-    def write(resource: str, page: dict, number: int = 1) -> str:
+    def write(resource: str, page: dict, number: int = 1, indent: int | None = None) -> str:
         folder = tmp_path / "landing" / resource
         folder.mkdir(parents=True, exist_ok=True)
-        (folder / f"page{number}.json").write_text(json.dumps(page, indent=2))
+        (folder / f"page{number}.json").write_text(json.dumps(page, indent=indent, separators=None if indent else (",", ":")))
         return str(folder)
 
     return write

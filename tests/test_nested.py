@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidemark.sources.nested import exclude_fields, flatten, snake_case
+from tidemark.sources.pages import page_records, project_properties
+from tidemark.sources.resources import NOTES_EXCLUDED
+from tidemark.sources.schemas import schema_of
+
+PAGE = """
+{"object": "page", "id": "p1",
+ "parent": {"type": "data_source_id", "data_source_id": "d1"},
+ "created_by": {"object": "user", "id": "u1"},
+ "properties": {
+   "Name": {"id": "title", "type": "title",
+            "title": [{"type": "text", "annotations": {"bold": true},
+                       "text": {"content": "Run", "link": null}}]},
+   "Links": {"id": "r", "type": "relation", "relation": [{"id": "keep me"}], "has_more": false},
+   "Type": {"id": "t", "type": "select", "select": {"id": "s", "name": "Tickbox"}},
+   "Only": {"id": "x", "type": "empty"}}}
+"""
+
+
+@pytest.fixture(scope="module")
+def page(spark):
+    return spark.read.json(spark.sparkContext.parallelize([PAGE.replace("\n", " ")]))
+
+
+def test_snake_case():
+    names = ["startTime", "Read Bible", "hs_meeting_body", "minutesInHeartRateZones", "logId", "URLPath"]
+    assert [snake_case(n) for n in names] == [
+        "start_time", "read_bible", "hs_meeting_body", "minutes_in_heart_rate_zones", "log_id", "url_path",
+    ]
+
+
+def test_exclude_fields(page):
+    pruned = exclude_fields(page, NOTES_EXCLUDED)
+    text = pruned.schema.simpleString()
+    assert "object" not in text and "type:" not in text and "annotations" not in text
+    assert "has_more" not in text and "Only" not in text  # nothing was left of it
+    record = pruned.select(F.to_json(F.struct("*"))).first()[0]
+    assert '"id":"p1"' in record  # the page id is no property id
+    assert '"relation":[{"id":"keep me"}]' in record  # nor is that of a linked page
+    assert '"select":{"id":"s","name":"Tickbox"}' in record  # two levels below
+    assert '"created_by":{"id":"u1"}' in record
+
+
+def test_exclude_keeps_null_objects_null(spark):
+    df = spark.createDataFrame([(1, None), (2, ("x", "y"))], "id int, o struct<type: string, v: string>")
+    pruned = exclude_fields(df, ["$..type"])
+    assert rows(pruned.select("id", F.col("o").isNull())) == [(1, True), (2, False)]
+
+
+def test_exclude_whole_top_level_field(page):
+    assert "properties" not in exclude_fields(page, ["$.properties"]).columns
+
+
+def test_flatten_stops_at_the_limit(page):
+    root, children = flatten(exclude_fields(page, NOTES_EXCLUDED), max_nesting=2)
+    assert children == {}
+    record = root.first().asDict()
+    assert record["parent__data_source_id"] == "d1"
+    assert record["properties__type__select"] == '{"id":"s","name":"Tickbox"}'
+    assert record["properties__name__title"] == '[{"text":{"content":"Run"}}]'
+
+
+def test_flatten_lists_become_child_tables(spark):
+    text = '{"id": 1, "label": {"one": "a"}, "tags": ["x", "y"], "fields": [{"n": 1, "opts": [{"v": 2}]}]}'
+    df = spark.read.json(spark.sparkContext.parallelize([text]))
+    root, children = flatten(df)
+    assert sorted(children) == ["fields", "fields__opts", "tags"]
+    parent = root.first()["_row_id"]
+    assert rows(children["tags"], "_parent_id", "_list_idx", "value") == [
+        (parent, 0, "x"), (parent, 1, "y"),
+    ]
+    child = children["fields"].first()
+    assert child["_parent_id"] == parent and child["n"] == 1
+    assert rows(children["fields__opts"], "_parent_id", "v") == [(child["_row_id"], 2)]
+    root, children = flatten(df, max_nesting=1, json_columns=["tags"])
+    assert root.first()["tags"] == '["x","y"]'
+    assert children["fields"].first()["opts"] == '[{"v":2}]'
+
+
+def test_properties_as_text_or_object(spark):
+    as_text = spark.createDataFrame([('{"a": "1", "b": "2", "c": "3"}',), (None,)], "properties string")
+    flat, _ = flatten(project_properties(as_text, "properties", ["a", "z"]))
+    assert rows(flat) == [("1", None), (None, None)]
+    as_object = spark.sql("select named_struct('a', '1', 'b', '2') as properties")
+    flat, _ = flatten(project_properties(as_object, "properties", ["a", "z"]))
+    assert rows(flat) == [("1", None)]
+
+
+def test_page_records(spark):
+    record = schema_of("id string")
+    df = spark.createDataFrame([('{"results": [{"id": "1"}, {"id": "2"}]}',), ('{"results": []}',)], "p string")
+    assert rows(page_records(df, "p", record, "results")) == [("1",), ("2",)]
+    whole = spark.createDataFrame([('{"id": "7"}',)], "p string")
+    assert rows(page_records(whole, "p", record, "$")) == [("7",)]
+    broken = spark.createDataFrame([('{"id": ',)], "p string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        page_records(broken, "p", record, "$").collect()

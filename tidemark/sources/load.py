@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,6 +93,7 @@ def load_records(
     ``full_refresh`` replaces the tables; otherwise the resource's own handling
     applies, and with ``incremental`` only records from the high-water mark on.
     """
+    store.refresh()
     cursor = _cursor_field(resource)
     records = records.withColumn(ROW_ID, row_hash(records.schema))
     if cursor:
@@ -152,9 +154,16 @@ def load_resource(
     load_id: str,
     multiline: bool = True,
     **options: Any,
-) -> None:
-    records = landed_records(store.spark, resource, path, multiline)
+) -> bool:
+    """Load the pages of a folder; False if there is no such folder."""
+    try:
+        records = landed_records(store.spark, resource, path, multiline)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return False
+        raise
     load_records(store, resource, records, load_id, **options)
+    return True
 
 
 def load_all(
@@ -164,6 +173,6 @@ def load_all(
     load_id: str,
     **options: Any,
 ) -> None:
-    """Load every resource whose pages lie in ``landing/<resource name>/``."""
+    """Load every resource that has pages in ``landing/<resource name>/``."""
     for resource in resources:
         load_resource(store, resource, f"{landing}/{resource.name}", load_id, **options)

@@ -33,21 +33,30 @@ class RawStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: list[Row] | None = None
 
     # --- record of loads -------------------------------------------------
 
     def loads(self, table: str | None = None) -> list[Row]:
         """Committed loads in order. One small row per load, never data."""
+        if self._known is None:
+            self._known = self._read_loads()
+        latest = {}
+        for row in sorted(self._known, key=lambda r: (r.seq, r.committed_at)):
+            latest[row.resource, row.table_name, row.load_id] = row
+        return [r for r in latest.values() if table in (None, r.table_name)]
+
+    def _read_loads(self) -> list[Row]:
         try:
-            rows = self.spark.read.schema(_LOADS).json(f"{self.root}/_loads").collect()
+            return self.spark.read.schema(_LOADS).json(f"{self.root}/_loads").collect()
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
                 return []
             raise
-        latest = {}
-        for row in sorted(rows, key=lambda r: (r.seq, r.committed_at)):
-            latest[row.resource, row.table_name, row.load_id] = row
-        return [r for r in latest.values() if table in (None, r.table_name)]
+
+    def refresh(self) -> None:
+        """Look again for loads that other jobs committed."""
+        self._known = None
 
     def _current(self, table: str) -> list[Row]:
         """Loads a reader sees: everything since the last replace."""
@@ -58,14 +67,16 @@ class RawStore:
 
     def commit(self, entries: Sequence[dict]) -> None:
         known = self.loads()
+        schema = T.StructType.fromDDL(_LOADS)
         rows = []
         for e in entries:
             seq = 1 + max((r.seq for r in known if r.table_name == e["table_name"]), default=0)
-            rows.append({**e, "seq": seq, "committed_at": datetime.now(UTC)})
-        schema = T.StructType.fromDDL(_LOADS)
-        values = [tuple(r.get(f.name) for f in schema.fields) for r in rows]
+            now = datetime.now(UTC).replace(tzinfo=None)
+            rows.append({**e, "seq": seq, "committed_at": now})
+        values = [tuple(r[f.name] for f in schema.fields) for r in rows]
         record = self.spark.createDataFrame(values, schema).coalesce(1)
         record.write.mode("append").json(f"{self.root}/_loads")
+        self._known = [*(self._known or []), *[Row(**r) for r in rows]]
 
     # --- reading ---------------------------------------------------------
 
@@ -81,6 +92,7 @@ class RawStore:
 
     def read(self, table: str) -> DataFrame:
         """The table; columns a load did not have yet are null in its rows."""
+        self.refresh()
         loads = self._current(table)
         if not loads:
             raise KeyError(f"no load of {table}")
