@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from conftest import rows
+
+from tidemark.operators.quality import (
+    accepted_values,
+    array_length,
+    between,
+    compound_unique,
+    failing,
+    no_overlap,
+    not_null,
+    relationships,
+    report,
+    report_one,
+    unique,
+)
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame(
+        [
+            (1, "day", 5, "[1]", None),
+            (1, "week", None, "[]", 7),
+            (2, "year", 50, "{}", 8),
+            (None, None, -1, None, 8),
+            (None, "day", 9, "[1,2,3]", 9),
+        ],
+        "id int, period string, n int, tags string, parent int",
+    )
+
+
+@pytest.mark.parametrize(
+    ("check", "bad"),
+    [
+        (not_null("id")[0], 2),
+        (accepted_values("period", ["day", "week"])[0], 1),  # null passes
+        (between("n", 0, 10)[0], 2),  # null passes
+        (between("n", 0, 10, where="id is not null")[0], 1),
+        (array_length("tags", 1, 2)[0], 4),  # null and an object fail
+        (unique("id")[0], 1),  # nulls are not counted
+        (compound_unique("id", "parent")[0], 0),
+        (compound_unique("period", "id")[0], 0),
+        (relationships("parent", "up", "key")[0], 2),
+    ],
+)
+def test_each_check_finds_its_rows(spark, table, check, bad):
+    tables = {"up": spark.createDataFrame([(7,), (9,)], "key int")}
+    assert failing(table, check, tables).count() == bad
+    result = report_one(table, "t", [check], tables).first()
+    assert (result.failures, result.passed) == (bad, bad == 0)
+
+
+def test_uniqueness_reports_counts(table):
+    assert rows(failing(table, unique("parent")[0])) == [(8, 2)]
+
+
+def test_real_arrays(spark):
+    df = spark.createDataFrame([([1],), ([],), (None,)], "a array<int>")
+    assert rows(failing(df, array_length("a", 1, 1)[0])) == [(None,), ([],)]
+
+
+def test_date_bounds(spark):
+    df = spark.createDataFrame([(datetime(2019, 1, 1),), (datetime(2025, 1, 1),)], "t timestamp")
+    check = between("t", datetime(2020, 1, 1), datetime(2030, 12, 31))[0]
+    assert rows(failing(df, check)) == [(datetime(2019, 1, 1),)]
+
+
+def test_overlap_check(spark):
+    df = spark.createDataFrame([(0, 10_000), (5_000, 6_000), (20_000, 30_000)], "a bigint, b bigint")
+    check = no_overlap("a", "b")[0]
+    assert rows(failing(df, check), "a", "b", "next_start") == [(0, 10_000, 5_000)]
+    assert report_one(df, "t", [check]).first().failures == 1
+
+
+def test_report_of_a_suite(spark, table):
+    suite = {"t": [*not_null("id", "n"), *unique("id")], "u": not_null("key")}
+    tables = {"t": table, "u": spark.createDataFrame([(7,)], "key int")}
+    found = rows(report(tables, suite), "model", "check", "target", "failures")
+    assert found == [
+        ("t", "not_null", "id", 2), ("t", "not_null", "n", 1), ("t", "unique", "id", 1),
+        ("u", "not_null", "key", 0),
+    ]
+
+
+def test_row_checks_share_one_pass(table):
+    checks = [*not_null("id", "n"), *between("n", 0, 10), *accepted_values("period", ["day"])]
+    text = report_one(table, "t", checks)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Aggregate") == 1
