@@ -20,6 +20,7 @@ from tidemark.operators import (
     orphan_keys,
     orphans,
     route_by_key,
+    spread_join,
     union_all,
     union_by_name,
     unpivot_flags,
@@ -57,6 +58,46 @@ def test_left_join_hot_right_is_a_left_join(spark):
     assert rows(left_join_hot_right(left, right, ["k"]), "k", "l", "r") == expected
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """As for a small side that is too large to broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("hot_rows", [0, 3, 1_000])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_spread_join_is_the_plain_join(spark, no_broadcast, how, hot_rows):
+    big = spark.range(200).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 9)
+        .cast("int").alias("k"),
+        (F.col("id") % 5).alias("v"),
+    )
+    small = spark.createDataFrame([(1, "a"), (2, "b"), (50, "c"), (None, "d")], "k int, w string")
+    joined = spread_join(big, small, ["k"], how, hot_rows)
+    assert rows(joined) == rows(big.join(small, "k", how).select(*joined.columns))
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" in text
+
+
+@pytest.mark.parametrize("hot_rows", [0, 2])
+def test_left_join_with_hot_right_keys(spark, no_broadcast, hot_rows):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "k int, l string")
+    right = spark.createDataFrame([(1, n) for n in range(9)] + [(3, 1), (4, 4)], "k int, r int")
+    joined = left_join_hot_right(left, right, ["k"], hot_rows)
+    assert rows(joined, "k", "l", "r") == rows(left.join(right, "k", "left"), "k", "l", "r")
+
+
+def test_orphans_too_many_to_broadcast(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.joins.has_few_rows", lambda df: False)
+    child = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
+    parent = spark.range(3)
+    assert orphans(child, "k", parent, "id").count() == 70
+
+
 def test_child_counts_ignore_null_children_and_keep_childless_parents(spark):
     parents = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     children = spark.createDataFrame([(1, 7), (1, None), (2, None), (None, 5)], "k int, c int")
@@ -91,7 +132,7 @@ def _overlaps_by_hand(logs):
 def test_interval_overlaps_against_brute_force(spark, logs, bucket):
     in_ms = [(a * 1000, b * 1000) for a, b in logs]
     df = spark.createDataFrame(in_ms, "a bigint, b bigint")
-    found = interval_overlaps(df, "a", "b", bucket_seconds=bucket).collect()
+    found = interval_overlaps(df, "a", "b", bucket_seconds=bucket, hot_rows=0).collect()
     expected = _overlaps_by_hand(in_ms)
     assert sum(r.n_overlaps for r in found) == len(expected)
     assert {(r.a, r.b) for r in found} == {(a, b) for a, b, _ in expected}
@@ -109,10 +150,15 @@ def test_interval_overlaps_per_entity(spark):
         ("z", None, t),
         ("q", t, t + timedelta(hours=1)),
         ("q", t, t + timedelta(hours=1)),  # equal
+        (None, t, t + timedelta(hours=1)),
+        (None, t + timedelta(minutes=5), None),
+        (None, t + timedelta(minutes=30), t + timedelta(hours=2)),
     ]
     df = spark.createDataFrame(logs, "who string, a timestamp, b timestamp")
     found = interval_overlaps(df, "a", "b", ["who"])
-    assert rows(found, "who", "n_overlaps") == [("q", 1), ("x", 1), ("z", 1)]
+    assert rows(found, "who", "n_overlaps") == [
+        ("q", 1), ("x", 1), ("z", 1), (None, 1),
+    ]
 
 
 def test_unpivot_drops_null_flags_unless_told(spark):

@@ -1,6 +1,12 @@
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.intervals import interval_overlaps
-from tidemark.operators.joins import child_counts, left_join_hot_right, orphan_keys, orphans
+from tidemark.operators.joins import (
+    child_counts,
+    left_join_hot_right,
+    orphan_keys,
+    orphans,
+    spread_join,
+)
 from tidemark.operators.reshape import (
     empty_relation,
     json_array_rows,
@@ -23,6 +29,7 @@ __all__ = [
     "orphan_keys",
     "orphans",
     "route_by_key",
+    "spread_join",
     "union_all",
     "union_by_name",
     "unpivot_flags",

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import HOT_ROWS, spread_join
+
+_KEYS = "__key"
+
 
 def interval_overlaps(
     df: DataFrame,
@@ -14,60 +18,70 @@ def interval_overlaps(
     end: str,
     entity: Sequence[str] = (),
     bucket_seconds: int = 60,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Intervals that end after the next one (by start) begins.
+    """Intervals that end after the next one (by start, then end) begins.
 
     If any two intervals overlap, so do two neighbours. The columns are
     ``entity``, start, end, ``next_start`` and ``n_overlaps``: how many logs with
     these bounds run into the next log. Copies overlap each other.
 
     A plain ``lead`` over one entity would sort all its rows in one task. Here
-    copies are counted before the shuffle, ``lead`` runs within an entity and a
-    time bucket, and only the first start of each bucket crosses buckets. That
-    last window sees at most one row per bucket of the time span (half a million
-    a year by default) however many logs the entity has.
+    copies are counted before the shuffle and only distinct starts are put in
+    order, within an entity and a time bucket; the first start of each bucket is
+    handed across. The window within a bucket sees the instants of one minute at
+    most, the window across sees one row per minute of the time span (half a
+    million a year), however many logs the entity has.
     """
     entity = list(entity)
     logs = (
         df.filter(F.col(start).isNotNull())
-        .groupBy(*entity, F.col(start).alias("__start"), F.col(end).alias("__end"))
+        .groupBy(
+            F.struct(F.lit(0).alias("all"), *entity, F.col(start).alias("start")).alias(_KEYS),
+            F.col(end).alias("__end"),
+        )
         .agg(F.count(F.lit(1)).alias("__copies"))
+    )
+    who = [f"{_KEYS}.{c}" for c in ("all", *entity)]
+    starts = (
+        logs.groupBy(_KEYS)
+        .agg(F.max("__end").alias("__last_end"))
         .withColumn("__bucket", _bucket(df, start, bucket_seconds))
     )
-    within = Window.partitionBy(*entity, "__bucket").orderBy("__start", "__end")
-    ordered = logs.withColumn("__next", F.lead("__start").over(within))
+    within = Window.partitionBy(*who, "__bucket").orderBy(f"{_KEYS}.start")
+    ordered = starts.withColumn("__next", F.lead(f"{_KEYS}.start").over(within))
 
-    firsts = logs.groupBy(*entity, "__bucket").agg(F.min("__start").alias("__first"))
-    across = Window.partitionBy(*entity or [F.lit(0)]).orderBy("__bucket")
+    firsts = starts.groupBy(
+        F.struct(*who).alias("__who"), F.col("__bucket").alias("__at")
+    ).agg(F.min(f"{_KEYS}.start").alias("__first"))
+    across = Window.partitionBy("__who").orderBy("__at")
     following = firsts.select(
-        *entity, "__bucket", F.lead("__first").over(across).alias("__next_bucket")
+        "__who", "__at", F.lead("__first").over(across).alias("__next_bucket")
     )
-    same = F.lit(True)
-    following = following.select(
-        *[F.col(c).alias(f"__r_{c}") for c in entity],
-        F.col("__bucket").alias("__r_bucket"),
-        "__next_bucket",
+    same = (F.struct(*who) == F.col("__who")) & (F.col("__bucket") == F.col("__at"))
+    linked = ordered.join(following, same, "left").select(
+        _KEYS, "__last_end", F.coalesce("__next", "__next_bucket").alias("__next")
     )
-    for c in entity:
-        same = same & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
-    joined = ordered.join(following, same & (F.col("__bucket") == F.col("__r_bucket")), "left")
 
-    next_start = F.coalesce("__next", "__next_bucket")
-    # All copies but the last run into a copy with the same start.
-    into_copy = F.when(F.col("__end") > F.col("__start"), F.col("__copies") - 1).otherwise(0)
-    into_next = F.when(F.col("__end") > next_start, 1).otherwise(0)
+    # Every log but the last of its start is followed by a log with the same start.
+    joined = spread_join(logs, linked, [_KEYS], "inner", hot_rows)
+    begin, stop = F.col(f"{_KEYS}.start"), F.col("__end")
+    is_last = F.coalesce(stop == F.col("__last_end"), F.col("__last_end").isNull())
+    tied = F.col("__copies") - F.when(is_last, 1).otherwise(0)
+    into_tied = F.when(stop > begin, tied).otherwise(0)
+    into_next = F.when(is_last & (stop > F.col("__next")), 1).otherwise(0)
     return joined.select(
-        *entity,
-        F.col("__start").alias(start),
-        F.col("__end").alias(end),
-        F.when(into_copy > 0, F.col("__start")).otherwise(next_start).alias("next_start"),
-        (into_copy + into_next).cast("bigint").alias("n_overlaps"),
+        *[F.col(f"{_KEYS}.{c}").alias(c) for c in entity],
+        begin.alias(start),
+        stop.alias(end),
+        F.when(into_tied > 0, begin).otherwise(F.col("__next")).alias("next_start"),
+        (into_tied + into_next).cast("bigint").alias("n_overlaps"),
     ).filter(F.col("n_overlaps") > 0)
 
 
-def _bucket(df: DataFrame, start: str, seconds: int):
+def _bucket(df: DataFrame, start: str, seconds: int) -> Column:
     kind = df.schema[start].dataType.simpleString()
-    at = F.col("__start")
+    at = F.col(f"{_KEYS}.start")
     if kind in ("timestamp", "timestamp_ntz"):
         at = F.unix_seconds(at.cast("timestamp"))
     elif kind == "date":

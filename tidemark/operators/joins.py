@@ -1,33 +1,89 @@
 """Joins that stay balanced when one key holds much of a table.
 
-No join here forces a broadcast. Spark broadcasts a side when its measured size
-is below ``spark.sql.autoBroadcastJoinThreshold`` and sorts and merges otherwise.
+AQE can split a skewed partition only where both join sides come straight from a
+shuffle, which is not so after a window or an aggregation on the same key, and
+never on the side an outer join looks up. So hot keys are taken out here: they are
+few by definition, and the rows they join to fit a broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A key with more rows than this is not sent to one task. Of N rows at most
+# N / HOT_ROWS keys can be hot, which bounds what is broadcast for them: 20,000
+# keys for a table of 10^11 rows.
+HOT_ROWS = 5_000_000
 
-def left_join_hot_right(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join whose right side may have very many rows for one key.
+# Row count up to which a set of keys is broadcast after it was counted.
+SMALL_ROWS = 200_000
 
-    AQE may split only the preserved side of an outer join, so a hot key on the
-    right would end in one task. Matched rows therefore come from an inner join,
-    where either side can be split, and unmatched ones from an anti join against
-    the distinct right keys, which are reduced before they are shuffled.
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast the frame."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes())) <= conf.autoBroadcastJoinThreshold()
+
+
+def has_few_rows(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
+    """Counts the rows, but no further than the limit."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def spread_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``big`` joined to ``small``, where single keys may fill much of ``big``.
+
+    ``small`` has one row per key; ``how`` is inner, left, left_semi or left_anti.
+    A small side that Spark broadcasts anyway needs no more care. Otherwise rows of
+    hot keys (null among them) are joined to the few matching rows of ``small`` by
+    broadcast and never shuffled; all other rows take the ordinary join. Without
+    hot keys AQE drops the first part at run time.
+    """
+    on = list(on)
+    if fits_broadcast(small):
+        return big.join(small, on, how)
+    counts = big.groupBy(*on).agg(F.count("*").alias("__rows"))
+    hot = counts.filter(F.col("__rows") > hot_rows)
+    hot = F.broadcast(hot.select(*[F.col(c).alias(f"__hot_{c}") for c in on]))
+
+    def is_hot(df: DataFrame) -> Column:
+        same = F.lit(True)
+        for c in on:
+            same = same & df[c].eqNullSafe(hot[f"__hot_{c}"])
+        return same
+
+    hot_part = big.join(hot, is_hot(big), "left_semi")
+    looked_up = small.join(hot, is_hot(small), "left_semi")
+    rest = big.join(hot, is_hot(big), "left_anti")
+    return rest.join(small, on, how).unionByName(hot_part.join(F.broadcast(looked_up), on, how))
+
+
+def left_join_hot_right(
+    left: DataFrame, right: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left join of unique ``left`` keys to a side with very many rows for some keys.
+
+    Matches are looked up from the right, as ``spread_join`` does; rows without a
+    match come from an anti join against the distinct right keys, which are reduced
+    before they are shuffled.
     """
     on = list(on)
-    matched = left.join(right, on, "inner")
-    keys = right.select(*on).distinct()
+    matched = spread_join(right, left, on, "inner", hot_rows)
     extra = [f for f in right.schema.fields if f.name not in on]
-    unmatched = left.join(keys, on, "left_anti").select(
+    unmatched = left.join(right.select(*on).distinct(), on, "left_anti").select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
     )
-    return matched.unionByName(unmatched)
+    return unmatched.unionByName(matched)
 
 
 def child_counts(
@@ -59,8 +115,12 @@ def orphan_keys(
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows without a parent.
 
-    The missing keys are found first on one column. They are few in sound data,
-    so picking their rows needs no shuffle of the wide child table.
+    The missing keys are found first, on one column, and counted: if they are few,
+    as in sound data, their rows are picked without a shuffle of the child table.
     """
     missing = orphan_keys(child, column, parent, field).select(column)
-    return child.join(missing, column, "left_semi").select(*child.columns)
+    if has_few_rows(missing):
+        found = child.join(F.broadcast(missing), column, "left_semi")
+    else:
+        found = spread_join(child, missing, [column], "left_semi")
+    return found.select(*child.columns)

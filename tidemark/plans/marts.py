@@ -11,6 +11,7 @@ from tidemark.functions import completion_rate, surrogate_key, trunc_date
 from tidemark.operators import (
     child_counts,
     left_join_hot_right,
+    spread_join,
     union_all,
     union_by_name,
     unpivot_flags,
@@ -212,28 +213,28 @@ def engagement_contacts(
 ) -> DataFrame:
     """Engagements with their contacts and the contacts' companies.
 
-    The links are widened first, with the links as the preserved side, so that
-    Spark can split a contact with very many links. An engagement with very many
-    links is the other hot key; ``left_join_hot_right`` deals with it. A link to an
-    unknown contact stays, with no contact id.
+    A company may have very many contacts, a contact very many engagements and an
+    engagement very many contacts; each join takes such keys apart. Ids in the
+    result come from the contact and the company, so they are null for a link to an
+    unknown contact and for a contact of an unknown company.
     """
-    people = contacts.select("contact_id", "company_id", "first_name", "last_name").join(
-        companies.select("company_id", "company_name").withColumnRenamed(
-            "company_id", "known_company_id"
-        ),
-        F.col("company_id") == F.col("known_company_id"),
-        "left",
+    known_companies = companies.select(
+        "company_id", F.col("company_id").alias("known_company_id"), "company_name"
+    )
+    people = spread_join(
+        contacts.select("contact_id", "company_id", "first_name", "last_name"),
+        known_companies,
+        ["company_id"],
     )
     people = people.select(
+        "contact_id",
         F.col("contact_id").alias("known_contact_id"),
         "first_name",
         "last_name",
         F.col("known_company_id").alias("company_id"),
         "company_name",
     )
-    widened = links.select("engagement_id", "contact_id").join(
-        people, F.col("contact_id") == F.col("known_contact_id"), "left"
-    )
+    widened = spread_join(links.select("engagement_id", "contact_id"), people, ["contact_id"])
     widened = widened.drop("contact_id").withColumnRenamed("known_contact_id", "contact_id")
     events = engagements.select(
         "engagement_id", "engagement_type", "body_preview", "occurred_at", "is_synchronous",

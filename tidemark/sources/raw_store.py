@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import latest_per_key
+from tidemark.operators.joins import has_few_rows, spread_join
 from tidemark.sources.nested import PARENT_ID, ROW_ID
 
 LOAD_ID = "_load_id"
@@ -127,8 +128,12 @@ class RawStore:
         keys = T.StructType([T.StructField(ROW_ID, T.StringType()), T.StructField(cursor, kind)])
         stored = self.spark.read.schema(keys).parquet(*[r.path for r in loads])
         seen = stored.filter(F.col(cursor) == low).select(ROW_ID).distinct()
+        if has_few_rows(seen):
+            # Ids hold the cursor value too, so ids of newer rows are not among them.
+            since = df.filter(F.col(cursor) >= low)
+            return since.join(F.broadcast(seen), ROW_ID, "left_anti").select(*df.columns)
         newer = df.filter(F.col(cursor) > low)
-        at_mark = df.filter(F.col(cursor) == low).join(seen, ROW_ID, "left_anti")
+        at_mark = spread_join(df.filter(F.col(cursor) == low), seen, [ROW_ID], "left_anti")
         return newer.unionByName(at_mark.select(*df.columns))
 
     # --- writing ---------------------------------------------------------
@@ -165,15 +170,15 @@ class RawStore:
     ) -> None:
         """Upsert: incoming rows replace stored rows of the same key.
 
-        Stored rows are only filtered, so when the incoming side is small enough
-        to broadcast the table is not shuffled. The result is a new load; what it
+        Stored rows are only filtered, so when the incoming keys are few enough to
+        broadcast the table is not shuffled. The result is a new load; what it
         is read from stays in place until ``vacuum``.
         """
         merged = latest_per_key(df, keys, order_by or keys)
         schema, stored = self._before(table, load_id, resource or table)
         if stored is not None:
             merged = self._evolve(merged, schema)
-            untouched = stored.join(merged.select(*keys), list(keys), "left_anti")
+            untouched = spread_join(stored, merged.select(*keys), keys, "left_anti")
             merged = untouched.unionByName(merged, allowMissingColumns=True)
         self._write(table, merged, load_id, "replace", None, resource)
 
@@ -182,13 +187,13 @@ class RawStore:
     ) -> None:
         """Child rows after their parents were merged: those of surviving parents."""
         alive = self.read(parent).select(F.col(ROW_ID).alias(PARENT_ID)).distinct()
-        children = df.join(alive, PARENT_ID, "left_semi")
+        children = spread_join(df, alive, [PARENT_ID], "left_semi")
         schema, stored = self._before(table, load_id, resource or table)
         if stored is not None:
             children = self._evolve(children, schema)
             known = stored.select(PARENT_ID).distinct()
-            children = children.join(known, PARENT_ID, "left_anti")
-            kept = stored.join(alive, PARENT_ID, "left_semi")
+            children = spread_join(children, known, [PARENT_ID], "left_anti")
+            kept = spread_join(stored, alive, [PARENT_ID], "left_semi")
             children = kept.unionByName(children, allowMissingColumns=True)
         self._write(table, children.distinct(), load_id, "replace", None, resource)
 

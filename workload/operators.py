@@ -24,6 +24,7 @@ from tidemark.operators import (
     json_array_rows,
     latest_per_key,
     left_join_hot_right,
+    spread_join,
     union_all,
     union_by_name,
     unpivot_flags,
@@ -173,12 +174,12 @@ def denormalised_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order, its lines, the known parts among them, the part's supplier."""
     suppliers = given(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 0)
     parts = given(spark, sf_dir, "part").filter(F.col("p_size") < 40)
-    parts = parts.join(suppliers, F.col("p_size") == F.col("s_suppkey"), "left").select(
-        "p_partkey", "p_brand", "s_name"
-    )
+    suppliers = suppliers.select(F.col("s_suppkey").cast("int").alias("p_size"), "s_name")
+    parts = spread_join(parts, suppliers, ["p_size"]).select("p_partkey", "p_brand", "s_name")
     links = given(spark, sf_dir, "lineitem").filter(F.col("l_quantity") > 20)
     links = links.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
-    links = links.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").drop("l_partkey")
+    known = parts.withColumn("l_partkey", F.col("p_partkey"))
+    links = spread_join(links, known, ["l_partkey"]).drop("l_partkey")
     orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     joined = left_join_hot_right(orders, links, ["o_orderkey"])
     key = surrogate_key("o_orderkey", "p_partkey").alias("key")
