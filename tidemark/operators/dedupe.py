@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _RANK = "__rank"
 
 
-def _sortable(field: T.StructField) -> Column:
-    col = F.col(f"`{field.name}`")
-    return F.to_json(col) if isinstance(field.dataType, (T.MapType, T.VariantType)) else col
+def _sortable(field: T.StructField) -> str:
+    unsorted = isinstance(field.dataType, (T.MapType, T.VariantType))
+    return f"to_json(`{field.name}`)" if unsorted else f"`{field.name}`"
 
 
 def latest_per_key(
@@ -33,8 +33,9 @@ def latest_per_key(
         used = {*keys, *order_by}
         ties = [_sortable(f) for f in df.schema.fields if f.name not in used]
     else:
-        ties = [F.col(c) for c in tie_break]
-    order = [F.col(c).desc_nulls_last() for c in order_by] + [t.desc_nulls_last() for t in ties]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(_RANK, F.row_number().over(window))
+        ties = [f"`{c}`" for c in tie_break]
+    order = ", ".join(f"{c} desc nulls last" for c in [*[f"`{c}`" for c in order_by], *ties])
+    groups = ", ".join(f"`{c}`" for c in keys)
+    rank = F.expr(f"row_number() over (partition by {groups} order by {order})")
+    ranked = df.withColumn(_RANK, rank)
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)

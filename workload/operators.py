@@ -457,7 +457,7 @@ def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
-def _overlap_sql(partition: str, entity: str, source: str) -> str:
+def overlap_sql(partition: str, entity: str, source: str) -> str:
     """Neighbouring logs that overlap, copies of a log counted together."""
     return f"""
     SELECT {entity} started, ended, min(following) AS next_start, count(*) AS n_overlaps
@@ -477,7 +477,7 @@ _INTERVALS_SQL = """
 
 @query(
     "interval_overlap",
-    _overlap_sql("PARTITION BY user_id", "user_id,", _INTERVALS_SQL),
+    overlap_sql("PARTITION BY user_id", "user_id,", _INTERVALS_SQL),
 )
 def interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -496,7 +496,7 @@ _SHIPMENTS_SQL = """
 """
 
 
-@query("interval_overlap_all", _overlap_sql("", "", _SHIPMENTS_SQL))
+@query("interval_overlap_all", overlap_sql("", "", _SHIPMENTS_SQL))
 def interval_overlap_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No entity, many logs with one start: the whole table is one sequence."""
     hours = F.expr("l_shipdate + interval '1' hour * cast(l_quantity as int)")

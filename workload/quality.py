@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import shared_dir
 from tidemark.operators.quality import (
+    Check,
     accepted_values,
     array_length,
     between,
@@ -18,8 +21,10 @@ from tidemark.operators.quality import (
     report_one,
     unique,
 )
+from tidemark.plans.checks import MODEL_CHECKS, SOURCE_CHECKS
 from tidemark.plans.build import check_report, write_models
-from workload.models import models
+from workload.models import MODEL_SQL, models, with_models
+from workload.operators import overlap_sql
 from workload.registry import query
 from workload.standins import RAW_SQL, given, raw
 
@@ -175,14 +180,73 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_one(_events(spark, sf_dir), "events", _REPORT_CHECKS, tables)
 
 
-@query("dq_model_suite")
+_EMPTY_LINKS = """(SELECT CAST(NULL AS VARCHAR) AS row_id, CAST(NULL AS BIGINT) AS engagement_id,
+    CAST(NULL AS BIGINT) AS company_id WHERE false)"""
+
+
+def _literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value}'"
+    return f"DATE '{value}'" if isinstance(value, date) else str(value)
+
+
+def _failures_sql(table: str, check: Check) -> str:
+    """Number of failures of one check, as a scalar query."""
+    column = check.columns[0]
+    keys = ", ".join(check.columns)
+    if check.kind == "not_null":
+        return f"SELECT count(*) FROM {table} WHERE {column} IS NULL"
+    if check.kind == "accepted_values":
+        allowed = ", ".join(f"'{v}'" for v in check.values)
+        return f"SELECT count(*) FROM {table} WHERE {column} NOT IN ({allowed})"
+    if check.kind == "between":
+        low, high = _literal(check.low), _literal(check.high)
+        return f"SELECT count(*) FROM {table} WHERE {column} < {low} OR {column} > {high}"
+    if check.kind in ("unique", "compound_unique"):
+        known = " OR ".join(f"{c} IS NOT NULL" for c in check.columns)
+        return f"""SELECT count(*) FROM (SELECT {keys} FROM {table} WHERE {known}
+                   GROUP BY {keys} HAVING count(*) > 1)"""
+    if check.kind == "relationships":
+        return f"""SELECT count(*) FROM {table} c WHERE {column} IS NOT NULL AND NOT EXISTS
+                   (SELECT 1 FROM {check.parent} p WHERE p.{check.field} = c.{column})"""
+    start, end = check.columns
+    return f"""SELECT count(*) FROM (SELECT {end} AS stop, lead({start}) OVER
+               (ORDER BY {start}, {end}) AS following FROM {table}) WHERE stop > following"""
+
+
+def _suite_sql() -> str:
+    names = [*RAW_SQL, *MODEL_SQL]
+    parts = []
+    for table, checks in {**SOURCE_CHECKS, **MODEL_CHECKS}.items():
+        if table not in names and table != "stg_hubspot__engagement_companies":
+            continue
+        source = table if table in names else _EMPTY_LINKS
+        for check in checks:
+            parts.append(
+                f"""SELECT '{table}' AS model, '{check.kind}' AS "check",
+                    '{check.target}' AS target, ({_failures_sql(source, check)}) AS failures"""
+            )
+    rows = " UNION ALL ".join(parts)
+    return with_models(f"SELECT *, failures = 0 AS passed FROM ({rows})", *names)
+
+
+@query("dq_model_suite", _suite_sql())
 def dq_model_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared check on every source table and model, over the stand-ins."""
     sources = {n: raw(spark, sf_dir, n) for n in RAW_SQL}
     return check_report(sources, write_models(sources, shared_dir(spark, "models")))
 
 
-@query("dq_no_overlap")
+@query(
+    "dq_no_overlap",
+    with_models(
+        overlap_sql(
+            "", "", "SELECT started_at AS started, ended_at AS ended FROM stg_fitbit__sleep"
+        ),
+        "stg_fitbit__sleep",
+    ),
+)
 def dq_no_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     sleep = models(spark, sf_dir, "stg_fitbit__sleep")["stg_fitbit__sleep"]
-    return failing(sleep, no_overlap("started_at", "ended_at")[0])
+    found = failing(sleep, no_overlap("started_at", "ended_at")[0])
+    return found.withColumnsRenamed({"started_at": "started", "ended_at": "ended"})
