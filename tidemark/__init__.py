@@ -1,5 +1,5 @@
 """tidemark: landed API pages to raw tables, models, measures and checks, on Spark."""
 
-from tidemark.session import configure, get_session, shared_dir
+from tidemark.session import configure, get_session, shared_dir, written
 
-__all__ = ["configure", "get_session", "shared_dir"]
+__all__ = ["configure", "get_session", "shared_dir", "written"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import HOT_ROWS, spread_join
+from tidemark.session import written
 
 _KEYS = "__key"
 
@@ -42,6 +43,7 @@ def interval_overlaps(
         )
         .agg(F.count(F.lit(1)).alias("__copies"))
     )
+    logs = written(logs, "intervals")  # read four times below
     who = [f"{_KEYS}.{c}" for c in ("all", *entity)]
     starts = (
         logs.groupBy(_KEYS)

@@ -40,6 +40,7 @@ def spread_join(
     on: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """``big`` joined to ``small``, where single keys may fill much of ``big``.
 
@@ -47,12 +48,13 @@ def spread_join(
     A small side that Spark broadcasts anyway needs no more care. Otherwise rows of
     hot keys (null among them) are joined to the few matching rows of ``small`` by
     broadcast and never shuffled; all other rows take the ordinary join. Without
-    hot keys AQE drops the first part at run time.
+    hot keys AQE drops the first part at run time. ``keys`` may name a frame with
+    the same keys as ``big`` that is cheaper to count.
     """
     on = list(on)
     if fits_broadcast(small):
         return big.join(small, on, how)
-    counts = big.groupBy(*on).agg(F.count("*").alias("__rows"))
+    counts = (big if keys is None else keys).groupBy(*on).agg(F.count("*").alias("__rows"))
     hot = counts.filter(F.col("__rows") > hot_rows)
     hot = F.broadcast(hot.select(*[F.col(c).alias(f"__hot_{c}") for c in on]))
 
@@ -69,18 +71,24 @@ def spread_join(
 
 
 def left_join_hot_right(
-    left: DataFrame, right: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of unique ``left`` keys to a side with very many rows for some keys.
 
     Matches are looked up from the right, as ``spread_join`` does; rows without a
     match come from an anti join against the distinct right keys, which are reduced
-    before they are shuffled.
+    before they are shuffled. ``keys`` may name a frame with the same keys as
+    ``right`` that is cheaper to read.
     """
     on = list(on)
-    matched = spread_join(right, left, on, "inner", hot_rows)
+    matched = spread_join(right, left, on, "inner", hot_rows, keys)
     extra = [f for f in right.schema.fields if f.name not in on]
-    unmatched = left.join(right.select(*on).distinct(), on, "left_anti").select(
+    known = (right if keys is None else keys).select(*on).distinct()
+    unmatched = left.join(known, on, "left_anti").select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
     )
     return unmatched.unionByName(matched)

@@ -114,12 +114,10 @@ def _failure_count(
     return bad.agg(F.count("*").alias("failures"))
 
 
-def _label(model: str, check: Check) -> list[Column]:
-    return [
-        F.lit(model).alias("model"),
-        F.lit(check.kind).alias("check"),
-        F.lit(check.target).alias("target"),
-    ]
+def _label(model: str, check: Check) -> dict[str, str]:
+    """SQL text of the columns that name a check."""
+    names = {"model": model, "check": check.kind, "target": check.target}
+    return {column: f"'{name}'" for column, name in names.items()}
 
 
 def report_one(
@@ -129,19 +127,21 @@ def report_one(
     tables: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Failure count per check. All one-row checks share a single pass over the table."""
-    local = [(c, v) for c in checks if (v := _violation(c, df)) is not None]
-    others = [c for c in checks if _violation(c, df) is None]
+    violations = [(c, _violation(c, df)) for c in checks]
+    local = [(c, v) for c, v in violations if v is not None]
+    others = [c for c, v in violations if v is None]
     parts = []
     if local:
         counts = [F.count_if(v).alias(f"c{i}") for i, (_, v) in enumerate(local)]
-        rows = [
-            F.struct(*_label(model, c), F.col(f"c{i}").alias("failures"))
-            for i, (c, _) in enumerate(local)
-        ]
-        parts.append(df.agg(*counts).select(F.inline(F.array(*rows))))
+        rows = []
+        for i, (check, _) in enumerate(local):
+            fields = {**_label(model, check), "failures": f"c{i}"}
+            rows.append(f"struct({', '.join(f'{v} as `{k}`' for k, v in fields.items())})")
+        parts.append(df.agg(*counts).selectExpr(f"inline(array({', '.join(rows)}))"))
     for check in others:
         counted = _failure_count(df, check, tables)
-        parts.append(counted.select(*_label(model, check), "failures"))
+        label = [f"{text} as `{column}`" for column, text in _label(model, check).items()]
+        parts.append(counted.selectExpr(*label, "failures"))
     combined = reduce(DataFrame.unionByName, parts)
     return combined.withColumn("passed", F.col("failures") == 0)
 

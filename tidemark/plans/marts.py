@@ -240,7 +240,7 @@ def engagement_contacts(
         "engagement_id", "engagement_type", "body_preview", "occurred_at", "is_synchronous",
         "updated_at",
     )
-    joined = left_join_hot_right(events, widened, ["engagement_id"])
+    joined = left_join_hot_right(events, widened, ["engagement_id"], keys=links)
     return joined.select(
         surrogate_key("engagement_id", "contact_id").alias("engagement_key"),
         "engagement_id", "engagement_type", "body_preview", "occurred_at", "is_synchronous",

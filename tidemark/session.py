@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Dates are taken in UTC, casts fail loudly unless written as try_cast, and AQE
 # picks join sides, splits skewed partitions and merges small ones at run time.
@@ -52,3 +52,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if root is None:
             root = _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to shared storage and read back.
+
+    For a frame that is read several times: it is computed once, and a lost
+    executor costs a read instead of the whole plan before it.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

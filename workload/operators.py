@@ -179,9 +179,9 @@ def denormalised_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = given(spark, sf_dir, "lineitem").filter(F.col("l_quantity") > 20)
     links = links.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
     known = parts.withColumn("l_partkey", F.col("p_partkey"))
-    links = spread_join(links, known, ["l_partkey"]).drop("l_partkey")
+    widened = spread_join(links, known, ["l_partkey"]).drop("l_partkey")
     orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    joined = left_join_hot_right(orders, links, ["o_orderkey"])
+    joined = left_join_hot_right(orders, widened, ["o_orderkey"], keys=links)
     key = surrogate_key("o_orderkey", "p_partkey").alias("key")
     return joined.select(key, "o_orderkey", "o_orderpriority", "p_partkey", "p_brand", "s_name")
 
