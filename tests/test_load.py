@@ -299,7 +299,29 @@ def test_empty_page_loads_no_rows(store, land):
 
 def test_load_records_from_a_frame(spark, store):
     resource = Resource(name="app__e", selector="$", record=None, cursor="at", cursor_type="bigint")
-    df = spark.range(10).select(F.col("id"), (F.col("id") + 10**9).alias("at"))
-    load_records(store, resource, df.filter("id < 5"), "r1", start=0)
+    df = spark.range(15).select(F.col("id"), F.col("id").alias("at"))  # 9 and 10 order as numbers
+    load_records(store, resource, df.filter("id < 9"), "r1", start=0)
+    load_records(store, resource, df.filter("id < 11"), "r2", start=0)
+    load_records(store, resource, df, "r3", start=0)
+    assert store.high_water_mark("app__e") == "14"
+    assert store.read("app__e").count() == 15
+
+
+def test_many_rows_at_the_mark(spark, store, monkeypatch):
+    """Too many stored rows at the mark to broadcast them."""
+    monkeypatch.setattr("tidemark.sources.raw_store.has_few_rows", lambda df: False)
+    resource = Resource(name="app__e", selector="$", record=None, cursor="at", cursor_type="bigint")
+    df = spark.range(40).select(F.col("id"), (F.col("id") % 2).alias("at"))
+    load_records(store, resource, df.filter("id < 20"), "r1", start=0)
     load_records(store, resource, df, "r2", start=0)
-    assert store.read("app__e").count() == 10
+    # Late rows below the mark are left out, rows at the mark come once.
+    assert store.read("app__e").count() == 30
+
+
+def test_a_routed_load_that_is_run_again_changes_nothing(store, land):
+    resource = RESOURCES["notion__data_source_rows"]
+    path = land("n3", {"results": [habit_page(1, 1)]})
+    load_resource(store, resource, path, "r1")
+    land("n3", {"results": [habit_page(2, 2)]}, 2)
+    load_resource(store, resource, path, "r1")
+    assert store.read("notion__data_source_daily_habits").count() == 1

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.sources.nested import exclude_fields, flatten, snake_case
-from tidemark.sources.pages import page_records, project_properties
+from tidemark.sources.pages import engagement_times_as_iso, page_records, project_properties
 from tidemark.sources.resources import NOTES_EXCLUDED
 from tidemark.sources.schemas import schema_of
 
@@ -92,6 +92,12 @@ def test_properties_as_text_or_object(spark):
     assert rows(flat) == [("1", None)]
 
 
+def test_engagement_times(spark):
+    df = spark.sql("select named_struct('id', 1, 'lastUpdated', 1735789600000L) as engagement")
+    record = engagement_times_as_iso(df).first().engagement
+    assert (record.id, record.lastUpdated) == (1, "2025-01-02T03:46:40+00:00")
+
+
 def test_page_records(spark):
     record = schema_of("id string")
     df = spark.createDataFrame([('{"results": [{"id": "1"}, {"id": "2"}]}',), ('{"results": []}',)], "p string")

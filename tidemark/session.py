@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -51,6 +53,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = _own_dirs.get(context.applicationId)
         if root is None:
             root = _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

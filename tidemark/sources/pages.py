@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import epoch_ms_to_iso
+
 # Fixed value: extraction starts here unless told otherwise.
 BASE_DATE = "2020-01-01"
 
@@ -94,6 +96,12 @@ def project_properties(
     return df.withColumn(column, parsed)
 
 
+def engagement_times_as_iso(df: DataFrame) -> DataFrame:
+    """Records of the older engagement shape with ``lastUpdated`` as ISO text."""
+    updated = epoch_ms_to_iso("engagement.lastUpdated")
+    return df.withColumn("engagement", F.col("engagement").withField("lastUpdated", updated))
+
+
 def explode_association(
     responses: DataFrame, parent: str, parent_columns: Mapping[str, str], children: str
 ) -> DataFrame:

@@ -101,9 +101,9 @@ class RawStore:
         return self.spark.read.schema(schema).parquet(*[r.path for r in loads])
 
     def high_water_mark(self, resource: str) -> str | None:
-        """Greatest cursor loaded so far, as text; ISO order is text order."""
+        """Greatest cursor loaded so far, as text."""
         marks = (r.cursor_max for r in self._resource_loads(resource))
-        return max(marks, default=None)
+        return max(marks, key=_cursor_order, default=None)
 
     def _resource_loads(self, resource: str) -> list[Row]:
         """Visible loads of a resource that carry its cursor, over all its tables."""
@@ -124,7 +124,7 @@ class RawStore:
         if not loads:
             return df
         kind = df.schema[cursor].dataType
-        low = F.lit(max(r.cursor_max for r in loads)).cast(kind)
+        low = F.lit(max((r.cursor_max for r in loads), key=_cursor_order)).cast(kind)
         keys = T.StructType([T.StructField(ROW_ID, T.StringType()), T.StructField(cursor, kind)])
         stored = self.spark.read.schema(keys).parquet(*[r.path for r in loads])
         seen = stored.filter(F.col(cursor) == low).select(ROW_ID).distinct()
@@ -245,6 +245,8 @@ class RawStore:
         shuffle, so a target with most of the rows is written by many tasks). A
         target's schema holds the columns that have a value in it.
         """
+        if any((r.resource, r.load_id) == (resource, load_id) for r in self.loads()):
+            return
         base = f"{self.root}/_routed/{resource}/{load_id}"
         df.write.mode("overwrite").partitionBy(target).parquet(base)
         written = self.spark.read.schema(df.schema).parquet(base)
@@ -257,8 +259,6 @@ class RawStore:
         entries = []
         for row in facts.collect():  # one row per target table
             table = row[target]
-            if self.committed(resource, table, load_id):
-                continue
             old = self.schema(table) if disposition == "append" else None
             own = T.StructType([f for i, f in enumerate(columns) if row[f"c{i}"]])
             path = f"{base}/{target}={table}"
@@ -303,6 +303,11 @@ class RawStore:
         return stale
 
 
+def _cursor_order(text: str) -> int | str:
+    """Dates and timestamps in ISO form order as text, whole numbers do not."""
+    return int(text) if text.lstrip("-").isdigit() else text
+
+
 def _since_replace(loads: Sequence[Row]) -> list[Row]:
     ordered = sorted(loads, key=lambda r: r.seq)
     starts = [i for i, r in enumerate(ordered) if r.disposition == "replace"]
