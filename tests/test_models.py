@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from datetime import date
 
 import pytest
@@ -10,10 +11,22 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.measures import measure
 from tidemark.plans import marts, staging
-from tidemark.plans.build import MODELS, SPINE, build, check_report, publish, write_models
+from tidemark.plans.build import (
+    MODELS,
+    SPINE,
+    all_passed,
+    build,
+    check_report,
+    publish,
+    raw_tables,
+    write_models,
+)
 from tidemark.plans.checks import MODEL_CHECKS
 from tidemark.plans.semantic import ENGAGEMENT_CONTACTS, HABITS
 from tidemark.sources.csv import read_csv
+from tidemark.sources.load import load_all
+from tidemark.sources.raw_store import RawStore
+from tidemark.sources.resources import RESOURCES
 from tidemark.sources.schemas import RAW_TABLES
 
 
@@ -242,3 +255,30 @@ def test_csv_in_both_quotings(spark, tmp_path):
     pages = read_csv(spark, str(backslash), "notion__data_source_daily_habits", escape="\\")
     row = staging.daily_habits(pages).first()
     assert (row.page_date, row.did_workout, row.did_language) == (date(2023, 1, 2), True, None)
+
+
+def test_landed_pages_to_published_tables(spark, tmp_path, land):
+    """The whole way: pages on disk, raw tables, models, checks."""
+    store = RawStore(spark, str(tmp_path / "raw"))
+
+    def meeting(number, start):
+        properties = {"hs_meeting_body": "b", "hs_meeting_start_time": start}
+        return {
+            "id": str(number), "createdAt": "2025-01-01T00:00:00Z",
+            "updatedAt": "2025-01-02T00:00:00Z", "properties": json.dumps(properties),
+        }
+
+    land("hubspot__meetings", {"results": [meeting(1, "2025-08-04T10:00:00Z")]})
+    link = {"id": "1", "updatedAt": "2025-01-02T00:00:00Z", "results": [{"toObjectId": 10}]}
+    land("hubspot__meetings_to_contacts", link)
+    deal = {"id": "5", "updatedAt": "2025-01-02T00:00:00Z", "properties": '{"dealname":"D"}'}
+    folder = land("hubspot__deals", {"results": [deal]})
+    names = ("meetings", "meetings_to_contacts", "deals", "notes")  # no pages of notes
+    load_all(store, [RESOURCES[f"hubspot__{n}"] for n in names], folder.rsplit("/", 1)[0], "r1")
+    raw = raw_tables(store)
+    assert raw["fitbit__sleep"].count() == 0 and "hubspot__notes" not in raw
+    models = build(raw, ["habits_v1", "stg_hubspot__engagements"])
+    assert rows(models["habits_v1"], "habit", "habit_date") == [("met_1to1", date(2025, 8, 4))]
+    results = check_report(raw, {"stg_hubspot__engagements": models["stg_hubspot__engagements"]})
+    assert "hubspot__deals" in {r.model for r in results.collect()}
+    assert all_passed(results)

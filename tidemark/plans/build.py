@@ -12,6 +12,7 @@ from tidemark.operators.quality import report
 from tidemark.operators.spine import date_spine
 from tidemark.plans import marts, staging
 from tidemark.plans.checks import MODEL_CHECKS, SOURCE_CHECKS
+from tidemark.session import written
 from tidemark.sources.schemas import RAW_TABLES, conform
 
 
@@ -158,18 +159,20 @@ def publish(
 ) -> dict[str, DataFrame]:
     """Register staging models as views and write the others as tables.
 
-    Each table is written once and read back by the models after it, so nothing
-    is computed twice and a lost executor costs no more than its own tasks.
+    Tables are read back by the models after them, and a staging model that several
+    models read is written to the shared folder for them, so nothing is computed
+    twice and a lost executor costs no more than its own tasks.
     """
     frames: dict[str, DataFrame] = dict(raw)
     prefix = f"{database}." if database else ""
     for name, model in MODELS.items():
         df = model.build(*[frames[i] for i in model.inputs])
+        readers = [m for m in MODELS.values() if name in m.inputs]
         if model.table:
             frames[name] = _save(spark, df, f"{prefix}{name}", model.partition_by)
         else:
             df.createOrReplaceTempView(name)
-            frames[name] = df
+            frames[name] = written(df, name) if len(readers) > 1 else df
         if model.alias:
             frames[name].createOrReplaceTempView(model.alias)
     frames[SPINE] = _save(spark, date_spine(spark), f"{prefix}{SPINE}", ())
@@ -183,16 +186,14 @@ def _save(
     return spark.table(table).select(*df.columns)
 
 
-def write_models(
-    raw: Mapping[str, DataFrame], folder: str, names: Sequence[str] | None = None
-) -> dict[str, DataFrame]:
+def write_models(raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Every model written once and read back, so that many checks can share it."""
     frames: dict[str, DataFrame] = dict(raw)
-    for name in names or MODELS:
-        df = MODELS[name].build(*[frames[i] for i in MODELS[name].inputs])
+    for name, model in MODELS.items():
+        df = model.build(*[frames[i] for i in model.inputs])
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
         frames[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
-    return {n: frames[n] for n in (names or MODELS)}
+    return {n: frames[n] for n in MODELS}
 
 
 def check_report(raw: Mapping[str, DataFrame], models: Mapping[str, DataFrame]) -> DataFrame:
@@ -206,10 +207,13 @@ def raw_tables(store) -> dict[str, DataFrame]:
     """Every declared raw table of a store; one that has no load yet is empty."""
     spark = store.spark
     loaded = set(store.tables())
-    return {
+    declared = {
         name: conform(store.read(name), name) if name in loaded else spark.createDataFrame([], ddl)
         for name, ddl in RAW_TABLES.items()
     }
+    # Tables without a model that have checks of their own.
+    others = loaded & set(SOURCE_CHECKS) - set(declared)
+    return declared | {name: store.read(name) for name in sorted(others)}
 
 
 def all_passed(results: DataFrame) -> bool:

@@ -124,9 +124,12 @@ class RawStore:
         if not loads:
             return df
         kind = df.schema[cursor].dataType
-        low = F.lit(max((r.cursor_max for r in loads), key=_cursor_order)).cast(kind)
+        mark = max((r.cursor_max for r in loads), key=_cursor_order)
+        low = F.lit(mark).cast(kind)
         keys = T.StructType([T.StructField(ROW_ID, T.StringType()), T.StructField(cursor, kind)])
-        stored = self.spark.read.schema(keys).parquet(*[r.path for r in loads])
+        # Only loads that reach the mark can hold rows at it.
+        paths = [r.path for r in loads if r.cursor_max == mark]
+        stored = self.spark.read.schema(keys).parquet(*paths)
         seen = stored.filter(F.col(cursor) == low).select(ROW_ID).distinct()
         if has_few_rows(seen):
             # Ids hold the cursor value too, so ids of newer rows are not among them.
