@@ -226,8 +226,9 @@ def test_check_report(raw, models):
     assert results.filter(F.col("model").isin(*MODEL_CHECKS)).count() == declared
 
 
-def test_publish(spark, raw):
-    published = publish(spark, raw)
+def test_publish(spark, raw, tmp_path):
+    publish(spark, raw, folder=str(tmp_path))
+    published = publish(spark, raw, folder=str(tmp_path))  # a rebuild replaces the tables
     assert spark.table("habits").count() == published["habits_v1"].count() == 46
     assert spark.table("engagement_contacts").count() == 7
     assert spark.table(SPINE).count() == 4017

@@ -24,6 +24,7 @@ def main() -> int:
     parser.add_argument("--full-refresh", action="store_true")
     parser.add_argument("--load-id", help="give the same id again to repeat a load")
     parser.add_argument("--database")
+    parser.add_argument("--tables", help="folder for the built tables (default: the warehouse)")
     args = parser.parse_args()
 
     spark = get_session(f"tidemark-{args.job}")
@@ -46,7 +47,7 @@ def main() -> int:
         return 0
     raw = raw_tables(store)
     if args.job == "build":
-        publish(spark, raw, args.database)
+        publish(spark, raw, args.database, args.tables)
         return 0
     results = check_report(raw, write_models(raw, shared_dir(spark, "models"))).cache()
     results.show(1000, truncate=False)

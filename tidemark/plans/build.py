@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -155,37 +156,45 @@ def with_comments(df: DataFrame) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, raw: Mapping[str, DataFrame], database: str | None = None
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    database: str | None = None,
+    folder: str | None = None,
 ) -> dict[str, DataFrame]:
     """Register staging models as views and write the others as tables.
 
     Tables are read back by the models after them, and a staging model that several
     models read is written to the shared folder for them, so nothing is computed
     twice and a lost executor costs no more than its own tasks.
+
+    With ``folder`` each build writes to a new path below it and the table moves
+    there when the data is complete; what was there before stays readable.
     """
     frames: dict[str, DataFrame] = dict(raw)
     prefix = f"{database}." if database else ""
+    build_id = uuid.uuid4().hex
+
+    def save(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        writer = with_comments(df).write.mode("overwrite").partitionBy(*partition_by)
+        if folder:
+            writer = writer.option("path", f"{folder.rstrip('/')}/{name}/{build_id}")
+        writer.saveAsTable(f"{prefix}{name}")
+        return spark.table(f"{prefix}{name}").select(*df.columns)
+
     for name, model in MODELS.items():
         df = model.build(*[frames[i] for i in model.inputs])
         readers = [m for m in MODELS.values() if name in m.inputs]
         if model.table:
-            frames[name] = _save(spark, df, f"{prefix}{name}", model.partition_by)
+            frames[name] = save(name, df, model.partition_by)
         else:
             df.createOrReplaceTempView(name)
             frames[name] = written(df, name) if len(readers) > 1 else df
         if model.alias:
             frames[name].createOrReplaceTempView(model.alias)
-    frames[SPINE] = _save(spark, date_spine(spark), f"{prefix}{SPINE}", ())
+    frames[SPINE] = save(SPINE, date_spine(spark))
     return {n: frames[n] for n in (*MODELS, SPINE)}
 
 
-def _save(
-    spark: SparkSession, df: DataFrame, table: str, partition_by: Sequence[str]
-) -> DataFrame:
-    with_comments(df).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
-    return spark.table(table).select(*df.columns)
-
-
 def write_models(raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Every model written once and read back, so that many checks can share it."""
     frames: dict[str, DataFrame] = dict(raw)
