@@ -10,7 +10,7 @@ T0 = datetime(2025, 1, 1)
 T1 = datetime(2025, 2, 1)
 
 
-def page(page_id, day, flags, edited=T0, extra=(), extra_at=None):
+def page(page_id, day, flags, edited=T0, extra=()):
     """A habit page row in column order."""
     head = ["db", page_id, f'{{"start": "{day}"}}', page_id.title()]
     return (*head, *flags, *extra, T0, edited)

@@ -256,7 +256,9 @@ def test_stream_keeps_its_place(spark, store, land, tmp_path):
     checkpoint = str(tmp_path / "ck")
 
     def run():
-        stream_resource(store, CONTACTS, folder, checkpoint).awaitTermination()
+        stream_resource(
+            store, CONTACTS, folder, checkpoint, files_per_batch=1
+        ).awaitTermination()
         return store.read("hubspot__contacts").count()
 
     assert run() == 3

@@ -2,11 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from conftest import plan, rows
-from fixtures import raw_frames
+from fixtures import fit, page, raw_frames, reference
 from pyspark.sql import functions as F
 
 from tidemark.operators.measures import measure
@@ -283,3 +283,54 @@ def test_landed_pages_to_published_tables(spark, tmp_path, land):
     results = check_report(raw, {"stg_hubspot__engagements": models["stg_hubspot__engagements"]})
     assert "hubspot__deals" in {r.model for r in results.collect()}
     assert all_passed(results)
+
+
+def test_one_row_per_source(spark):
+    """One record in each raw table, all habits kept: counts worked out by hand."""
+    at = datetime(2025, 1, 1)
+    one = {
+        "hubspot__companies": (1990508, "C", at, at, None),
+        "hubspot__contacts": (3018020, None, None, "N", "J", at, at),
+        "hubspot__meetings": (7693191, "m", datetime(2025, 11, 25, 22, 2, 51), at, at),
+        "hubspot__calls": (4078827, "c", datetime(2025, 8, 4, 1, 38, 3), at, at),
+        "hubspot__communications": (2990937, "s", datetime(2025, 5, 26, 13, 10, 12), at, at),
+        "hubspot__meetings_to_contacts": (3018020, 7693191, at),
+        "hubspot__calls_to_contacts": (3018020, 4078827, at),
+        "hubspot__communications_to_contacts": (3018020, 2990937, at),
+        "fitbit__sleep": (
+            489, date(2025, 6, 6), 11_640_000, datetime(2025, 6, 5, 23, 17),
+            datetime(2025, 6, 6, 2, 31), "classic", "manual",
+        ),
+        "fitbit__activities": (763, "2025-01-24 03:47:00.000000 UTC", 0, at),
+        "notion__data_source_daily_habits": page("page1", "2023-01-02", [True] * 6),
+        "notion__data_source_weekly_habits": page(
+            "page2", "2023-01-08", [True] * 7, extra=('{"number":20}', 520)
+        ),
+        "notion__data_source_monthly_habits": page("page3", "2023-02-01", [True] * 6),
+        "notion__data_source_habit_reference": reference("page4", "Prayer", "Tickbox", 80),
+    }
+    raw = {n: spark.createDataFrame([fit(n, r)], RAW_TABLES[n]) for n, r in one.items()}
+    models = build(raw)
+    assert models["stg_hubspot__engagements"].filter("is_synchronous").count() == 2
+    contacts = rows(models["engagement_contacts_v1"], "contact_id", "company_id")
+    assert contacts == [(3018020, None)] * 3
+    assert models["int_habits_unpivoted"].filter("is_complete").count() == 19
+    assert rows(models["stg_fitbit__activities"]) == [(date(2025, 1, 24), 0, False)]
+    habits = models["habits_v1"]
+    assert habits.count() == 25
+    assert rows(habits.filter("not is_complete"), "habit") == [("sleep_minutes",), ("steps",)]
+    metrics = models["habits_metrics_v1"]
+    found = metrics.groupBy("report_period", "period_start").count()
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("month", date(2023, 2, 1), 6),
+        ("week", date(2023, 1, 2), 6),
+        ("week", date(2023, 1, 8), 9),
+        ("week", date(2025, 1, 20), 1),
+        ("week", date(2025, 6, 2), 1),
+        ("week", date(2025, 8, 4), 1),
+        ("week", date(2025, 11, 24), 1),
+    ]
+    matched = metrics.filter("target_pct is not null")
+    assert rows(matched, "habit", "completion_rate", "target_pct", "target_met") == [
+        ("did_prayer", 1.0, 0.8, True)
+    ]

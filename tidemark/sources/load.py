@@ -34,22 +34,27 @@ def landed_records(
     path: str | Sequence[str],
     multiline: bool = True,
     stream: bool = False,
+    **reader_options: Any,
 ) -> DataFrame:
     """Records of the landed pages of a resource."""
     if resource.parent:
         schema = page_schema(T.StructType.fromDDL(resource.record), resource.selector)
         schema = T.StructType.fromDDL("id string, updatedAt string").add(schema.fields[0])
         reader = (spark.readStream if stream else spark.read).schema(schema)
-        pages = reader.option("mode", "FAILFAST").option("multiLine", multiline).json(path)
+        reader = reader.options(mode="FAILFAST", multiLine=multiline, **reader_options)
+        pages = reader.json(path)
         columns = {"id": "id", "updatedAt": "updated_at"}
         return explode_association(pages, resource.parent, columns, resource.selector)
     if resource.record is None:
         if stream:
             raise ValueError(f"{resource.name}: a stream needs a declared record schema")
-        pages = spark.read.option("mode", "FAILFAST").option("multiLine", multiline).json(path)
+        reader = spark.read.options(mode="FAILFAST", multiLine=multiline, **reader_options)
+        pages = reader.json(path)
     else:
         record = T.StructType.fromDDL(resource.record)
-        pages = read_pages(spark, path, record, resource.selector, multiline, stream)
+        pages = read_pages(
+            spark, path, record, resource.selector, multiline, stream, **reader_options
+        )
     return explode_pages(pages, resource.selector)
 
 

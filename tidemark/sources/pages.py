@@ -30,14 +30,15 @@ def read_pages(
     selector: str,
     multiline: bool = True,
     stream: bool = False,
+    **reader_options: Any,
 ) -> DataFrame:
     """Pages with the declared fields only; a page that is no JSON stops the job.
 
     ``multiline=False`` reads one page per line, which Spark can split.
     """
     reader = spark.readStream if stream else spark.read
-    reader = reader.schema(page_schema(record, selector)).option("mode", "FAILFAST")
-    return reader.option("multiLine", multiline).json(path)
+    reader = reader.schema(page_schema(record, selector))
+    return reader.options(mode="FAILFAST", multiLine=multiline, **reader_options).json(path)
 
 
 def explode_pages(pages: DataFrame, selector: str) -> DataFrame:

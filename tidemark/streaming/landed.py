@@ -40,7 +40,10 @@ def stream_resource(
     landing: str,
     checkpoint: str,
     multiline: bool = True,
+    files_per_batch: int | None = None,
     **options: Any,
 ) -> StreamingQuery:
-    records = landed_records(store.spark, resource, landing, multiline, stream=True)
+    """``files_per_batch`` cuts a large backlog into batches of so many files."""
+    limit = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
+    records = landed_records(store.spark, resource, landing, multiline, stream=True, **limit)
     return stream_records(store, resource, records, checkpoint, **options)
