@@ -195,9 +195,9 @@ def habits_metrics(
         "target_pct", "threshold", "below_threshold", "active",
     )
     rate = completion_rate("completed_periods", "total_periods")
+    # There are few habits, so each is a hot key should the targets not be broadcast.
     return (
-        periods.withColumn("completion_rate", rate)
-        .join(targets, "habit", "left")
+        spread_join(periods.withColumn("completion_rate", rate), targets, ["habit"])
         .select(
             "habit", "habit_name", "category", "frequency", "source", "habit_type",
             "period_start", "report_period", "total_periods", "completed_periods",
