@@ -119,7 +119,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir)).select(
         "doc_id",
         "n_chars",
-        F.sha2(F.encode("edited", F.lit("UTF-8")), 256).alias("edited_sha256"),
+        F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("anchors")).alias("fingerprint"),
         as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
         "near_edited",
@@ -156,13 +156,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
 
+    def count(kind: str) -> Column:
+        return F.size(F.filter("pii", lambda s: s.base & (s.kind == kind))).cast("long")
+
     base = F.filter("pii", lambda s: s.base)
     return find_pii(documents(spark, sf_dir)).select(
         "doc_id",
-        *[
-            F.size(F.filter("pii", lambda s, kind=kind: s.base & (s.kind == kind))).cast("long").alias(f"n_{kind}")
-            for kind in KINDS
-        ],
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("pii")).alias("spans"),
     )
