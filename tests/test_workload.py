@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from workload.registry import QUERIES, SQL
 from workload.standins import GIVEN
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ ELSEWHERE = {
     "route_tables", "habits_v1", "measure_habits", "measure_engagements", "dq_model_suite",
 }
 NAMES = [
-    n for n in spark_entry.oracle_sql()
+    n for n in SQL
     if n not in ELSEWHERE and not n.startswith(("stg_", "base_"))
 ]
 
@@ -45,8 +46,8 @@ def _bag(columns, rows):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_duckdb(spark, db, name):
-    df = spark_entry.queries()[name](spark, SF_DIR)
-    result = db.execute(spark_entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    result = db.execute(SQL[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
     mine = _bag(df.columns, df.collect())
