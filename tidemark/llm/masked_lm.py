@@ -20,7 +20,8 @@ RARE = 256  # numbers 1 to RARE stand for the less frequent words, by hash
 WINDOW = 2
 WIDTH = 24
 SHARES = 2  # rounds of training; each takes its share of all documents
-STEP_TOKENS = 4096
+STEP_TOKENS = 1024
+BLOCK_TOKENS = 32_768
 MASKED = 4
 _OFFSETS = (-2, -1, 1, 2)
 
@@ -204,9 +205,9 @@ class LanguageModel:
         tokens, counts = self.vocabulary.numbers(texts)
         stream, place = framed(tokens, counts)
         logs = np.zeros(len(stream) - 2 * WINDOW, np.float32)
-        for at in range(0, len(logs), 8 * STEP_TOKENS):
-            part = stream[at : at + 8 * STEP_TOKENS + 2 * WINDOW]
-            logs[at : at + 8 * STEP_TOKENS] = self.network.log_probs(part)
+        for at in range(0, len(logs), BLOCK_TOKENS):
+            part = stream[at : at + BLOCK_TOKENS + 2 * WINDOW]
+            logs[at : at + BLOCK_TOKENS] = self.network.log_probs(part)
         return counts, sums_by(logs[place] - self.vocabulary.spread[tokens], counts)
 
 

@@ -20,7 +20,7 @@ BAND_ROWS = 6
 MISSED = 1e-5
 # Up to so many members all pairs of a bucket may be looked at; larger ones take pivots in turn.
 SMALL_BUCKET = 64
-PIVOTS = 16
+PIVOTS = 64
 
 
 def bands_for(percent: int, rows: int = BAND_ROWS, missed: float = MISSED) -> int:
@@ -212,13 +212,15 @@ def near_duplicates(
     over links, ``kept`` whether it is the row's own.
 
     Rows with the same set are one node, named by its smallest id. Nodes that
-    share a band key are candidates: each is first compared with the smallest
-    node of its bucket. Then, as long as a bucket holds several components, its
-    nodes outside the largest one are compared with all nodes of other
-    components: all at once in small buckets, some at a time in large ones. So no
-    link inside a bucket is lost that would join two components, and the pairs
-    looked at grow with the bucket, not with its square, unless its nodes really
-    differ. Links are confirmed on full sets.
+    share a band key are candidates. Each is first compared with the hub of its
+    bucket: the node that meets most others in all its buckets, as an original
+    does among its edited copies. Then, as long as a bucket holds several
+    components, its nodes outside the largest one are compared with the nodes of
+    other components: all at once in small buckets, some at a time in large
+    ones. Left out are only pairs that sizes and shingles no other node has rule
+    out. So no link inside a bucket is lost that would join two components, and
+    the pairs looked at grow with the bucket, not with its square, unless its
+    nodes really could differ by so little. Links are confirmed on full sets.
 
     A text without words has an empty set and no links. Rows with a null id are
     linked with nothing (null ``component_id``, kept). Rows that share an id are
@@ -234,12 +236,12 @@ def near_duplicates(
         ),
         "near-named",
     )
-    banded = named.filter("bands is not null").select("node", F.explode("bands").alias("key"))
+    banded = named.filter("bands is not null").select("node", "n", F.explode("bands").alias("key"))
     buckets = written(
         banded.groupBy("key")
         .agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), F.max("node").alias("last"))
         .filter("first < last")
-        .drop("last"),
+        .select("key", "size"),
         "near-buckets",
     )
     members = written(banded.join(buckets, "key"), "near-members")
@@ -258,46 +260,84 @@ def near_duplicates(
     )
 
 
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """How many shingles of each node no other of these nodes has (``node``, ``own``)."""
+    once = (
+        sets.select("node", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("node").alias("node"), F.max("node").alias("last"))
+        .filter("node = last")
+    )
+    return once.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
 def linked(
     docs: DataFrame, members: DataFrame, words: int, percent: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """Labels of the nodes that share a bucket (key, node, size, first) with another."""
+    """Labels of the nodes that share a bucket (key, node, n, size) with another."""
     nodes = members.select("node").distinct()
     sets = written(full_sets(docs, nodes, words, id_col, text_col), "near-sets")
     labels = written(nodes.select("node", F.col("node").alias("label")), "near-labels")
-    pairs = members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    links = written(verified(pairs.distinct(), sets, percent), "near-links")
+    met = written(members.groupBy("node").agg(F.sum("size").alias("met")), "near-met")
+    hubs = members.join(met, "node").groupBy("key").agg(
+        F.max_by("node", F.struct("met", "node")).alias("hub")
+    )
+    hubs = written(hubs, "near-hubs")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return written(verified(ordered.distinct(), sets, percent), "near-links")
+
+    links = compared(
+        members.join(hubs, "key").filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    )
     labels = components(links, labels)
-    done = None  # (key, node) that was compared with all others of its bucket
+    done = hubs.select("key", F.col("hub").alias("node"))  # compared with all others of the bucket
+    facts = None
     while True:
         now = members.join(labels, "node")
-        sizes = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+        sizes = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("times"), F.min("n").alias("least"))
         mixed = sizes.groupBy("key").agg(
-            F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
+            F.max_by("label", F.struct("times", "label")).alias("main"),
+            F.count(F.lit(1)).alias("labels"),
+            F.min("least").alias("least"),
+        )
+        mixed = written(mixed.filter("labels > 1").drop("labels"), "near-mixed")
+        now = now.join(mixed, "key")
+        if facts is None:
+            # Only nodes of mixed buckets can still find a partner, and only among themselves.
+            apart = written(now.select("node").distinct(), "near-apart")
+            own = own_shingles(sets.join(apart, "node", "left_semi"))
+            facts = written(
+                apart.join(own, "node", "left").select("node", F.coalesce("own", F.lit(0)).alias("own")),
+                "near-own",
+            )
+        # At most this many shingles of a node are in any other.
+        now = written(
+            now.join(facts, "node").withColumn("known", F.col("n") - F.col("own")).drop("own"), "near-now"
         )
-        mixed = mixed.filter("labels > 1").select("key", "main")
-        now = written(now.join(mixed, "key"), "near-mixed")
-        open_nodes = now.filter("label <> main and node <> first")
-        if done is not None:
-            open_nodes = open_nodes.join(done, ["key", "node"], "left_anti")
+        enough = lambda known, n: (100 + percent) * known >= percent * n
+        smallest = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+        open_nodes = now.filter(
+            (F.col("label") != F.col("main")) & enough(F.col("known"), F.col("n") + smallest)
+        ).join(done, ["key", "node"], "left_anti")
         salt = F.when(F.col("size") <= SMALL_BUCKET, F.xxhash64("node")).otherwise(
             F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
         )
         pivots = open_nodes.groupBy("key", salt.alias("salt")).agg(
-            F.min_by(F.struct("node", "label"), "node").alias("pivot")
-        )
-        pivots = written(
-            pivots.select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.label").alias("pivot_label")),
-            "near-pivots",
+            F.min_by(F.struct("node", "label", "n", "known"), "node").alias("p")
         )
+        pivots = written(pivots.select("key", "p"), "near-pivots")
         if pivots.isEmpty():
             return labels
-        # The first node of a bucket was compared with all others at the start.
-        apart = now.join(pivots, "key").filter("label <> pivot_label and node <> first")
-        pairs = apart.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        more = written(verified(pairs.distinct(), sets, percent), "near-links")
-        compared = pivots.select("key", F.col("pivot").alias("node"))
-        done = written(compared if done is None else done.union(compared), "near-done")
+        possible = (
+            (F.col("label") != F.col("p.label"))
+            & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
+            & enough(F.least("known", "p.known"), F.col("n") + F.col("p.n"))
+        )
+        pairs = now.alias("m").join(pivots.withColumnRenamed("key", "at"), (F.col("key") == F.col("at")) & possible)
+        more = compared(pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b")))
+        done = written(done.union(pivots.select("key", F.col("p.node").alias("node"))), "near-done")
         if not more.isEmpty():
             links = written(links.union(more), "near-links")
             labels = components(links, labels)
