@@ -117,21 +117,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = (
         texts.join(first, "text")
         .filter(~place.eqNullSafe(F.col("first")))
-        .groupBy("key", "tie").agg(F.collect_set("number").alias("_gone"))
+        .groupBy("key", "tie").agg(F.collect_set("number").alias("gone"))
     )
     gone = written(gone, "line-gone")
-    kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    whole = docs.select(
-        *kept_columns, id_key(F.col(id_col)).alias("_key"), F.xxhash64(text).alias("_tie")
-    ).join(gone.withColumnsRenamed({"key": "_key", "tie": "_tie"}), ["_key", "_tie"], "left")
-    lines = F.split(text, "\n")
+    # All input columns travel as one, so that none clashes with what is added here.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    whole = docs.select(row, id_key(F.col(id_col)).alias("key"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    whole = whole.join(gone, ["key", "tie"], "left")
+    lines = F.split("text", "\n")
 
     def cleaned(line_list: Column) -> Column:
         parts = F.filter(
             F.transform(
                 chunks(line_list),
                 lambda c, i: F.when(
-                    ~F.array_contains("_gone", i),
+                    ~F.array_contains("gone", i),
                     F.struct(chunk_text(line_list, c).alias("text"), c["n"].alias("n")),
                 ),
             ),
@@ -145,13 +145,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             ),
         )
 
-    touched = whole.withColumn("_clean", F.when(F.col("_gone").isNotNull(), let(lines, cleaned)))
-    out = touched.withColumn("_n", F.size(lines))
+    out = whole.select(
+        "row", "text", F.size(lines).alias("n"),
+        F.when(F.col("gone").isNotNull(), let(lines, cleaned)).alias("clean"),
+    )
     return out.select(
         *[
-            F.coalesce("_clean.text", text).alias(c) if c == text_col else F.col(f"`{c}`")
-            for c in kept_columns
+            F.coalesce("clean.text", "text").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+            for c in docs.columns
+            if c not in ("n_lines", "n_removed")
         ],
-        F.col("_n").cast("long").alias("n_lines"),
-        F.coalesce(F.col("_n") - F.col("_clean.n"), F.lit(0)).cast("long").alias("n_removed"),
+        F.col("n").cast("long").alias("n_lines"),
+        F.coalesce(F.col("n") - F.col("clean.n"), F.lit(0)).cast("long").alias("n_removed"),
     )
