@@ -278,9 +278,11 @@ def linked(
     nodes = members.select("node").distinct()
     sets = written(full_sets(docs, nodes, words, id_col, text_col), "near-sets")
     labels = written(nodes.select("node", F.col("node").alias("label")), "near-labels")
-    met = written(members.groupBy("node").agg(F.sum("size").alias("met")), "near-met")
-    hubs = members.join(met, "node").groupBy("key").agg(
-        F.max_by("node", F.struct("met", "node")).alias("hub")
+    met = written(
+        members.groupBy("node").agg(F.sum("size").alias("met"), F.collect_set("key").alias("keys")), "near-met"
+    )
+    hubs = members.join(met.drop("keys"), "node").groupBy("key").agg(
+        F.max_by(F.struct("node", "n", "met"), F.struct("met", "node")).alias("hub")
     )
     hubs = written(hubs, "near-hubs")
 
@@ -288,11 +290,20 @@ def linked(
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return written(verified(ordered.distinct(), sets, percent), "near-links")
 
-    links = compared(
-        members.join(hubs, "key").filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    )
+    # Each node with the best hub of its buckets; then with the others that are still apart from it.
+    sized = 100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")
+    to_hubs = written(members.join(hubs, "key").filter((F.col("node") != F.col("hub.node")) & sized), "near-to-hubs")
+    best = to_hubs.groupBy("node").agg(F.max_by("hub.node", F.struct("hub.met", "hub.node")).alias("hub"))
+    links = compared(best.select(F.col("hub").alias("a"), F.col("node").alias("b")))
     labels = components(links, labels)
-    done = hubs.select("key", F.col("hub").alias("node"))  # compared with all others of the bucket
+    its = labels.select(F.col("node").alias("hub_node"), F.col("label").alias("hub_label"))
+    rest = to_hubs.select("node", F.col("hub.node").alias("hub_node")).distinct()
+    rest = rest.join(labels, "node").join(its, "hub_node").filter("label <> hub_label")
+    more = compared(rest.select(F.col("hub_node").alias("a"), F.col("node").alias("b")))
+    if not more.isEmpty():
+        links = written(links.union(more), "near-links")
+        labels = components(links, labels)
+    done = hubs.select("key", "hub.node")  # compared with all others of the bucket
     facts = None
     while True:
         now = members.join(labels, "node")
@@ -308,10 +319,8 @@ def linked(
             # Only nodes of mixed buckets can still find a partner, and only among themselves.
             apart = written(now.select("node").distinct(), "near-apart")
             own = own_shingles(sets.join(apart, "node", "left_semi"))
-            facts = written(
-                apart.join(own, "node", "left").select("node", F.coalesce("own", F.lit(0)).alias("own")),
-                "near-own",
-            )
+            facts = apart.join(own, "node", "left").join(met, "node")
+            facts = written(facts.select("node", "keys", F.coalesce("own", F.lit(0)).alias("own")), "near-own")
         # At most this many shingles of a node are in any other.
         now = written(
             now.join(facts, "node").withColumn("known", F.col("n") - F.col("own")).drop("own"), "near-now"
@@ -325,7 +334,7 @@ def linked(
             F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
         )
         pivots = open_nodes.groupBy("key", salt.alias("salt")).agg(
-            F.min_by(F.struct("node", "label", "n", "known"), "node").alias("p")
+            F.min_by(F.struct("node", "label", "n", "known", "keys"), "node").alias("p")
         )
         pivots = written(pivots.select("key", "p"), "near-pivots")
         if pivots.isEmpty():
@@ -334,6 +343,8 @@ def linked(
             (F.col("label") != F.col("p.label"))
             & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
             & enough(F.least("known", "p.known"), F.col("n") + F.col("p.n"))
+            # Once for all buckets that the two share.
+            & (F.col("key") == F.array_min(F.array_intersect("keys", "p.keys")))
         )
         pairs = now.alias("m").join(pivots.withColumnRenamed("key", "at"), (F.col("key") == F.col("at")) & possible)
         more = compared(pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b")))
