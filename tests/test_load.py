@@ -327,3 +327,43 @@ def test_a_routed_load_that_is_run_again_changes_nothing(store, land):
     land("n3", {"results": [habit_page(2, 2)]}, 2)
     load_resource(store, resource, path, "r1")
     assert store.read("notion__data_source_daily_habits").count() == 1
+
+
+def test_routed_rows_without_key_and_with_other_types(spark, tmp_path):
+    resource = Resource(name="mixed", selector="$", record="id long, kind string", route_column="kind", route_prefix="m__")
+    store = RawStore(spark, str(tmp_path / "routed"))
+    loads = [
+        ("id long, kind string, v long, w boolean", [(1, "a", 80, True), (2, None, 81, False)]),
+        ("id long, kind string, v double, w string", [(3, "a", 80.5, "x"), (4, None, 1.5, "y"), (5, "b", 2.5, "z")]),
+        ("id long, kind string, v long, w boolean", [(6, "a", 82, None), (7, "b", 3, True)]),
+    ]
+    for i, (schema, rows) in enumerate(loads):
+        load_records(store, resource, spark.createDataFrame(rows, schema), f"run-{i}")
+    assert store.tables() == ["m__a", "m__b", "m__unrouted"]
+    found = {t: sorted((r.id, r.v, r.asDict().get("v__v_double")) for r in store.read(t).collect()) for t in ("m__a", "m__unrouted")}
+    assert found == {
+        "m__a": [(1, 80, None), (3, None, 80.5), (6, 82, None)],
+        "m__unrouted": [(2, 81, None), (4, None, 1.5)],
+    }
+    b = sorted((r.id, r.v, r.w, r.v__v_long, r.w__v_boolean) for r in store.read("m__b").collect())
+    assert b == [(5, 2.5, "z", None, None), (7, None, None, 3, True)]
+
+
+def test_merge_keeps_the_newest_version(spark, tmp_path):
+    store = RawStore(spark, str(tmp_path / "merged"))
+    make = lambda rows: spark.createDataFrame(rows, "id long, name string, at date")
+    from datetime import date
+
+    first = [(1, "zebra-old", date(2024, 1, 1)), (1, "alpha-new", date(2024, 2, 1)), (2, "two", date(2024, 1, 5))]
+    store.merge("t", make(first), "run-1", ["id"], cursor="at")
+    late = [(1, "late", date(2023, 1, 1)), (2, "two again", date(2024, 1, 6)), (3, "three", date(2020, 1, 1))]
+    store.merge("t", make(late), "run-2", ["id"], cursor="at")
+    assert sorted((r.id, r.name) for r in store.read("t").collect()) == [(1, "alpha-new"), (2, "two again"), (3, "three")]
+    assert store.high_water_mark("t") == "2024-02-01"
+
+
+def test_row_ids_of_rows_that_look_alike_differ(spark):
+    from tidemark.functions import row_hash
+
+    df = spark.createDataFrame([("a-b", "c"), ("a", "b-c"), (None, "c"), ("a", None), (None, None)], "x string, y string")
+    assert df.select(row_hash(df.schema).alias("h")).distinct().count() == 5

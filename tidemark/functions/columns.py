@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 # Fixed value: the text that stands for null inside a surrogate key.
 NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
 
-_NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
 def _col(c: Column | str) -> Column:
@@ -27,12 +26,12 @@ def surrogate_key(*parts: Column | str) -> Column:
 
 
 def row_hash(schema: T.StructType) -> Column:
-    """Content hash of a whole row; equal rows get equal ids on every attempt."""
-    parts = [
-        F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, _NESTED) else F.col(f"`{f.name}`")
-        for f in schema.fields
-    ]
-    return surrogate_key(*parts)
+    """Content hash of a whole row; equal rows get equal ids on every attempt.
+
+    Taken of the row as JSON with its nulls, in which no two rows look alike.
+    """
+    row = F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return F.md5(F.to_json(row, {"ignoreNullFields": "false"}))
 
 
 def safe_cast(c: Column | str, to: str) -> Column:

@@ -131,16 +131,22 @@ SOURCE_CHECKS: dict[str, list[Check]] = {
     "fitbit__sleep": [*not_null("log_id"), *no_overlap("start_time", "end_time")],
     "fitbit__activities": not_null("log_id"),
     _DAILY: not_null(*_raw_columns(_DAILY)),
-    _WEEKLY: not_null(
-        *_raw_columns(
-            _WEEKLY,
-            "properties__cook__checkbox",
-            "properties__cardio__checkbox",
-            "properties__sabbath__checkbox",
-            "properties__date_night__checkbox",
-            "properties__screen_minutes__number",
-        )
-    ),
+    _WEEKLY: [
+        *not_null(
+            *_raw_columns(
+                _WEEKLY,
+                "properties__cook__checkbox",
+                "properties__cardio__checkbox",
+                "properties__sabbath__checkbox",
+                "properties__date_night__checkbox",
+                "properties__screen_minutes__number",
+            )
+        ),
+        *between(
+            "properties__screen_minutes__number", 250, 2000,
+            where="properties__screen_minutes__number is not null",
+        ),
+    ],
     _MONTHLY: not_null(
         *_raw_columns(
             _MONTHLY, "properties__goal_review__checkbox", "properties__training__checkbox"

@@ -26,6 +26,8 @@ from tidemark.sources.raw_store import LOAD_ID, RawStore
 from tidemark.sources.resources import Resource
 
 TARGET = "_table"
+# Where rows without a route key go, behind the prefix of the resource.
+UNROUTED = "unrouted"
 
 
 def landed_records(
@@ -133,11 +135,14 @@ def load_records(
             disposition = "merge"
     if resource.route_column:
         name = route_by_key(resource.route_column, resource.routes, resource.route_prefix)
+        name = F.coalesce(name, F.lit(f"{resource.route_prefix}{UNROUTED}"))
         # Table names keep letters, digits and underscores only.
         root = root.withColumn(TARGET, F.regexp_replace(name, "[^0-9A-Za-z_]+", "_"))
         store.append_routed(root, TARGET, load_id, flat_cursor, disposition, resource.name)
     elif disposition == "merge":
-        store.merge(resource.target, root, load_id, resource.keys, resource=resource.name)
+        store.merge(
+            resource.target, root, load_id, resource.keys, resource=resource.name, cursor=flat_cursor
+        )
     else:
         write = store.replace if disposition == "replace" else store.append
         write(resource.target, root, load_id, flat_cursor, resource.name)

@@ -82,7 +82,7 @@ class RawStore:
     # --- reading ---------------------------------------------------------
 
     def tables(self) -> list[str]:
-        return sorted({r.table_name for r in self.loads()})
+        return sorted({r.table_name for r in self.loads() if r.table_name})
 
     def exists(self, table: str) -> bool:
         return bool(self._current(table))
@@ -170,20 +170,26 @@ class RawStore:
         keys: Sequence[str],
         order_by: Sequence[str] = (),
         resource: str | None = None,
+        cursor: str | None = None,
     ) -> None:
         """Upsert: incoming rows replace stored rows of the same key.
 
-        Stored rows are only filtered, so when the incoming keys are few enough to
+        With a ``cursor`` the newest of several incoming rows is taken, and it
+        replaces no stored row that is newer. Stored rows are only filtered, so when the incoming keys are few enough to
         broadcast the table is not shuffled. The result is a new load; what it
         is read from stays in place until ``vacuum``.
         """
-        merged = latest_per_key(df, keys, order_by or keys)
+        merged = latest_per_key(df, keys, order_by or ([cursor] if cursor else keys))
         schema, stored = self._before(table, load_id, resource or table)
         if stored is not None:
             merged = self._evolve(merged, schema)
+            if cursor in stored.columns and cursor in merged.columns:
+                held = stored.select(*keys, F.col(cursor).alias("_held"))
+                newer = F.col("_held").isNull() | (F.col(cursor) >= F.col("_held"))
+                merged = spread_join(merged, held, keys, "left").filter(newer).drop("_held")
             untouched = spread_join(stored, merged.select(*keys), keys, "left_anti")
             merged = untouched.unionByName(merged, allowMissingColumns=True)
-        self._write(table, merged, load_id, "replace", None, resource)
+        self._write(table, merged, load_id, "replace", cursor, resource)
 
     def merge_children(
         self, table: str, df: DataFrame, load_id: str, parent: str, resource: str | None = None
@@ -246,11 +252,52 @@ class RawStore:
 
         The rows are parsed and written once, split by target on the way out (no
         shuffle, so a target with most of the rows is written by many tasks). A
-        target's schema holds the columns that have a value in it.
+        target's schema holds the columns that have a value in it. Where a column
+        has another type than in its target so far, the rows of such targets are
+        written apart, with that column named after its type.
         """
         if any((r.resource, r.load_id) == (resource, load_id) for r in self.loads()):
             return
         base = f"{self.root}/_routed/{resource}/{load_id}"
+        entries = []
+        for i, (tables, drifted) in enumerate(self._drifts(df, resource, disposition)):
+            part = df.filter(F.col(target).isin(tables) if drifted else ~F.col(target).isin(tables))
+            for name in drifted:
+                part = part.withColumnRenamed(name, _variant(df.schema[name]))
+            path = f"{base}-{i}" if drifted else base
+            entries += self._route(part, target, load_id, cursor, disposition, resource, path)
+        if entries:
+            self.commit(entries)
+
+    def _drifts(
+        self, df: DataFrame, resource: str, disposition: str
+    ) -> list[tuple[list[str], tuple[str, ...]]]:
+        """Targets whose columns have another type than here, by the columns that do.
+
+        The last entry stands for all targets that are in none of the others.
+        """
+        groups: dict[tuple[str, ...], list[str]] = {}
+        known = {r.table_name for r in self.loads() if r.resource == resource and r.table_name}
+        for table in sorted(known) if disposition == "append" else ():
+            before = {f.name: f.dataType for f in self.schema(table).fields}
+            changed = tuple(
+                f.name for f in df.schema.fields if before.get(f.name, f.dataType) != f.dataType
+            )
+            if changed:
+                groups.setdefault(changed, []).append(table)
+        rest = [t for tables in groups.values() for t in tables]
+        return [*((tables, changed) for changed, tables in groups.items()), (rest, ())]
+
+    def _route(
+        self,
+        df: DataFrame,
+        target: str,
+        load_id: str,
+        cursor: str | None,
+        disposition: str,
+        resource: str,
+        base: str,
+    ) -> list[dict]:
         df.write.mode("overwrite").partitionBy(target).parquet(base)
         written = self.spark.read.schema(df.schema).parquet(base)
         columns = [f for f in df.schema.fields if f.name != target]
@@ -267,8 +314,7 @@ class RawStore:
             path = f"{base}/{target}={table}"
             entry = self._entry(resource, table, load_id, disposition, path, row)
             entries.append({**entry, "table_schema": _schema_text(old, own)})
-        if entries:
-            self.commit(entries)
+        return entries
 
     @staticmethod
     def _entry(
@@ -292,7 +338,7 @@ class RawStore:
         for f in df.schema.fields:
             before = next((o for o in old.fields if o.name == f.name), None)
             if before is not None and before.dataType != f.dataType:
-                df = df.withColumnRenamed(f.name, f"{f.name}__v_{f.dataType.typeName()}")
+                df = df.withColumnRenamed(f.name, _variant(f))
         return df
 
     def vacuum(self, table: str) -> list[str]:
@@ -306,6 +352,10 @@ class RawStore:
         return stale
 
 
+def _variant(field: T.StructField) -> str:
+    return f"{field.name}__v_{field.dataType.typeName()}"
+
+
 def _cursor_order(text: str) -> int | str:
     """Dates and timestamps in ISO form order as text, whole numbers do not."""
     return int(text) if text.lstrip("-").isdigit() else text

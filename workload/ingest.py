@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import shared_dir
 from tidemark.functions import cursor_day, epoch_ms, epoch_ms_to_iso, from_epoch_ms
-from tidemark.operators import route_by_key
+from tidemark.operators import route_by_key, union_all
 from tidemark.sources.load import load_records, load_resource, with_load_audit
 from tidemark.sources.nested import exclude_fields, flatten
 from tidemark.sources.pages import (
@@ -147,20 +147,26 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changed prices for a third of the keys, new keys, and both sent twice."""
+    """Two versions of a third of the keys in one batch, late older versions, new keys twice."""
     columns = ["p_partkey", "p_name", "p_brand", "p_retailprice"]
-    part = given(spark, sf_dir, "part")
-    changed = part.filter(F.col("p_partkey") % 3 == 0).withColumn(
-        "p_retailprice", F.col("p_retailprice") * 2
-    )
+    part = given(spark, sf_dir, "part").select(*columns, "p_size")
+
+    def version(rows: DataFrame, number: int, times: int) -> DataFrame:
+        price = F.col("p_retailprice") * times
+        return rows.select(*columns[:3], price.alias("p_retailprice"), F.lit(number).cast("long").alias("version"))
+
+    changed = part.filter(F.col("p_partkey") % 3 == 0)
+    late = part.filter(F.col("p_partkey") % 3 == 1)
     new = part.filter(F.col("p_size") > 25).withColumn(
         "p_partkey", F.col("p_partkey") + 1_000_000_000
     )
-    incoming = changed.select(*columns).union(new.select(*columns))
+    incoming = version(changed, 4, 2).union(version(changed, 3, 5)).union(version(late, 1, 9))
+    incoming = incoming.union(version(new, 2, 1)).union(version(new, 2, 1))
     store = RawStore(spark, shared_dir(spark, "merge"))
-    store.append("shop__part", part.select(*columns), "run-1")
-    store.merge("shop__part", incoming.union(incoming), "run-2", ["p_partkey"])
-    return store.read("shop__part")
+    store.append("shop__part", version(part, 2, 1), "run-1")
+    store.merge("shop__part", incoming, "run-2", ["p_partkey"], cursor="version")
+    store.merge("shop__part", version(changed, 3, 7), "run-3", ["p_partkey"], cursor="version")
+    return store.read("shop__part").select(*columns)
 
 
 @query(
@@ -351,6 +357,51 @@ def route_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@query(
+    "route_tables_drift",
+    """
+    SELECT event_id,
+           CASE WHEN event_id % 7 = 0 THEN 'app__unrouted'
+                ELSE 'app__' || CASE event_type WHEN 'purchase' THEN 'sales'
+                      WHEN 'signup' THEN 'accounts' WHEN 'view' THEN 'traffic'
+                      WHEN 'click' THEN 'traffic' ELSE event_type END END AS table_name,
+           CASE WHEN event_id % 2 = 0 THEN CAST(floor(value) AS BIGINT) END AS whole,
+           CASE WHEN event_id % 2 = 1 THEN value END AS fraction
+    FROM events
+    """,
+)
+def route_tables_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value column that is whole in one load and not in the next; some rows without a key."""
+    resource = Resource(
+        name="app__mixed",
+        selector="$",
+        record=EVENTS.record,
+        route_column="event_type",
+        routes=ROUTES,
+        route_prefix="app__",
+    )
+    store = RawStore(spark, shared_dir(spark, "route-drift"))
+    key = F.when(F.col("event_id") % 7 != 0, F.col("event_type"))
+    events = given(spark, sf_dir, "events").withColumn("event_type", key)
+    whole = events.filter("event_id % 2 = 0").withColumn("value", F.floor("value").cast("long"))
+    load_records(store, resource, whole, "run-1")
+    load_records(store, resource, events.filter("event_id % 2 = 1"), "run-2")
+    tables = []
+    for name in store.tables():
+        table = store.read(name)
+        empty = {c: F.lit(None).cast(t) for c, t in (("value", "long"), ("value__v_double", "double"))}
+        table = table.withColumns({c: v for c, v in empty.items() if c not in table.columns})
+        tables.append(
+            table.select(
+                "event_id",
+                F.lit(name).alias("table_name"),
+                F.col("value").alias("whole"),
+                F.col("value__v_double").alias("fraction"),
+            )
+        )
+    return union_all(*tables)
+
+
 @query(
     "property_projection",
     """
@@ -368,7 +419,7 @@ def property_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     "load_audit",
     """
     SELECT conv_id, turn, role, 'load-7' AS _load_id,
-           md5(concat_ws('-', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR), role, text))
+           md5(CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}) AS VARCHAR))
                AS _row_id
     FROM conversations
     """,

@@ -147,12 +147,22 @@ def by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_by_name(customers, suppliers, fill_missing=True)
 
 
-@query("empty_typed", "SELECT event_id, event_type, ts FROM events")
+@query(
+    "empty_typed",
+    """
+    SELECT event_id, event_type, CAST(NULL AS VARCHAR) AS note, CAST(NULL AS DOUBLE) AS score,
+           CAST(NULL AS DATE) AS noted_on, 0::BIGINT AS n_notes
+    FROM events
+    """,
+)
 def empty_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An empty relation stands in for a table that is not loaded yet."""
-    absent = empty_relation(spark, "event_id bigint, event_type string, ts timestamp_ntz")
-    present = given(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    return union_all(present, absent)
+    """An empty relation stands in for a table that is not loaded yet: joined and counted."""
+    absent = empty_relation(spark, "event_id bigint, note string, score double, noted_on date")
+    events = given(spark, sf_dir, "events").select("event_id", "event_type")
+    counted = child_counts(events, absent.withColumn("note_id", F.col("event_id")), "event_id", "note_id", "n_notes")
+    return counted.join(absent, "event_id", "left").select(
+        "event_id", "event_type", "note", "score", "noted_on", "n_notes"
+    )
 
 
 # --- joins -------------------------------------------------------------------
@@ -165,19 +175,28 @@ def empty_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
                || coalesce(CAST(p.p_partkey AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS key,
            o.o_orderkey, o.o_orderpriority, p.p_partkey, p.p_brand, s.s_name
     FROM orders o
-    LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 20) l ON l.l_orderkey = o.o_orderkey
-    LEFT JOIN (SELECT * FROM part WHERE p_size < 40) p ON p.p_partkey = l.l_partkey
-    LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s ON s.s_suppkey = p.p_size
+    LEFT JOIN (SELECT l_orderkey, CASE WHEN l_quantity > 20 THEN l_partkey END AS l_partkey
+               FROM lineitem) l ON l.l_orderkey = o.o_orderkey
+    LEFT JOIN (SELECT CASE WHEN p_size < 40 THEN p_partkey ELSE -p_partkey END AS p_partkey,
+                      p_brand, p_size FROM part) p ON p.p_partkey = l.l_partkey
+    LEFT JOIN (SELECT CASE WHEN s_acctbal > 0 THEN s_suppkey ELSE -s_suppkey END AS s_suppkey,
+                      s_name FROM supplier) s ON s.s_suppkey = p.p_size
     """,
 )
 def denormalised_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order, its lines, the known parts among them, the part's supplier."""
-    suppliers = given(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 0)
-    parts = given(spark, sf_dir, "part").filter(F.col("p_size") < 40)
-    suppliers = suppliers.select(F.col("s_suppkey").cast("int").alias("p_size"), "s_name")
+    """Order, its lines, the known parts among them, the part's supplier.
+
+    All rows go through; lines without a part and keys nobody refers to are made here.
+    """
+    supplier = F.when(F.col("s_acctbal") > 0, F.col("s_suppkey")).otherwise(-F.col("s_suppkey"))
+    suppliers = given(spark, sf_dir, "supplier").select(supplier.cast("int").alias("p_size"), "s_name")
+    part = F.when(F.col("p_size") < 40, F.col("p_partkey")).otherwise(-F.col("p_partkey"))
+    parts = given(spark, sf_dir, "part").withColumn("p_partkey", part)
     parts = spread_join(parts, suppliers, ["p_size"]).select("p_partkey", "p_brand", "s_name")
-    links = given(spark, sf_dir, "lineitem").filter(F.col("l_quantity") > 20)
-    links = links.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    bought = F.when(F.col("l_quantity") > 20, F.col("l_partkey"))
+    links = given(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), bought.alias("l_partkey")
+    )
     known = parts.withColumn("l_partkey", F.col("p_partkey"))
     widened = spread_join(links, known, ["l_partkey"]).drop("l_partkey")
     orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
@@ -259,17 +278,16 @@ def weekly_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT e.user_id, e.week, e.n,
            CASE WHEN e.n >= coalesce(nullif(c.c_nationkey % 6, 0), 1) THEN 1 ELSE 0 END AS reached
-    FROM (SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS n
-          FROM events WHERE event_type IN ('purchase', 'view') GROUP BY 1, 2) e
+    FROM (SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week,
+                 count(*) FILTER (WHERE event_type IN ('purchase', 'view')) AS n
+          FROM events GROUP BY 1, 2) e
     LEFT JOIN customer c ON c.c_custkey = e.user_id
     """,
 )
 def count_vs_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = given(spark, sf_dir, "events")
-    counts = (
-        events.filter(F.col("event_type").isin("purchase", "view"))
-        .groupBy("user_id", trunc_date("week", "ts").alias("week"))
-        .agg(F.count("*").alias("n"))
+    counts = events.groupBy("user_id", trunc_date("week", "ts").alias("week")).agg(
+        F.count_if(F.col("event_type").isin("purchase", "view")).alias("n")
     )
     goals = given(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"),
@@ -579,9 +597,10 @@ def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            INTERVAL 1 DAY)) AS DATE) AS date_day
         FROM orders),
     daily AS (
-        SELECT CAST(o_orderdate AS DATE) AS date_day, count(*) AS n_orders,
-               count(DISTINCT o_custkey) AS n_customers
-        FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' GROUP BY 1)
+        SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'
+                    THEN CAST(o_orderdate AS DATE) END AS date_day,
+               count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers
+        FROM orders GROUP BY 1)
     SELECT date_day, coalesce(n_orders, 0) AS n_orders, coalesce(n_customers, 0) AS n_customers
     FROM days LEFT JOIN daily USING (date_day)
     """,
@@ -590,8 +609,7 @@ def gap_filled_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = given(spark, sf_dir, "orders")
     urgent = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     daily = (
-        orders.filter(urgent)
-        .groupBy(F.col("o_orderdate").cast("date").alias("day"))
+        orders.groupBy(F.when(urgent, F.col("o_orderdate").cast("date")).alias("day"))
         .agg(
             F.count("*").alias("n_orders"),
             F.countDistinct("o_custkey").alias("n_customers"),
