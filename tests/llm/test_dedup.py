@@ -14,7 +14,7 @@ from text_fixtures import docs, plan  # noqa: F401
 from tidemark.llm.common import ascii_words, word_hashes
 from tidemark.llm.exact_dedup import DigestIndex, exact_dedup
 from tidemark.llm.line_dedup import chunk_ends, dedup_lines
-from tidemark.llm.minhash import FastSimilaritySketch, bands_for, near_duplicates, shingle_sets
+from tidemark.llm.minhash import FastSimilaritySketch, bands_for, near_duplicates, parity_bitmaps, shingle_sets
 from tidemark.session import shared_dir
 
 CLASHING = ("kept", "keep_id", "group_size", "text_sha256", "id", "key", "node", "n", "label", "hash", "lines",
@@ -181,6 +181,17 @@ def test_sketch_is_full_and_unbiased():
     assert (1 - 0.85**6) ** rows <= 1e-5 < (1 - 0.85**6) ** (rows - 1)
 
 
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(8)
+    for n, lost in ((0, 0), (1, 1), (60, 5), (3_000, 40), (3_000, 2_000)):
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        y = np.concatenate([x[lost:], rng.integers(0, 2**63, lost).astype(np.uint64)])
+        maps = parity_bitmaps(np.concatenate([x, y]), np.array([len(x), len(y)])).to_pylist()
+        bits = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(*maps, strict=True))
+        assert bits <= 2 * lost and (bits > 0 or lost < 2)
+    assert len(parity_bitmaps(np.zeros(0, np.uint64), np.zeros(0, np.int64))) == 0
+
+
 def test_word_hashes_depend_on_the_word_alone():
     words = ["", "a", "aa", "a" * 8, "a" * 9, "b" * 16, "é" * 4, "x" * 256, "x" * 257, "a\x00", "a\x00\x00"]
     texts = pa.array([" ".join(w for w in words if w), None, " \t\n"])

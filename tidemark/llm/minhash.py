@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,10 @@ MISSED = 1e-5
 # Up to so many members all pairs of a bucket may be looked at; larger ones take pivots in turn.
 SMALL_BUCKET = 64
 PIVOTS = 64
+# Later rounds take so many; what is still apart by then meets few that it could be linked to.
+MORE_PIVOTS = 1024
+# Bits of a set's parity bitmap, in words of 64.
+BITMAP_WORDS = 8
 
 
 def bands_for(percent: int, rows: int = BAND_ROWS, missed: float = MISSED) -> int:
@@ -138,10 +143,33 @@ def sketched(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
     return docs.select(F.col(id_col), text_of(text_col).alias("_text")).mapInArrow(sketches, schema)
 
 
+def parity_bitmaps(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Per set, whether an odd number of its elements hash to each bit.
+
+    Two bitmaps differ in no more bits than their sets differ in elements.
+    """
+    width = 64 * BITMAP_WORDS
+    owner = np.repeat(np.arange(len(counts)), counts)
+    place = ((mix(values ^ np.uint64(9)) >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)).astype(np.int64)
+    odd = np.bincount(owner * width + place, minlength=len(counts) * width) & 1
+    words = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+    cuts = np.arange(0, len(words) + 1, BITMAP_WORDS, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(words))
+
+
+def bits_apart(a: str, b: str) -> Column:
+    """In how many bits two bitmaps differ."""
+    differing = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITMAP_WORDS)]
+    return reduce(Column.__add__, differing)
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """The whole shingle sets (``node``, ``n``, ``shingles``) of the wanted nodes."""
-    node = T.StructField("node", docs.schema[id_col].dataType)
-    schema = T.StructType([node, T.StructField("n", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+    """The whole shingle sets (``node``, ``n``, ``shingles``, ``bits``) of the wanted nodes."""
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([
+        T.StructField("node", docs.schema[id_col].dataType), T.StructField("n", T.LongType()),
+        T.StructField("shingles", longs), T.StructField("bits", longs),
+    ])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +177,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_
             cuts = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             lists = pa.ListArray.from_arrays(cuts, pa.array(values.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), lists], schema.names
+                [batch.column(0), pa.array(counts, pa.int64()), lists, parity_bitmaps(values, counts)],
+                schema.names,
             )
 
     texts = docs.select(F.col(id_col).alias("node"), text_of(text_col).alias("_text"))
@@ -217,8 +246,9 @@ def near_duplicates(
     does among its edited copies. Then, as long as a bucket holds several
     components, its nodes outside the largest one are compared with the nodes of
     other components: all at once in small buckets, some at a time in large
-    ones. Left out are only pairs that sizes and shingles no other node has rule
-    out. So no link inside a bucket is lost that would join two components, and
+    ones. Left out are only pairs that sizes, shingles no other node has or the
+    number of bits their sets' bitmaps differ in rule out, each a bound that no
+    linked pair exceeds. So no link inside a bucket is lost that would join two components, and
     the pairs looked at grow with the bucket, not with its square, unless its
     nodes really could differ by so little. Links are confirmed on full sets.
 
@@ -304,37 +334,33 @@ def linked(
         links = written(links.union(more), "near-links")
         labels = components(links, labels)
     done = hubs.select("key", "hub.node")  # compared with all others of the bucket
-    facts = None
+    work = written(members.join(labels, "node"), "near-work")
+    mixed = written(mixed_buckets(work), "near-mixed")
+    work = work.join(mixed.select("key"), "key", "left_semi")
+    # Only nodes of mixed buckets can still find a partner, and only among themselves.
+    apart = written(work.select("node").distinct(), "near-apart")
+    own = own_shingles(sets.join(apart, "node", "left_semi"))
+    facts = apart.join(own, "node", "left").join(met, "node").join(sets.select("node", "bits"), "node")
+    facts = written(facts.select("node", "keys", "bits", F.coalesce("own", F.lit(0)).alias("own")), "near-own")
+    # At most ``known`` shingles of a node are in any other; too few of them rule a node out.
+    work = work.join(facts, "node").withColumn("known", F.col("n") - F.col("own")).drop("own")
+    enough = lambda known, n: (100 + percent) * known >= percent * n
+    least_partner = F.ceil(F.col("n") * percent / 100)
+    work = written(work.filter(enough(F.col("known"), F.col("n") + least_partner)), "near-work")
+    turn = 0
     while True:
-        now = members.join(labels, "node")
-        sizes = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("times"), F.min("n").alias("least"))
-        mixed = sizes.groupBy("key").agg(
-            F.max_by("label", F.struct("times", "label")).alias("main"),
-            F.count(F.lit(1)).alias("labels"),
-            F.min("least").alias("least"),
+        mixed = mixed_buckets(work).select("key", "main", "least")
+        smallest = F.greatest("least", least_partner)
+        open_nodes = (
+            work.join(mixed.withColumnRenamed("key", "at"), (F.col("key") == F.col("at")) & (F.col("label") != F.col("main")))
+            .filter(enough(F.col("known"), F.col("n") + smallest))
+            .join(done, ["key", "node"], "left_anti")
         )
-        mixed = written(mixed.filter("labels > 1").drop("labels"), "near-mixed")
-        now = now.join(mixed, "key")
-        if facts is None:
-            # Only nodes of mixed buckets can still find a partner, and only among themselves.
-            apart = written(now.select("node").distinct(), "near-apart")
-            own = own_shingles(sets.join(apart, "node", "left_semi"))
-            facts = apart.join(own, "node", "left").join(met, "node")
-            facts = written(facts.select("node", "keys", F.coalesce("own", F.lit(0)).alias("own")), "near-own")
-        # At most this many shingles of a node are in any other.
-        now = written(
-            now.join(facts, "node").withColumn("known", F.col("n") - F.col("own")).drop("own"), "near-now"
-        )
-        enough = lambda known, n: (100 + percent) * known >= percent * n
-        smallest = F.greatest("least", F.ceil(F.col("n") * percent / 100))
-        open_nodes = now.filter(
-            (F.col("label") != F.col("main")) & enough(F.col("known"), F.col("n") + smallest)
-        ).join(done, ["key", "node"], "left_anti")
         salt = F.when(F.col("size") <= SMALL_BUCKET, F.xxhash64("node")).otherwise(
-            F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
+            F.pmod(F.xxhash64("node"), F.lit(MORE_PIVOTS if turn else PIVOTS))
         )
         pivots = open_nodes.groupBy("key", salt.alias("salt")).agg(
-            F.min_by(F.struct("node", "label", "n", "known", "keys"), "node").alias("p")
+            F.min_by(F.struct("node", "label", "n", "known", "keys", "bits"), "node").alias("p")
         )
         pivots = written(pivots.select("key", "p"), "near-pivots")
         if pivots.isEmpty():
@@ -343,12 +369,28 @@ def linked(
             (F.col("label") != F.col("p.label"))
             & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
             & enough(F.least("known", "p.known"), F.col("n") + F.col("p.n"))
+            & ((100 + percent) * bits_apart("bits", "p.bits") <= (100 - percent) * (F.col("n") + F.col("p.n")))
             # Once for all buckets that the two share.
             & (F.col("key") == F.array_min(F.array_intersect("keys", "p.keys")))
         )
-        pairs = now.alias("m").join(pivots.withColumnRenamed("key", "at"), (F.col("key") == F.col("at")) & possible)
+        pairs = work.join(pivots.withColumnRenamed("key", "at"), (F.col("key") == F.col("at")) & possible)
         more = compared(pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b")))
         done = written(done.union(pivots.select("key", F.col("p.node").alias("node"))), "near-done")
         if not more.isEmpty():
             links = written(links.union(more), "near-links")
             labels = components(links, labels)
+        # In small buckets all nodes have had their turn.
+        turn += 1
+        work = work.filter(F.col("size") > SMALL_BUCKET).drop("label").join(labels, "node")
+        work = written(work, "near-work")
+
+
+def mixed_buckets(work: DataFrame) -> DataFrame:
+    """Buckets (key) of several components: the largest (main) and the size of the smallest set (least)."""
+    sizes = work.groupBy("key", "label").agg(F.count(F.lit(1)).alias("times"), F.min("n").alias("least"))
+    found = sizes.groupBy("key").agg(
+        F.max_by("label", F.struct("times", "label")).alias("main"),
+        F.count(F.lit(1)).alias("labels"),
+        F.min("least").alias("least"),
+    )
+    return found.filter("labels > 1").drop("labels")
