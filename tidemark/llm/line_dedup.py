@@ -77,7 +77,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("id"), id_key(F.col(id_col)).alias("key"), F.xxhash64(text).alias("tie"),
-        F.split(text, "\n").alias("lines"),
+        text.alias("text"), F.split(text, "\n").alias("lines"),
     )
     cut = rows.select("id", "key", "tie", "lines", chunks(F.col("lines")).alias("chunks"))
     found = cut.select(
@@ -98,15 +98,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "line-twice",
     )
     asked = found.join(twice, "hash").groupBy("key", "tie").agg(F.collect_set("number").alias("numbers"))
-    texts = cut.join(written(asked, "line-asked"), ["key", "tie"]).select(
-        "id", "key", "tie",
-        F.explode(
-            F.transform(
+    asked = written(asked, "line-asked").hint("merge")
+    plain = rows.select("id", "key", "tie", "text").join(asked, ["key", "tie"])
+    asked_texts = let(
+        F.split("text", "\n"),
+        lambda lines: let(
+            chunks(lines),
+            lambda c: F.transform(
                 F.array_sort("numbers"),
-                lambda i: F.struct(i.alias("number"), chunk_text(F.col("lines"), F.col("chunks")[i]).alias("text")),
-            )
-        ).alias("chunk"),
-    ).select("id", "key", "tie", "chunk.*")
+                lambda i: F.struct(i.alias("number"), chunk_text(lines, c[i]).alias("text")),
+            ),
+        ),
+    )
+    texts = plain.select("id", "key", "tie", F.explode(asked_texts).alias("chunk")).select("id", "key", "tie", "chunk.*")
     texts = written(texts.filter(F.trim(F.translate("text", "\n\t\r", "")) != ""), "line-texts")
     place = F.struct("id", "tie", "number")
     first = written(
@@ -119,11 +123,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .filter(~place.eqNullSafe(F.col("first")))
         .groupBy("key", "tie").agg(F.collect_set("number").alias("gone"))
     )
-    gone = written(gone, "line-gone")
+    gone = written(gone, "line-gone").hint("merge")
     # All input columns travel as one, so that none clashes with what is added here.
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    whole = docs.select(row, id_key(F.col(id_col)).alias("key"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    whole = whole.join(gone, ["key", "tie"], "left")
+    whole = docs.select(row, id_key(F.col(id_col)).alias("key"), F.xxhash64(text).alias("tie"))
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    whole = whole.join(gone, ["key", "tie"], "left").select("row", "gone", text.alias("text"))
     lines = F.split("text", "\n")
 
     def cleaned(line_list: Column) -> Column:
