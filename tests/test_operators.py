@@ -138,6 +138,22 @@ def test_interval_overlaps_against_brute_force(spark, logs, bucket):
     assert {(r.a, r.b) for r in found} == {(a, b) for a, b, _ in expected}
 
 
+@pytest.mark.parametrize("units", [1_000, 1_000_000])
+def test_overlaps_across_days_and_units(spark, units):
+    """The next start may lie days later; numbers count the declared unit."""
+    hour = 3600 * units
+    logs = [(0, 24 * 9 * hour), (23 * hour, 24 * hour), (24 * 8 * hour, 24 * 8 * hour + 1), (24 * 40 * hour, 24 * 41 * hour)]
+    df = spark.createDataFrame([*logs, (None, 5)], "a long, b long")
+    found = interval_overlaps(df, "a", "b", units_per_second=units)
+    assert rows(found, "a", "next_start", "n_overlaps") == [(0, 23 * hour, 1)]
+    longer = df.withColumn("b", F.when(F.col("a") > 0, 24 * 60 * hour).otherwise(F.col("b")))
+    found = interval_overlaps(longer, "a", "b", units_per_second=units)
+    assert sorted(rows(found, "a", "next_start")) == [
+        (0, 23 * hour), (23 * hour, 24 * 8 * hour), (24 * 8 * hour, 24 * 40 * hour),
+    ]
+    assert interval_overlaps(df.limit(0), "a", "b").collect() == []
+
+
 def test_interval_overlaps_per_entity(spark):
     t = datetime(2024, 1, 1)
     logs = [

@@ -11,6 +11,7 @@ from tidemark.operators.joins import HOT_ROWS, spread_join
 from tidemark.session import written
 
 _KEYS = "__key"
+_DAY = 86400
 
 
 def interval_overlaps(
@@ -20,6 +21,7 @@ def interval_overlaps(
     entity: Sequence[str] = (),
     bucket_seconds: int = 60,
     hot_rows: int = HOT_ROWS,
+    units_per_second: int = 1000,
 ) -> DataFrame:
     """Intervals that end after the next one (by start, then end) begins.
 
@@ -30,9 +32,12 @@ def interval_overlaps(
     A plain ``lead`` over one entity would sort all its rows in one task. Here
     copies are counted before the shuffle and only distinct starts are put in
     order, within an entity and a time bucket; the first start of each bucket is
-    handed across. The window within a bucket sees the instants of one minute at
-    most, the window across sees one row per minute of the time span (half a
-    million a year), however many logs the entity has.
+    handed across, first among the buckets of a day, then from day to day. So a
+    window sees the instants of one minute, the minutes of one day, or one row per
+    day of the time span (365 a year), however many logs the entity has.
+
+    Numeric starts count ``units_per_second``; times and dates need no unit. An
+    empty table gives no rows, nulls in the start are left out.
     """
     entity = list(entity)
     logs = (
@@ -48,7 +53,7 @@ def interval_overlaps(
     starts = (
         logs.groupBy(_KEYS)
         .agg(F.max("__end").alias("__last_end"))
-        .withColumn("__bucket", _bucket(df, start, bucket_seconds))
+        .withColumn("__bucket", _bucket(df, start, bucket_seconds, units_per_second))
     )
     within = Window.partitionBy(*who, "__bucket").orderBy(f"{_KEYS}.start")
     ordered = starts.withColumn("__next", F.lead(f"{_KEYS}.start").over(within))
@@ -56,10 +61,7 @@ def interval_overlaps(
     firsts = starts.groupBy(
         F.struct(*who).alias("__who"), F.col("__bucket").alias("__at")
     ).agg(F.min(f"{_KEYS}.start").alias("__first"))
-    across = Window.partitionBy("__who").orderBy("__at")
-    following = firsts.select(
-        "__who", "__at", F.lead("__first").over(across).alias("__next_bucket")
-    )
+    following = _handed_across(firsts, max(1, _DAY // bucket_seconds))
     same = (F.struct(*who) == F.col("__who")) & (F.col("__bucket") == F.col("__at"))
     linked = ordered.join(following, same, "left").select(
         _KEYS, "__last_end", F.coalesce("__next", "__next_bucket").alias("__next")
@@ -81,13 +83,31 @@ def interval_overlaps(
     ).filter(F.col("n_overlaps") > 0)
 
 
-def _bucket(df: DataFrame, start: str, seconds: int) -> Column:
+def _handed_across(firsts: DataFrame, per_day: int) -> DataFrame:
+    """For each bucket that has starts, the first start of the next such bucket."""
+    days = firsts.withColumn("__day", F.floor(F.col("__at") / F.lit(per_day)))
+    of_day = days.groupBy("__who", "__day").agg(F.min("__first").alias("__day_first"))
+    to_day = Window.partitionBy("__who").orderBy("__day")
+    next_days = of_day.select(
+        F.col("__who").alias("__day_who"),
+        F.col("__day").alias("__day_at"),
+        F.lead("__day_first").over(to_day).alias("__next_day"),
+    )
+    in_day = Window.partitionBy("__who", "__day").orderBy("__at")
+    days = days.withColumn("__next_in_day", F.lead("__first").over(in_day))
+    same = (F.col("__who") == F.col("__day_who")) & (F.col("__day") == F.col("__day_at"))
+    return days.join(next_days, same, "left").select(
+        "__who", "__at", F.coalesce("__next_in_day", "__next_day").alias("__next_bucket")
+    )
+
+
+def _bucket(df: DataFrame, start: str, seconds: int, units_per_second: int) -> Column:
     kind = df.schema[start].dataType.simpleString()
     at = F.col(f"{_KEYS}.start")
     if kind in ("timestamp", "timestamp_ntz"):
         at = F.unix_seconds(at.cast("timestamp"))
     elif kind == "date":
-        at = F.unix_date(at) * F.lit(86400).cast("bigint")
-    else:  # numbers are taken as milliseconds
-        at = F.floor(at / F.lit(1000))
+        at = F.unix_date(at) * F.lit(_DAY).cast("bigint")
+    else:
+        at = F.floor(at / F.lit(units_per_second))
     return F.floor(at / F.lit(seconds))

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import written
+
 # A key with more rows than this is not sent to one task. Of N rows at most
 # N / HOT_ROWS keys can be hot, which bounds what is broadcast for them: 20,000
 # keys for a table of 10^11 rows.
@@ -123,10 +125,11 @@ def orphan_keys(
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows without a parent.
 
-    The missing keys are found first, on one column, and counted: if they are few,
-    as in sound data, their rows are picked without a shuffle of the child table.
+    The missing keys are found and written first, on one column, and counted there:
+    if they are few, as in sound data, their rows are picked without a shuffle of the
+    child table. What was counted is what is broadcast.
     """
-    missing = orphan_keys(child, column, parent, field).select(column)
+    missing = written(orphan_keys(child, column, parent, field).select(column), "orphan-keys")
     if has_few_rows(missing):
         found = child.join(F.broadcast(missing), column, "left_semi")
     else:

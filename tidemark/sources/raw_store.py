@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.joins import has_few_rows, spread_join
+from tidemark.session import written
 from tidemark.sources.nested import PARENT_ID, ROW_ID
 
 LOAD_ID = "_load_id"
@@ -130,7 +131,7 @@ class RawStore:
         # Only loads that reach the mark can hold rows at it.
         paths = [r.path for r in loads if r.cursor_max == mark]
         stored = self.spark.read.schema(keys).parquet(*paths)
-        seen = stored.filter(F.col(cursor) == low).select(ROW_ID).distinct()
+        seen = written(stored.filter(F.col(cursor) == low).select(ROW_ID).distinct(), "seen-rows")
         if has_few_rows(seen):
             # Ids hold the cursor value too, so ids of newer rows are not among them.
             since = df.filter(F.col(cursor) >= low)

@@ -10,6 +10,9 @@ from tidemark.operators.measures import measure
 from tidemark.operators.spine import date_spine
 from tidemark.plans.build import MODELS, build
 from tidemark.plans.semantic import ENGAGEMENT_CONTACTS, HABITS
+from tidemark.plans.staging import activities
+from tidemark.session import shared_dir
+from tidemark.sources.csv import read_csv
 from workload.registry import query
 from workload.standins import RAW_SQL, raw, raw_for_duckdb
 
@@ -296,6 +299,55 @@ def engagement_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 assert {*MODEL_SQL, "stg_hubspot__engagement_companies"} == set(MODELS)
 
 
+# --- variants that keep what was delivered twice -------------------------------
+
+
+@query(
+    "fitbit_activities_redelivered",
+    f"""
+    SELECT CAST(left(start_time, 10) AS DATE) AS date_of_activity,
+           CAST(sum(coalesce(steps, 0)) AS BIGINT) AS steps,
+           sum(coalesce(steps, 0)) >= 7500 AS steps_goal_met
+    FROM ({raw_for_duckdb("fitbit__activities")}) GROUP BY 1
+    """,
+)
+def activities_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps per day where each delivery of a log counts."""
+    return activities(raw(spark, sf_dir, "fitbit__activities"), dedupe=False)
+
+
+# --- CSV ---------------------------------------------------------------------
+
+_QUOTED = """ || ' "x, y"' || chr(10) || 'z'"""
+
+
+@query(
+    "csv_round_trip",
+    f"""
+    WITH logs AS (
+        SELECT id, CAST(properties__associatedcompanyid AS BIGINT) AS properties__associatedcompanyid,
+               properties__email, properties__firstname{_QUOTED} AS properties__firstname, properties__lastname,
+               properties__createdate, properties__lastmodifieddate
+        FROM ({raw_for_duckdb("hubspot__contacts")}))
+    SELECT 'doubled' AS dialect, * FROM logs UNION ALL SELECT 'backslash', * FROM logs
+    """,
+)
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table as CSV, with commas, quotes and line feeds in it, in both ways to write quotes."""
+    contacts = raw(spark, sf_dir, "hubspot__contacts")
+    contacts = contacts.withColumn("properties__firstname", F.expr(f"properties__firstname{_QUOTED}"))
+    read = []
+    for dialect, escape in (("doubled", '"'), ("backslash", "\\")):
+        path = shared_dir(spark, f"csv-{dialect}")
+        contacts.write.option("header", True).option("escape", escape).csv(path)
+        table = read_csv(spark, path, "hubspot__contacts", escape)
+        read.append(table.select(F.lit(dialect).alias("dialect"), "*"))
+    return read[0].unionByName(read[1])
+
+
+# --- time spine ----------------------------------------------------------------
+
+
 @query(
     "time_spine_daily",
     with_models(
