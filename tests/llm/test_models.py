@@ -176,6 +176,31 @@ def test_word_counts_are_exact(docs):
     assert found == {"a": 4, "b": 2, "c": 1, "é": 1}
 
 
+def test_hashed_words_are_scored_by_their_own_counts(docs, monkeypatch):
+    monkeypatch.setattr(masked_lm, "KNOWN", 800)
+    words = [f"w{i}" for i in range(1_200)]
+    times = [40 if i < 700 else 30 if i < 800 else 2 + i % 7 if i < 1_100 else 1 for i in range(1_200)]
+    bag = [w for w, n in zip(words, times, strict=True) for _ in range(n)]
+    random.Random(5).shuffle(bag)
+    rows = docs([(i, " ".join(bag[i * 300 : i * 300 + 300])) for i in range(len(bag) // 300 + 1)])
+    model = masked_lm.train_language_model(rows)
+    assert 0 < len(model.vocabulary.known) <= 800  # so some counts are joined
+    top = {w for w, _ in sorted(zip(words, times, strict=True), key=lambda x: (-x[1], x[0]))[: masked_lm.TOKENS - 1 - masked_lm.RARE]}
+    tests = [*words[750:], "unseen"]
+    number = dict(zip(tests, masked_lm.rare_numbers(masked_lm.word_hashes(pa.array(tests))), strict=True))
+    found = {r.doc_id: r.log_prob for r in masked_lm.score_language(docs(list(enumerate(tests))), model).collect()}
+    behind = {}
+    for i, w in enumerate(tests):
+        if w not in top:
+            behind.setdefault(number[w], []).append((found[i], dict(zip(words, times, strict=True)).get(w, 1)))
+    compared = 0
+    for same in behind.values():
+        for (a, m), (b, n) in itertools.combinations(same, 2):
+            assert a - b == pytest.approx(math.log(m / n), abs=3e-3)
+            compared += m != n
+    assert compared > 50
+
+
 def test_log_probabilities_add_up_and_gradients_are_right():
     rng = np.random.default_rng(1)
     fresh = masked_lm.Network.fresh()

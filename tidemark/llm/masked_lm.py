@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,7 @@ from tidemark.session import written
 CLASSES = 32  # a token is a class and a member of it: two small softmaxes in place of a large one
 TOKENS = CLASSES * CLASSES
 RARE = 256  # numbers 1 to RARE stand for the less frequent words, by hash
+KNOWN = 131_072  # tasks look the counts of so many words up by themselves, those of all others are joined
 WINDOW = 2
 WIDTH = 24
 SHARES = 2  # rounds of training; each takes its share of all documents
@@ -38,10 +39,12 @@ class Vocabulary:
     """
 
     frequent: np.ndarray  # hashes of the frequent words, in order
-    spread: np.ndarray  # log of the number of distinct words behind each token
+    spread: np.ndarray  # log of how often the words behind each hashed number occur, and one more; else 0
+    known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # hashes in order
+    logs: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log of how often each of these occurs
 
-    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of all texts one after the other, and how many each text has."""
+    def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens and hashes of all texts one after the other, and how many each text has."""
         words, counts = ascii_words(texts)
         hashes = word_hashes(words)
         tokens = rare_numbers(hashes)
@@ -49,8 +52,20 @@ class Vocabulary:
             at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
             known = self.frequent[at] == hashes
             tokens[known] = RARE + 1 + at[known]
+        return tokens, hashes, counts
+
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        tokens, _, counts = self.coded(texts)
         return tokens, counts
 
+    def logs_of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log of the count of each word, 0 if not known here; and which are known."""
+        if not len(self.known):
+            return np.zeros(len(hashes)), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        found = self.known[at] == hashes
+        return np.where(found, self.logs[at], 0.0), found
+
 
 @dataclass(frozen=True)
 class Network:
@@ -199,16 +214,35 @@ class Trainer:
 class LanguageModel:
     vocabulary: Vocabulary
     network: Network
+    counts: DataFrame | None = None  # ``hash`` and ``n`` of all words of the corpus
 
     def scores(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of each text and the sum of their conditional log-probabilities."""
+        """Tokens of each text and the sum of their conditional log-probabilities.
+
+        Hashed words count as seen once here; ``looked_up`` adds what they occur.
+        """
         tokens, counts = self.vocabulary.numbers(texts)
+        return counts, self._sums(tokens, counts)
+
+    def looked_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Scores with the counts of the words known here.
+
+        Also the hashes of the other hashed words of all texts, and how many each has.
+        """
+        tokens, hashes, counts = self.vocabulary.coded(texts)
+        hashed = tokens <= RARE
+        hashes, text = hashes[hashed], np.repeat(np.arange(len(counts)), counts)[hashed]
+        logs, found = self.vocabulary.logs_of(hashes)
+        total = self._sums(tokens, counts) + np.bincount(text, logs, len(counts))
+        return counts, total, hashes[~found], np.bincount(text[~found], minlength=len(counts))
+
+    def _sums(self, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
         stream, place = framed(tokens, counts)
         logs = np.zeros(len(stream) - 2 * WINDOW, np.float32)
         for at in range(0, len(logs), BLOCK_TOKENS):
             part = stream[at : at + BLOCK_TOKENS + 2 * WINDOW]
             logs[at : at + BLOCK_TOKENS] = self.network.log_probs(part)
-        return counts, sums_by(logs[place] - self.vocabulary.spread[tokens], counts)
+        return sums_by(logs[place] - self.vocabulary.spread[tokens], counts)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -243,22 +277,39 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("word", "hash", "rare").agg(F.sum("n").alias("n"))
 
 
-def learn_vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
+def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     """From the counts of all words (between ASCII white space) of all texts.
 
-    The driver gets ``TOKENS`` words or numbers, whatever the corpus holds.
+    The driver gets ``TOKENS`` words or numbers and ``KNOWN`` words at most,
+    whatever the corpus holds.
     """
-    counts = written(word_counts(docs, text_col), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(TOKENS - 1 - RARE).select("hash", "rare").collect()
-    spread = np.zeros(TOKENS)
+    top = counts.orderBy(F.desc("n"), "word").limit(TOKENS - 1 - RARE).select("hash", "rare", "n").collect()
     behind = np.zeros(TOKENS)
-    for row in counts.groupBy("rare").agg(F.count(F.lit(1)).alias("words")).collect():
-        behind[row.rare] = row.words
+    for row in counts.groupBy("rare").agg(F.sum("n").alias("n")).collect():
+        behind[row.rare] = row.n
     for row in top:
-        behind[row.rare] -= 1
+        behind[row.rare] -= row.n
+    spread = np.zeros(TOKENS)
     # One more for words that no text had.
     spread[1 : RARE + 1] = np.log(behind[1 : RARE + 1] + 1)
-    return Vocabulary(np.unique(np.array([row.hash for row in top], np.int64).view(np.uint64)), spread)
+    frequent = np.unique(np.array([row.hash for row in top], np.int64).view(np.uint64))
+    return Vocabulary(frequent, spread, *_known(counts))
+
+
+def _known(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and log counts of all words from a power of two of occurrences on, at most ``KNOWN``."""
+    power = F.floor(F.log2("n")).cast("int")
+    least, words = 64, 0
+    for row in counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("power")).collect():
+        words += row.words
+        if words > KNOWN:
+            break
+        least = row.power
+    # Words that occur once add nothing.
+    rows = counts.filter((power >= least) & (F.col("n") > 1)).select("hash", "n").toArrow()
+    hashes = rows.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.log(rows.column("n").to_numpy())[order]
 
 
 def train_share(docs: DataFrame, model: LanguageModel, text_col: str) -> Network | None:
@@ -268,6 +319,7 @@ def train_share(docs: DataFrame, model: LanguageModel, text_col: str) -> Network
     weighted parameters are summed by place in the network, so the driver gets
     one network, however many tasks there were. None if there is no token.
     """
+    model = replace(model, counts=None)
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(model.network)
@@ -297,7 +349,8 @@ def train_share(docs: DataFrame, model: LanguageModel, text_col: str) -> Network
 
 def train_language_model(docs: DataFrame, text_col: str = "text") -> LanguageModel:
     """Vocabulary from all texts, then ``SHARES`` rounds; each document trains in one of them."""
-    model = LanguageModel(learn_vocabulary(docs, text_col), Network.fresh())
+    counts = written(word_counts(docs, text_col), "word-counts")
+    model = LanguageModel(learn_vocabulary(counts), Network.fresh(), counts.select("hash", "n"))
     share = F.pmod(F.xxhash64(text_of(text_col)), F.lit(SHARES))
     for i in range(SHARES):
         network = train_share(docs.filter(share == i), model, text_col)
@@ -311,24 +364,46 @@ def score_language(
     """Per row: id, ``n_tokens``, ``log_prob`` (sum over its tokens), ``mean_log_prob``.
 
     Every token is predicted from two tokens to each side; outside the text
-    stands a mark. A text without words, null included, has no token, a sum of 0
-    and a null mean. Repeated rows and null ids get a row each; other columns are
-    ignored. Sums are rounded to three decimals, as single precision allows.
+    stands a mark. A word behind a hashed number has its share of that number's
+    occurrences in the corpus. A text without words, null included, has no token,
+    a sum of 0 and a null mean. Repeated rows and null ids get a row each; other
+    columns are ignored. Sums are rounded to three decimals, as single precision
+    allows.
+
+    Counts of words that tasks don't know by themselves are joined by hash. Each
+    of those has less than one in ``KNOWN`` / 2 of all occurrences, so none is a
+    hot key, also in a corpus of many more words.
     """
     bounded_batches(docs.sparkSession)
+    bare = replace(model, counts=None)
 
-    @F.arrow_udf("struct<n: long, total: double>")
+    @F.arrow_udf("struct<n: long, total: double, rest: array<long>>")
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            n, total = model.scores(batch)
+            n, total, rest, of_text = bare.looked_up(batch)
+            ends = np.concatenate([[0], np.cumsum(of_text)]).astype(np.int32)
+            rest = pa.ListArray.from_arrays(pa.array(ends), pa.array(rest.view(np.int64)))
             yield pa.StructArray.from_arrays(
-                [pa.array(n, pa.int64()), pa.array(np.round(total, 3), pa.float64())], ["n", "total"]
+                [pa.array(n, pa.int64()), pa.array(total, pa.float64()), rest], ["n", "total", "rest"]
             )
 
-    scored = docs.select(F.col(id_col), judged(text_of(text_col)).alias("_lm"))
+    scored = docs.select(F.col(id_col).alias("id"), judged(text_of(text_col)).alias("lm"))
+    more = F.lit(0)
+    if model.counts is not None:
+        scored = written(scored.select("id", "lm", F.monotonically_increasing_id().alias("row")), "lm-scored")
+        counts = model.counts.groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1")
+        rest = scored.select("row", F.explode("lm.rest").alias("hash"))
+        # Whole millionths add up to the same in any order.
+        log = F.round(F.log("n") * 1_000_000).cast("long")
+        joined = rest.join(counts.hint("merge"), "hash").groupBy("row").agg(F.sum(log).alias("more"))
+        scored = scored.select("row", "id", "lm.n", "lm.total").join(joined.hint("merge"), "row", "left")
+        more = F.coalesce(F.col("more"), F.lit(0)) / 1_000_000
+    else:
+        scored = scored.select("id", "lm.n", "lm.total")
+    scored = scored.withColumn("total", F.round(F.col("total") + more, 3))
     return scored.select(
-        id_col,
-        F.col("_lm.n").alias("n_tokens"),
-        F.col("_lm.total").alias("log_prob"),
-        F.round(F.try_divide(F.col("_lm.total"), F.col("_lm.n")), 6).alias("mean_log_prob"),
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_tokens"),
+        F.col("total").alias("log_prob"),
+        F.round(F.try_divide("total", "n"), 6).alias("mean_log_prob"),
     )
