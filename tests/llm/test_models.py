@@ -221,6 +221,20 @@ def test_log_probabilities_add_up_and_gradients_are_right():
         assert grads[i] == pytest.approx(slope, rel=0.02)
 
 
+def test_every_place_of_every_text_is_a_target_of_training(monkeypatch):
+    seen, true = [], masked_lm.Network.gradients
+
+    def noted(self, stream, at):
+        seen.extend(stream[at].tolist())
+        return true(self, stream, at)
+
+    monkeypatch.setattr(masked_lm.Network, "gradients", noted)
+    tokens, counts = np.arange(1, 10_001) % 1_000 + 1, np.array([3, 0, 1, 9_000, 996])
+    trainer = masked_lm.Trainer(masked_lm.Network.fresh())
+    trainer.take(tokens, counts)
+    assert seen == tokens.tolist() and trainer.tokens == 10_000
+
+
 def test_scores_do_not_depend_on_the_texts_beside():
     vocabulary = masked_lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(masked_lm.TOKENS))
     rng = np.random.default_rng(2)

@@ -21,9 +21,8 @@ KNOWN = 131_072  # tasks look the counts of so many words up by themselves, thos
 WINDOW = 2
 WIDTH = 24
 SHARES = 2  # rounds of training; each takes its share of all documents
-STEP_TOKENS = 1024
+STEP_TOKENS = 4096
 BLOCK_TOKENS = 32_768
-MASKED = 4
 _OFFSETS = (-2, -1, 1, 2)
 
 
@@ -186,23 +185,18 @@ def framed(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Trainer:
-    """Adaptive gradient steps over a stream of texts.
-
-    As in training by masking, a random share of the places of every text is
-    predicted, one in ``MASKED``; which ones depends on the number of the step alone.
-    """
+    """Adaptive gradient steps over a stream of texts; every place of every text is predicted once."""
 
     def __init__(self, network: Network, rate: float = 0.1):
         self.network, self.rate, self.tokens = network, rate, 0
-        self.random = np.random.default_rng(11)
         self.seen = [np.full_like(a, 1e-6) for a in network.arrays()]
 
     def take(self, tokens: np.ndarray, counts: np.ndarray) -> None:
         stream, place = framed(tokens, counts)
         self.tokens += len(tokens)
-        masked = place[self.random.integers(0, MASKED, len(place)) == 0] + WINDOW
-        for at in range(0, len(masked), STEP_TOKENS):
-            grads = self.network.gradients(stream, masked[at : at + STEP_TOKENS])
+        place = place + WINDOW
+        for at in range(0, len(place), STEP_TOKENS):
+            grads = self.network.gradients(stream, place[at : at + STEP_TOKENS])
             new = []
             for a, s, g in zip(self.network.arrays(), self.seen, grads, strict=True):
                 s += g * g
