@@ -204,6 +204,41 @@ def test_edited_texts_and_neighbours(docs):
     assert all(r.near_edited > 0.2 > r.near_next for r in long)
 
 
+def test_point_syncmers_match_their_definition_and_join(spark):
+    rng = random.Random(6)
+    texts = ["", "a", "ab é😀", "x" * 40, "\n" * 13, "".join(rng.choice("ab c\né😀語") for _ in range(700))]
+    texts += ["".join(rng.choice("abcdef ") for _ in range(n)) for n in (5, 11, 12, 13, 30, 200)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    shown = df.select(
+        "i", fingerprints.point_syncmers(F.col("t")).alias("a"),
+        F.expr("transform(sequence(1, 6 + length(t)), j -> xxhash64(substr(p, j, 1), substr(p, j + 1, 1), substr(p, j + 2, 1),"
+               " substr(p, j + 3, 1), substr(p, j + 4, 1), substr(p, j + 5, 1)))".replace("(p,", "(concat(repeat('\\0', 11), t),")).alias("m"),
+    )
+    for r in shown.collect():
+        m, n = r.m, len(texts[r.i])
+        assert [a.end for a in r.a] == [p for p in range(n) if min(m[p], m[p + 6]) <= min(m[p + 1 : p + 6])]
+    pairs = df.alias("x").crossJoin(df.alias("y")).select(
+        F.expr("left(x.t, length(x.t) - cast(floor(length(x.t) / 2) as int))").alias("head"), F.col("x.t").alias("own"),
+        F.expr("left(y.t, cast(floor(length(x.t) / 2) as int))").alias("tail"), F.col("y.t").alias("next"),
+    )
+    whole = fingerprints.hashes_of(fingerprints.point_syncmers(F.concat("head", "tail")))
+    parts = fingerprints.joined_anchors(
+        F.col("head"), fingerprints.point_syncmers(F.col("own")), F.col("tail"), fingerprints.point_syncmers(F.col("next")))
+    found = pairs.select(whole.alias("whole"), fingerprints.hashes_of(parts).alias("parts")).collect()
+    assert len(found) == len(texts) ** 2 and all(r.whole == r.parts for r in found)
+
+
+def test_short_and_unspaced_texts_stay_near_their_edits(docs):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(4, 9)))
+    texts = [" ".join(word() for _ in range(n)) for n in range(3, 21) for _ in range(3)]
+    texts += ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n)) for n in (20, 60, 400, 5_000)]
+    rng.shuffle(texts)
+    found = fingerprints.fingerprints(docs(list(enumerate(texts)))).collect()
+    assert len(found) == len(texts)
+    assert all(r.near_edited > max(0.1, r.near_next) for r in found)
+
+
 def test_closed_syncmers_match_their_definition(spark):
     rng = random.Random(2)
     texts = [" ".join(f"w{rng.randrange(30)}" for _ in range(n)) for n in (0, 1, 5, 6, 7, 40, 300)]
