@@ -181,6 +181,25 @@ def test_prompts_bear_no_loss(spark):
     assert total == {1: (prompt + answer + 1, answer + 1), 2: (1, 1)}
 
 
+def test_each_of_three_limits_binds_in_one_stream():
+    limits, rng = Limits(64, 6, 24), random.Random(3)
+    packer, used = DotProductPacker(limits, 12), defaultdict(lambda: np.zeros(3, int))
+    sizes = [rng.choice(((2, 0), (30, 2), (8, 8), (40, 30), (1, 1))) for _ in range(600)]
+    out = []
+    for key, (n, m) in enumerate(sizes):
+        out += packer.add(key, np.arange(n, dtype="<u4").tobytes(), m)
+    out += packer.finish()
+    for key, start, length, _, total, sequence, _, bearing in out:
+        first_loss = total - min(total, sizes[key][1])
+        assert bearing == max(0, start + length - max(start, first_loss))
+        used[sequence] += (length, 1, bearing)
+    sums = np.array(list(used.values()))
+    assert (sums <= limits.vector()).all() and sums[:, 0].sum() == sum(n for n, _ in sizes)
+    full = sums == limits.vector()
+    # Each limit is reached, in some sequences by itself.
+    assert all((full[:, d] & (full.sum(1) == 1)).any() for d in range(3))
+
+
 # --- fingerprints ------------------------------------------------------------------
 
 
