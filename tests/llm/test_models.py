@@ -301,6 +301,16 @@ def test_labelled_table_is_learned_and_other_forms_are_added():
     assert pii.spans_in([clean, ""], crf) == [[], []]
 
 
+def test_facts_are_those_of_the_whole_word():
+    assert "digits=20+" in pii.facts(pii.shape("1" * 20)) and "digits=13-19" in pii.facts(pii.shape("1" * 19))
+    start = "a-1" * 12  # its 36 runs are cut after 24
+    plain, more = (pii.facts(pii.shape(w)) for w in (start, start + "a@b.c#d"))
+    assert plain[1] == more[1]
+    assert {"digits=9-12", "marks=-", "dots=0", "at=False"} <= set(plain)
+    assert {"digits=9-12", "marks=#-.@", "dots=1", "at=True"} <= set(more)
+    assert pii.shape("4111-1111") == "d4-d4" and "\n" not in pii.shape("a.b@c.example")
+
+
 def test_viterbi_finds_the_best_of_all_paths():
     tagger = pii.Tagger(pii.train_crf())
     crf, k = tagger.crf, len(pii.LABELS)

@@ -78,19 +78,20 @@ _TRAILING = "]}>\"'».,;:!?”“|"
 
 
 def shape(word: str) -> str:
-    """Letters as ``a``, digits counted, other marks kept; long runs cut short.
+    """Letters as ``a``, digits counted, other marks kept; cut after 24 runs and 17 digits a run.
 
     Marks around the word are left out, brackets only where they don't belong to it.
+    A shape that is cut has the totals of the whole word behind a line feed.
     """
     core = word.strip(_LEADING + _TRAILING)
     out, i = [], 0
-    while i < len(core) and len(out) < 24:
+    while i < len(core):
         c = core[i]
         j = i + 1
         if c.isdigit():
             while j < len(core) and core[j].isdigit():
                 j += 1
-            out.append(f"d{min(j - i, 17)}")
+            out.append(f"d{j - i}")
         elif c.isalpha():
             while j < len(core) and core[j].isalpha():
                 j += 1
@@ -100,19 +101,35 @@ def shape(word: str) -> str:
                 j += 1
             out.append(c)
         i = j
-    return "".join(out)
+    whole = "".join(out)
+    name = "".join(f"d{min(int(r[1:]), 17)}" if r[0] == "d" else r for r in out[:24])
+    if name == whole:
+        return name
+    digits, letters, dots, at, marks = totals(whole)
+    return f"{name}\n{digits} {letters:d} {dots} {at:d} {marks}"
 
 
-def facts(s: str) -> list[str]:
-    """What the field sees of a shape."""
+def totals(s: str) -> tuple[int, bool, int, bool, str]:
+    """Of a shape without cut: digits, whether it has letters, dots, a dot behind an @; its marks."""
     digits = sum(int(n) for n in re.findall(r"d(\d+)", s))
-    letters = "a" in s.replace("d", "")
     marks = "".join(sorted(set(re.sub(r"d\d+|a", "", s))))
+    return digits, "a" in s.replace("d", ""), s.count("."), "@" in s and "." in s.partition("@")[2], marks
+
+
+def facts(s: str) -> list[str]:
+    """What the field sees of a shape."""
+    s, cut, rest = s.partition("\n")
+    if cut:
+        *numbers, marks = rest.split(" ", 4)
+        digits, letters, dots, at = map(int, numbers)
+        letters, at = bool(letters), bool(at)
+    else:
+        digits, letters, dots, at, marks = totals(s)
     size = "0" if not digits else "1-4" if digits < 5 else "5-8" if digits < 9 else "9-12" if digits < 13 else "13-19" if digits < 20 else "20+"
     return [
         "bias", f"shape={s}", f"digits={size}", f"letters={letters}", f"marks={marks}",
-        f"mixed={letters and digits > 0}", f"dots={s.count('.')}", f"head={s[:2]}",
-        f"at={'@' in s and '.' in s.partition('@')[2]}", f"plain={s == 'a'}",
+        f"mixed={letters and digits > 0}", f"dots={dots}", f"head={s[:2]}",
+        f"at={at}", f"plain={s == 'a'}",
     ]
 
 
