@@ -16,6 +16,7 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.masked_lm import score_language, train_language_model
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.packing import pack_texts
+from tidemark.llm.passages import dedup_passages
 from tidemark.llm.pii import KINDS, find_pii
 from tidemark.llm.quality import score_quality, train_quality
 from tidemark.llm.toxicity import score_toxicity, train_toxicity
@@ -202,3 +203,34 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query(
+    "op11_substring_dedup",
+    """
+    WITH words AS (
+      SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+      FROM documents
+    ), windows AS (
+      SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS body
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)
+    ), late AS (
+      SELECT doc_id, i FROM windows
+      QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, i) > 1
+    ), gone AS (
+      SELECT DISTINCT doc_id, i + j AS i FROM late CROSS JOIN (SELECT unnest(range(20)) AS j) places
+    ), listed AS (
+      SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+    ), kept AS (
+      SELECT w.doc_id, w.w, coalesce(len(l.gone), 0) AS n_removed, l.gone
+      FROM words w LEFT JOIN listed l ON l.doc_id = w.doc_id
+    )
+    SELECT doc_id, len(w) AS n_words, n_removed, sha256(array_to_string(
+      CASE WHEN n_removed = 0 THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+    FROM kept
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_passages(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
