@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import documents
+from tidemark.llm.conversations import damaged, repair_conversations
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.fingerprints import as_text, fingerprints
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.masked_lm import score_language, train_language_model
 from tidemark.llm.minhash import near_duplicates
+from tidemark.llm.negatives import hard_negatives
 from tidemark.llm.packing import pack_texts
 from tidemark.llm.passages import dedup_passages
 from tidemark.llm.pii import KINDS, find_pii
@@ -234,3 +236,136 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_passages(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+# Cells as text, cost in nine digits before the audit, so that the least text is the least cell;
+# c[1] to c[4] are those of what came so far: nothing, then a turn of system, user, assistant.
+_NO_CELL = "'~'"
+
+
+def _then(cell: str, cost: int, letter: str) -> str:
+    return f"CASE WHEN {cell} = '~' THEN '~' ELSE printf('%09d', substr({cell}, 1, 9)::BIGINT + {cost}) || substr({cell}, 10) || '{letter}' END"
+
+
+def _turn(role: str, froms: list[int]) -> list[str]:
+    """Cells that lead to a turn of this role, by keeping or re-roling row r."""
+    extra = "CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END"
+    out = []
+    for i in froms:
+        cell = f"c[{i}]"
+        keep = f"printf('%09d', substr({cell}, 1, 9)::BIGINT + {extra}) || substr({cell}, 10) || 'K'"
+        rerole = f"printf('%09d', substr({cell}, 1, 9)::BIGINT + 1 + {extra}) || substr({cell}, 10) || 'R'"
+        change = "'~'" if role == "s" else rerole
+        out.append(
+            f"CASE WHEN {cell} = '~' OR r.fault IN ('blank', 'duplicate') THEN '~' "
+            f"WHEN r.initial = '{role}' THEN {keep} ELSE {change} END"
+        )
+    return out
+
+
+def _all_turns() -> str:
+    cells = [[], _turn("s", [1]), _turn("u", [1, 2, 4]), _turn("a", [3])]
+    return "[" + ", ".join(f"least({', '.join([_then(f'c[{i + 1}]', 2, 'D'), _NO_CELL, *cells[i]])})" for i in range(4)) + "]"
+
+
+_INSERT_USER = f"least(c[3], {_then('c[1]', 5, 'I')}, {_then('c[2]', 5, 'I')}, {_then('c[4]', 5, 'I')})"
+_INSERT_ASSISTANT = f"least(c[4], {_then('c[3]', 5, 'I')})"
+
+# Bit by bit over the id and the turn, which are ASCII.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+      string_split(concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')), ''), lambda s: ascii(s)::BIGINT)),
+      lambda crc, byte: list_reduce([xor(crc, byte), 1, 2, 3, 4, 5, 6, 7, 8],
+        lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+
+REPAIR_SQL = f"""
+WITH named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC32} % 20 AS f
+  FROM conversations
+), turns AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role, unnest(CASE f WHEN 0 THEN []::INT[] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM named
+), numbered AS (
+  SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+    regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS body
+  FROM turns
+), judged AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM numbered
+), told AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({{'initial': initial, 'fault': fault, 'role': role, 'text': text}} ORDER BY i) AS rows
+  FROM judged GROUP BY conv_id
+), parsed AS (
+  SELECT *, list_reduce(list_prepend({{'initial': '', 'fault': 'none', 'role': '', 'text': '', 'c': ['000000000', '~', '000000005I', '000000010II']}},
+    list_transform(rows, lambda r: {{'initial': r.initial, 'fault': r.fault, 'role': r.role, 'text': r.text, 'c': ['~', '~', '~', '~']}})),
+    lambda acc, r: {{'initial': '', 'fault': '', 'role': '', 'text': '', 'c':
+      list_transform(list_transform(list_transform([acc.c], lambda c: {_all_turns()}),
+        lambda c: [c[1], c[2], {_INSERT_USER}, c[4]]), lambda c: [c[1], c[2], c[3], {_INSERT_ASSISTANT}])[1]}}).c AS c
+  FROM told
+), chosen AS (
+  SELECT *, substr(least(c[1], c[4]), 1, 9)::BIGINT AS cost, substr(least(c[1], c[4]), 10) AS audit FROM parsed
+), letters AS (
+  SELECT conv_id, rows, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS k FROM chosen WHERE audit <> ''
+), placed AS (
+  SELECT conv_id, letter, k, rows[(sum((letter <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY k))::BIGINT] AS r FROM letters
+), outputs AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k) - 1 AS o,
+    first_value(letter = 'K' AND r.initial = 's') OVER (PARTITION BY conv_id ORDER BY k) AS system_first
+  FROM placed WHERE letter <> 'D'
+), lines AS (
+  SELECT conv_id, k, CASE letter WHEN 'K' THEN r.role ELSE CASE WHEN (o - system_first::INT) % 2 = 0 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE letter WHEN 'I' THEN '' ELSE r.text END AS line
+  FROM outputs
+), repaired AS (
+  SELECT conv_id, string_agg(line, chr(10) ORDER BY k) AS body FROM lines GROUP BY conv_id
+)
+SELECT n.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+  coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(c.cost, 0) AS cost, coalesce(c.audit, '') AS audit,
+  sha256(coalesce(r.body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) n
+LEFT JOIN chosen c ON c.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM n.conv_id
+"""
+
+
+@query("op12_conversation_repair", REPAIR_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH parts AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_inner_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score
+      FROM parts a JOIN parts b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+    ), positives AS (
+      SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id,
+      (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id))::INTEGER AS rank,
+      s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+      AND 100 * s.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+    QUALIFY rank <= 3
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("id") % 50 == 0)
