@@ -5,12 +5,15 @@ from __future__ import annotations
 import argparse
 from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
+
 from tidemark.plans.build import all_passed, check_report, publish, raw_tables, write_models
 from tidemark.session import get_session, shared_dir
 from tidemark.sources.load import load_resource
 from tidemark.sources.pages import BASE_DATE
 from tidemark.sources.raw_store import RawStore
 from tidemark.sources.resources import RESOURCES
+from tidemark.streaming import stream_resource
 
 
 def main() -> int:
@@ -22,6 +25,9 @@ def main() -> int:
     parser.add_argument("--initial-date", default=BASE_DATE)
     parser.add_argument("--end-date")
     parser.add_argument("--full-refresh", action="store_true")
+    parser.add_argument("--lines", action="store_true", help="one page per line, not per file")
+    parser.add_argument("--stream", action="store_true", help="as a stream, in batches")
+    parser.add_argument("--files-per-batch", type=int, help="with --stream")
     parser.add_argument("--load-id", help="give the same id again to repeat a load")
     parser.add_argument("--database")
     parser.add_argument("--tables", help="folder for the built tables (default: the warehouse)")
@@ -32,17 +38,28 @@ def main() -> int:
     if args.job == "load":
         if not args.landing:
             parser.error("load needs --landing")
+        if args.stream and args.full_refresh:
+            parser.error("a full refresh reads all pages at once")
         load_id = args.load_id or datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f")
+        window = {"start": args.initial_date, "end": args.end_date}
         for resource in RESOURCES.values():
-            if resource.name.startswith(args.source):
+            if not resource.name.startswith(args.source):
+                continue
+            landing = f"{args.landing}/{resource.name}"
+            if args.stream:
+                checkpoint = f"{args.raw}/_checkpoints/{resource.name}/stream"
+                try:
+                    query = stream_resource(
+                        store, resource, landing, checkpoint, not args.lines, args.files_per_batch, **window
+                    )
+                except AnalysisException as error:
+                    if "PATH_NOT_FOUND" not in str(error):
+                        raise
+                else:
+                    query.awaitTermination()
+            else:
                 load_resource(
-                    store,
-                    resource,
-                    f"{args.landing}/{resource.name}",
-                    load_id,
-                    start=args.initial_date,
-                    end=args.end_date,
-                    full_refresh=args.full_refresh,
+                    store, resource, landing, load_id, not args.lines, args.full_refresh, **window
                 )
         return 0
     raw = raw_tables(store)

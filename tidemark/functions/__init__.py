@@ -1,4 +1,5 @@
 from tidemark.functions.columns import (
+    canonical_json,
     completion_rate,
     cursor_day,
     date_prefix,
@@ -17,6 +18,7 @@ from tidemark.functions.columns import (
 )
 
 __all__ = [
+    "canonical_json",
     "completion_rate",
     "cursor_day",
     "date_prefix",

@@ -25,13 +25,43 @@ def surrogate_key(*parts: Column | str) -> Column:
     return F.md5(F.concat_ws("-", *as_text))
 
 
+# A JSON string, taken as a whole so that nothing inside it counts as a field.
+_JSON_STRING = r'"(?:[^"\\]++|\\.)*+"'
+
+
+def canonical_json(value: Column) -> Column:
+    """JSON text of a VARIANT that hangs on its fields alone.
+
+    Names are sorted and null fields left out, so neither their order nor fields
+    without a value, such as a schema may add, change it.
+    """
+    text = F.to_json(value)
+    kept = F.regexp_replace(text, rf"{_JSON_STRING}:null(?:,|(?=\}}))|({_JSON_STRING})", "$1")
+    kept = F.regexp_replace(kept, rf"({_JSON_STRING})|,(?=\}})", "$1")
+    return F.when(F.contains(text, F.lit(":null")), kept).otherwise(text)
+
+
+def _by_name(col: Column, kind: T.DataType) -> Column:
+    """The value with the fields of its objects in the order of their names."""
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        return F.when(
+            col.isNotNull(), F.struct(*[_by_name(col.getField(f.name), f.dataType).alias(f.name) for f in fields])
+        )
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
+        return F.transform(col, lambda x: _by_name(x, kind.elementType))
+    return col
+
+
 def row_hash(schema: T.StructType) -> Column:
     """Content hash of a whole row; equal rows get equal ids on every attempt.
 
-    Taken of the row as JSON with its nulls, in which no two rows look alike.
+    Taken of the row as JSON with sorted names and without null fields, in which no
+    two rows look alike but for null fields and the order of columns.
     """
-    row = F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])
-    return F.md5(F.to_json(row, {"ignoreNullFields": "false"}))
+    fields = sorted(schema.fields, key=lambda f: f.name)
+    row = F.struct(*[_by_name(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields])
+    return F.md5(F.to_json(row))
 
 
 def safe_cast(c: Column | str, to: str) -> Column:

@@ -2,62 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import hashlib
+from collections.abc import Callable, Iterable
 from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import row_hash
+from tidemark.functions import canonical_json, row_hash
 from tidemark.operators.reshape import route_by_key
 from tidemark.sources.nested import ROW_ID, exclude_fields, flatten, snake_case
-from tidemark.sources.pages import (
-    BASE_DATE,
-    date_window,
-    explode_association,
-    explode_pages,
-    page_schema,
-    project_properties,
-    read_pages,
-)
-from tidemark.sources.raw_store import LOAD_ID, RawStore
+from tidemark.sources.pages import BASE_DATE, date_window, project_properties, typed_records, variant_records
+from tidemark.sources.raw_store import LOAD_ID, TARGET, RawStore
 from tidemark.sources.resources import Resource
+from tidemark.sources.schemas import schema_of
 
-TARGET = "_table"
 # Where rows without a route key go, behind the prefix of the resource.
 UNROUTED = "unrouted"
 
 
-def landed_records(
-    spark: SparkSession,
-    resource: Resource,
-    path: str | Sequence[str],
-    multiline: bool = True,
-    stream: bool = False,
-    **reader_options: Any,
+PAGES = "_pages"
+
+
+def page_texts(
+    spark: SparkSession, path: str, multiline: bool = True, stream: bool = False, **options: Any
 ) -> DataFrame:
-    """Records of the landed pages of a resource."""
+    """Pages as text: one document a file, or one a line with ``multiline=False``, which Spark can split."""
+    reader = (spark.readStream if stream else spark.read).options(**options)
+    return reader.text(path, wholetext=multiline)
+
+
+def land_pages(store: RawStore, resource: Resource, texts: DataFrame, load_id: str) -> None:
+    """Pages parsed once and kept as VARIANT, in the partition of this load; a page that is no JSON stops the job."""
+    pages = texts.filter(F.trim("value") != "").select(F.parse_json("value").alias("page"), F.lit(load_id).alias("load"))
+    writer = pages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("load").parquet(f"{store.root}/{PAGES}/{resource.name}")
+
+
+def landed_pages(store: RawStore, resource: Resource, load_id: str) -> DataFrame:
+    """The pages of one load; no other partition is read."""
+    pages = store.spark.read.schema("page variant, load string").parquet(f"{store.root}/{PAGES}/{resource.name}")
+    return pages.filter(F.col("load") == load_id)
+
+
+def landed_records(store: RawStore, resource: Resource, load_id: str) -> DataFrame:
+    """Records of the landed pages, with all their fields, and the id of each.
+
+    The id is taken of the record as it came, so it hangs neither on the declared
+    fields nor on what other records hold.
+    """
+    keep = {}
     if resource.parent:
-        schema = page_schema(T.StructType.fromDDL(resource.record), resource.selector)
-        schema = T.StructType.fromDDL("id string, updatedAt string").add(schema.fields[0])
-        reader = (spark.readStream if stream else spark.read).schema(schema)
-        reader = reader.options(mode="FAILFAST", multiLine=multiline, **reader_options)
-        pages = reader.json(path)
-        columns = {"id": "id", "updatedAt": "updated_at"}
-        return explode_association(pages, resource.parent, columns, resource.selector)
-    if resource.record is None:
-        if stream:
-            raise ValueError(f"{resource.name}: a stream needs a declared record schema")
-        reader = spark.read.options(mode="FAILFAST", multiLine=multiline, **reader_options)
-        pages = reader.json(path)
-    else:
-        record = T.StructType.fromDDL(resource.record)
-        pages = read_pages(
-            spark, path, record, resource.selector, multiline, stream, **reader_options
-        )
-    return explode_pages(pages, resource.selector)
+        keep = {"id": f"_{resource.parent}_id", "updatedAt": f"_{resource.parent}_updated_at"}
+    records = variant_records(landed_pages(store, resource, load_id), "page", resource.selector, keep)
+    content = F.to_variant_object(F.struct(*records.columns)) if keep else F.col("record")
+    records = records.withColumn(ROW_ID, F.md5(canonical_json(content)))
+    return typed_records(records, schema_of(resource.record) if resource.record else None)
 
 
 def property_names(records: DataFrame, column: str = "properties") -> list[str]:
@@ -102,7 +104,10 @@ def load_records(
     """
     store.refresh()
     cursor = _cursor_field(resource)
-    records = records.withColumn(ROW_ID, row_hash(records.schema))
+    if resource.record is None and not set(records.columns) - {ROW_ID}:
+        return  # no record came, and none is declared
+    if ROW_ID not in records.columns:
+        records = records.withColumn(ROW_ID, row_hash(records.schema))
     if cursor:
         records = records.withColumn(cursor, _typed_cursor(cursor, resource.cursor_type))
         records = date_window(
@@ -123,6 +128,8 @@ def load_records(
         records = project_properties(records, "properties", names)
     if resource.exclude:
         records = exclude_fields(records, resource.exclude)
+    if resource.transform:
+        records = resource.transform(records)
     root, children = flatten(records, resource.max_nesting, resource.json_columns)
     casts = {c: F.col(c).cast(t) for c, t in resource.casts.items() if c in root.columns}
     root = with_load_audit(root.withColumns(casts), load_id)
@@ -133,46 +140,96 @@ def load_records(
         others = [r for r in store.loads(resource.target) if r.resource != resource.name]
         if any(r.load_id == load_id for r in others):
             disposition = "merge"
+    # Children first: once the table itself has the load, the load is complete.
+    for name, child in children.items():
+        above = max((n for n in children if name.startswith(f"{n}__")), key=len, default=None)
+        parent = f"{resource.target}__{above}" if above else resource.target
+        write = store.replace if disposition == "replace" else store.append
+        write(
+            f"{resource.target}__{name}", child.withColumn(LOAD_ID, F.lit(load_id)), load_id,
+            resource=resource.name, parent=parent if resource.disposition == "merge" else None,
+        )
     if resource.route_column:
         name = route_by_key(resource.route_column, resource.routes, resource.route_prefix)
         name = F.coalesce(name, F.lit(f"{resource.route_prefix}{UNROUTED}"))
         # Table names keep letters, digits and underscores only.
         root = root.withColumn(TARGET, F.regexp_replace(name, "[^0-9A-Za-z_]+", "_"))
-        store.append_routed(root, TARGET, load_id, flat_cursor, disposition, resource.name)
-    elif disposition == "merge":
+    if disposition == "merge":
         store.merge(
             resource.target, root, load_id, resource.keys, resource=resource.name, cursor=flat_cursor
         )
     else:
         write = store.replace if disposition == "replace" else store.append
-        write(resource.target, root, load_id, flat_cursor, resource.name)
-    for name, child in children.items():
-        table = f"{resource.target}__{name}"
-        child = child.withColumn(LOAD_ID, F.lit(load_id))
-        if disposition == "merge":
-            store.merge_children(table, child, load_id, resource.target, resource.name)
-        elif disposition == "replace":
-            store.replace(table, child, load_id, resource=resource.name)
-        else:
-            store.append(table, child, load_id, resource=resource.name)
+        write(
+            resource.target, root, load_id, flat_cursor, resource.name,
+            target=TARGET if resource.route_column else None,
+        )
+
+
+def load_stream(
+    store: RawStore,
+    resource: Resource,
+    texts: DataFrame,
+    checkpoint: str,
+    load_id: Callable[[int], str],
+    **options: Any,
+) -> StreamingQuery:
+    """Land and load the pages that a text stream has not handed on yet, then stop.
+
+    The stream's checkpoint remembers which files are done; it moves on when the
+    raw tables have the batch. ``load_id`` names the load of a batch number.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        name = load_id(number)
+        if not store.committed(resource.name, resource.target, name):
+            land_pages(store, resource, batch, name)
+            load_records(store, resource, landed_records(store, resource, name), name, **options)
+
+    writer = texts.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+# Files are new if the checkpoint does not name them, however old they are.
+_ANY_AGE = {"maxFileAge": "36500d"}
 
 
 def load_resource(
     store: RawStore,
     resource: Resource,
-    path: str | Sequence[str],
+    path: str,
     load_id: str,
     multiline: bool = True,
+    full_refresh: bool = False,
     **options: Any,
 ) -> bool:
-    """Load the pages of a folder; False if there is no such folder."""
+    """Load the pages of a folder that no earlier load has read; False if there is no such folder.
+
+    A full refresh reads all of them, and later loads what came after it. A load
+    that is complete is not run again; one that failed leaves its pages to the next.
+    """
+    store.refresh()
+    if store.committed(resource.name, resource.target, load_id):
+        return True
     try:
-        records = landed_records(store.spark, resource, path, multiline)
+        texts = page_texts(store.spark, path, multiline, stream=True, **_ANY_AGE)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             return False
         raise
-    load_records(store, resource, records, load_id, **options)
+    since = load_id if full_refresh else store.last_refresh(resource.name) or "first"
+    first: list[int] = []
+
+    def name(number: int) -> str:
+        # A failed batch of an earlier run comes before what is new.
+        first[:] = first or [number]
+        return load_id if number == first[0] else f"{load_id}.{number - first[0]}"
+
+    # A stream keeps its place in one folder.
+    folder = hashlib.md5(str(path).encode()).hexdigest()[:12]
+    checkpoint = f"{store.root}/_checkpoints/{resource.name}/{since}-{folder}"
+    query = load_stream(store, resource, texts, checkpoint, name, full_refresh=full_refresh, **options)
+    query.awaitTermination()
     return True
 
 

@@ -124,7 +124,12 @@ def _walk(
     name: str, col: Column, kind: T.DataType, level: int, limit: int, as_json: set[str], out: _Flat
 ) -> None:
     nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
-    if not nested:
+    if isinstance(kind, T.VariantType):
+        # Of several types: plain values as text, objects and lists as JSON beside them.
+        is_json = F.schema_of_variant(col).rlike("^(OBJECT|ARRAY)<")
+        out.columns.append((name, F.when(~is_json, col.cast("string"))))
+        out.columns.append((f"{name}__v_json", F.when(is_json, F.to_json(col))))
+    elif not nested:
         out.columns.append((name, col))
     elif name in as_json or level >= limit or isinstance(kind, T.MapType):
         out.columns.append((name, F.to_json(col)))
@@ -144,7 +149,8 @@ def flatten(
     Objects become ``a__b`` columns with snake-case names. Objects and lists that
     lie ``max_nesting`` levels deep, and the named columns, stay as JSON text. A
     child row carries the parent's row id and its place in the list. Row ids are
-    content hashes, so parent and child agree when a task is run again.
+    content hashes, so parent and child agree when a task is run again. A VARIANT
+    column, of several types, becomes ``a`` (plain values as text) and ``a__v_json``.
     """
     out = _Flat()
     for f in df.schema.fields:

@@ -1,9 +1,10 @@
 """Raw tables on shared storage, with a record of every load.
 
-A table is the set of its committed loads. Each load is written to a folder of
-its own and becomes visible when its row is added to the load record, so a job
-that dies half way leaves no partial rows. A load that is run again under the
-same id overwrites what an unfinished try wrote and skips what is committed.
+A table that is appended to is one Parquet dataset partitioned by load; readers
+ask for the loads that are in the record, so a job that dies half way leaves no
+rows that anybody sees. A table that is merged into is one dataset partitioned by
+a hash of its key, of which a merge overwrites the partitions it touches. Splitting
+rows, pruning and overwriting partitions is all Spark's.
 """
 
 from __future__ import annotations
@@ -11,30 +12,36 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.joins import has_few_rows, spread_join
 from tidemark.session import written
-from tidemark.sources.nested import PARENT_ID, ROW_ID
+from tidemark.sources.nested import LIST_INDEX, PARENT_ID, ROW_ID
 
 LOAD_ID = "_load_id"
+# Partition columns; readers don't see them.
+RESOURCE, LOAD, TARGET, BUCKET = "_resource", "_load", "_table", "_bucket"
 
 _LOADS = (
     "resource string, table_name string, load_id string, seq bigint, disposition string, "
-    "path string, "
+    "path string, buckets int, parent string, routed boolean, "
     "n_rows bigint, cursor_max string, table_schema string, committed_at timestamp"
 )
 
 
 class RawStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """``buckets`` key partitions for tables that are merged into; fixed for a table by its first merge."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self._known: list[Row] | None = None
 
     # --- record of loads -------------------------------------------------
@@ -62,28 +69,37 @@ class RawStore:
 
     def _current(self, table: str) -> list[Row]:
         """Loads a reader sees: everything since the last replace."""
-        return _since_replace(self.loads(table))
+        ordered = sorted(self.loads(table), key=lambda r: r.seq)
+        starts = [i for i, r in enumerate(ordered) if r.disposition == "replace"]
+        return ordered[starts[-1] :] if starts else ordered
 
     def committed(self, resource: str, table: str, load_id: str) -> bool:
         return any(r.resource == resource and r.load_id == load_id for r in self.loads(table))
 
-    def commit(self, entries: Sequence[dict]) -> None:
-        known = self.loads()
+    def _commit(self, **entry) -> None:
+        seq = 1 + max((r.seq for r in self.loads(entry["table_name"])), default=0)
+        now = datetime.now(UTC).replace(tzinfo=None)
         schema = T.StructType.fromDDL(_LOADS)
-        rows = []
-        for e in entries:
-            seq = 1 + max((r.seq for r in known if r.table_name == e["table_name"]), default=0)
-            now = datetime.now(UTC).replace(tzinfo=None)
-            rows.append({**e, "seq": seq, "committed_at": now})
-        values = [tuple(r[f.name] for f in schema.fields) for r in rows]
-        record = self.spark.createDataFrame(values, schema).coalesce(1)
-        record.write.mode("append").json(f"{self.root}/_loads")
-        self._known = [*(self._known or []), *[Row(**r) for r in rows]]
+        row = Row(**{f.name: None for f in schema.fields} | entry | {"seq": seq, "committed_at": now})
+        values = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
+        self.spark.range(0, 1, 1, 1).select(*values).write.mode("append").json(f"{self.root}/_loads")
+        self._known = [*(self._known or []), row]
+
+    def last_refresh(self, resource: str) -> str | None:
+        """Id of the load that replaced the resource's tables last."""
+        ids = [r.load_id for r in self.loads() if r.resource == resource and r.disposition == "replace"]
+        return ids[-1] if ids else None
 
     # --- reading ---------------------------------------------------------
 
     def tables(self) -> list[str]:
-        return sorted({r.table_name for r in self.loads() if r.table_name})
+        """Every table; those that rows were routed to are the partitions of their dataset."""
+        routed = {r.table_name for r in self.loads() if r.routed}
+        names = {r.table_name for r in self.loads()} - routed
+        for dataset in routed:
+            targets = self._appended(self._current(dataset)).select(TARGET).distinct()
+            names |= {r[0] for r in targets.collect()}
+        return sorted(names)
 
     def exists(self, table: str) -> bool:
         return bool(self._current(table))
@@ -93,13 +109,53 @@ class RawStore:
         return T.StructType.fromJson(json.loads(loads[-1].table_schema)) if loads else None
 
     def read(self, table: str) -> DataFrame:
-        """The table; columns a load did not have yet are null in its rows."""
+        """The table; columns a load did not have yet are null in its rows.
+
+        A table that rows were routed to has the columns of all that its resource sends.
+        """
         self.refresh()
+        if not self.exists(table):
+            datasets = sorted({r.table_name for r in self.loads() if r.routed})
+            parts = [self._appended(self._current(d)).filter(F.col(TARGET) == table) for d in datasets]
+            parts = [p for p in parts if not p.isEmpty()]
+            if not parts:
+                raise KeyError(f"no load of {table}")
+            found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            return found.drop(RESOURCE, LOAD, TARGET)
         loads = self._current(table)
-        if not loads:
-            raise KeyError(f"no load of {table}")
+        found = self._rows(loads)
+        parents = {r.parent for r in loads if r.parent}
+        for parent in parents:
+            # Rows of parents that were replaced stay in the dataset and are passed over.
+            alive = self.read(parent).select(F.col(ROW_ID).alias(PARENT_ID)).distinct()
+            found = spread_join(found, alive, [PARENT_ID], "left_semi").select(*found.columns)
+            found = latest_per_key(found, [PARENT_ID, LIST_INDEX], [LOAD_ID])
+        return found
+
+    def _rows(self, loads: Sequence[Row]) -> DataFrame:
+        """What the loads hold: the merged dataset, and what was appended since."""
+        schema = T.StructType.fromJson(json.loads(loads[-1].table_schema))
+        merges = [r for r in loads if r.disposition == "merge"]
+        later = [r for r in loads if not merges or r.seq > merges[-1].seq]
+        parts = []
+        if merges:
+            parts.append(self.spark.read.schema(schema).parquet(merges[-1].path).drop(BUCKET))
+        if later:
+            parts.append(self._appended(later).drop(RESOURCE, LOAD))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def _appended(self, loads: Sequence[Row]) -> DataFrame:
+        """Rows of appended loads of one table, with the partition columns."""
         schema = T.StructType.fromJson(json.loads(loads[-1].table_schema))
-        return self.spark.read.schema(schema).parquet(*[r.path for r in loads])
+        partitions = [RESOURCE, LOAD, *([TARGET] if loads[-1].routed else [])]
+        for name in partitions:
+            schema = schema.add(name, T.StringType())
+        ids: dict[str, list[str]] = {}
+        for row in loads:
+            ids.setdefault(row.resource, []).append(row.load_id)
+        visible = [(F.col(RESOURCE) == name) & F.col(LOAD).isin(own) for name, own in sorted(ids.items())]
+        dataset = self.spark.read.schema(schema).parquet(f"{self.root}/{loads[-1].table_name}")
+        return dataset.filter(reduce(Column.__or__, visible))
 
     def high_water_mark(self, resource: str) -> str | None:
         """Greatest cursor loaded so far, as text."""
@@ -127,18 +183,17 @@ class RawStore:
         kind = df.schema[cursor].dataType
         mark = max((r.cursor_max for r in loads), key=_cursor_order)
         low = F.lit(mark).cast(kind)
-        keys = T.StructType([T.StructField(ROW_ID, T.StringType()), T.StructField(cursor, kind)])
         # Only loads that reach the mark can hold rows at it.
-        paths = [r.path for r in loads if r.cursor_max == mark]
-        stored = self.spark.read.schema(keys).parquet(*paths)
-        seen = written(stored.filter(F.col(cursor) == low).select(ROW_ID).distinct(), "seen-rows")
+        at_mark = [r for r in loads if r.cursor_max == mark]
+        found = self._rows(at_mark).filter(F.col(cursor) == low)
+        seen = written(found.select(ROW_ID).distinct(), "seen-rows")
         if has_few_rows(seen):
             # Ids hold the cursor value too, so ids of newer rows are not among them.
             since = df.filter(F.col(cursor) >= low)
             return since.join(F.broadcast(seen), ROW_ID, "left_anti").select(*df.columns)
         newer = df.filter(F.col(cursor) > low)
-        at_mark = spread_join(df.filter(F.col(cursor) == low), seen, [ROW_ID], "left_anti")
-        return newer.unionByName(at_mark.select(*df.columns))
+        at_mark_rows = spread_join(df.filter(F.col(cursor) == low), seen, [ROW_ID], "left_anti")
+        return newer.unionByName(at_mark_rows.select(*df.columns))
 
     # --- writing ---------------------------------------------------------
 
@@ -149,19 +204,34 @@ class RawStore:
         load_id: str,
         cursor: str | None = None,
         resource: str | None = None,
+        target: str | None = None,
+        parent: str | None = None,
+        disposition: str = "append",
     ) -> None:
-        self._write(table, df, load_id, "append", cursor, resource)
+        """Add a load. Written again under the same id it takes the place of what an unfinished try left.
 
-    def replace(
-        self,
-        table: str,
-        df: DataFrame,
-        load_id: str,
-        cursor: str | None = None,
-        resource: str | None = None,
-    ) -> None:
+        With ``target`` the rows go to the tables named in that column, each a
+        partition of the dataset ``table``; the rows are written once for all
+        targets, without a shuffle. With ``parent`` they are child rows of a table
+        that is merged into, seen as long as their parent's row is there.
+        """
+        resource = resource or table
+        if self.committed(resource, table, load_id):
+            return
+        old = self.schema(table) if disposition == "append" else None
+        df = _evolve(df, old)
+        marked = df.withColumns({RESOURCE: F.lit(resource), LOAD: F.lit(load_id)})
+        path = f"{self.root}/{table}"
+        facts = _observed_write(marked, cursor, path, [RESOURCE, LOAD, *([target] if target else [])])
+        kept = T.StructType([f for f in df.schema.fields if f.name != target])
+        self._commit(
+            resource=resource, table_name=table, load_id=load_id, disposition=disposition, path=path,
+            parent=parent, routed=bool(target), table_schema=_schema_text(merged_schema(old, kept)), **facts,
+        )
+
+    def replace(self, table: str, df: DataFrame, load_id: str, *args, **options) -> None:
         """Full refresh: readers switch to this load alone, and the cursor starts over."""
-        self._write(table, df, load_id, "replace", cursor, resource)
+        self.append(table, df, load_id, *args, **options, disposition="replace")
 
     def merge(
         self,
@@ -176,176 +246,49 @@ class RawStore:
         """Upsert: incoming rows replace stored rows of the same key.
 
         With a ``cursor`` the newest of several incoming rows is taken, and it
-        replaces no stored row that is newer. Stored rows are only filtered, so when the incoming keys are few enough to
-        broadcast the table is not shuffled. The result is a new load; what it
-        is read from stays in place until ``vacuum``.
+        replaces no stored row that is newer. Only the key partitions that
+        incoming rows fall into are read and overwritten; the first merge after
+        appended or replaced rows takes these over.
         """
-        merged = latest_per_key(df, keys, order_by or ([cursor] if cursor else keys))
-        schema, stored = self._before(table, load_id, resource or table)
-        if stored is not None:
-            merged = self._evolve(merged, schema)
-            if cursor in stored.columns and cursor in merged.columns:
-                held = stored.select(*keys, F.col(cursor).alias("_held"))
-                newer = F.col("_held").isNull() | (F.col(cursor) >= F.col("_held"))
-                merged = spread_join(merged, held, keys, "left").filter(newer).drop("_held")
-            untouched = spread_join(stored, merged.select(*keys), keys, "left_anti")
-            merged = untouched.unionByName(merged, allowMissingColumns=True)
-        self._write(table, merged, load_id, "replace", cursor, resource)
-
-    def merge_children(
-        self, table: str, df: DataFrame, load_id: str, parent: str, resource: str | None = None
-    ) -> None:
-        """Child rows after their parents were merged: those of surviving parents."""
-        alive = self.read(parent).select(F.col(ROW_ID).alias(PARENT_ID)).distinct()
-        children = spread_join(df, alive, [PARENT_ID], "left_semi")
-        schema, stored = self._before(table, load_id, resource or table)
-        if stored is not None:
-            children = self._evolve(children, schema)
-            known = stored.select(PARENT_ID).distinct()
-            children = spread_join(children, known, [PARENT_ID], "left_anti")
-            kept = spread_join(stored, alive, [PARENT_ID], "left_semi")
-            children = kept.unionByName(children, allowMissingColumns=True)
-        self._write(table, children.distinct(), load_id, "replace", None, resource)
-
-    def _before(
-        self, table: str, load_id: str, resource: str
-    ) -> tuple[T.StructType | None, DataFrame | None]:
-        """The table without this load of this resource, for a repeatable merge."""
-        mine = (resource, load_id)
-        loads = _since_replace([r for r in self.loads(table) if (r.resource, r.load_id) != mine])
-        if not loads:
-            return None, None
-        schema = T.StructType.fromJson(json.loads(loads[-1].table_schema))
-        return schema, self.spark.read.schema(schema).parquet(*[r.path for r in loads])
-
-    def _write(
-        self,
-        table: str,
-        df: DataFrame,
-        load_id: str,
-        disposition: str,
-        cursor: str | None,
-        resource: str | None,
-    ) -> None:
         resource = resource or table
         if self.committed(resource, table, load_id):
             return
-        old = self.schema(table) if disposition == "append" else None
-        df = self._evolve(df, old)
-        path = f"{self.root}/{table}/{resource}/{load_id}"
-        df.write.mode("overwrite").parquet(path)
-        written = self.spark.read.schema(df.schema).parquet(path)
-        top = F.max(cursor).cast("string") if cursor else F.lit(None).cast("string")
-        facts = written.agg(F.count("*").alias("n_rows"), top.alias("cursor_max")).first()
-        entry = self._entry(resource, table, load_id, disposition, path, facts)
-        self.commit([{**entry, "table_schema": _schema_text(old, df.schema)}])
-
-    def append_routed(
-        self,
-        df: DataFrame,
-        target: str,
-        load_id: str,
-        cursor: str | None,
-        disposition: str,
-        resource: str,
-    ) -> None:
-        """Write rows to the table named in column ``target``.
-
-        The rows are parsed and written once, split by target on the way out (no
-        shuffle, so a target with most of the rows is written by many tasks). A
-        target's schema holds the columns that have a value in it. Where a column
-        has another type than in its target so far, the rows of such targets are
-        written apart, with that column named after its type.
-        """
-        if any((r.resource, r.load_id) == (resource, load_id) for r in self.loads()):
-            return
-        base = f"{self.root}/_routed/{resource}/{load_id}"
-        entries = []
-        for i, (tables, drifted) in enumerate(self._drifts(df, resource, disposition)):
-            part = df.filter(F.col(target).isin(tables) if drifted else ~F.col(target).isin(tables))
-            for name in drifted:
-                part = part.withColumnRenamed(name, _variant(df.schema[name]))
-            path = f"{base}-{i}" if drifted else base
-            entries += self._route(part, target, load_id, cursor, disposition, resource, path)
-        if entries:
-            self.commit(entries)
-
-    def _drifts(
-        self, df: DataFrame, resource: str, disposition: str
-    ) -> list[tuple[list[str], tuple[str, ...]]]:
-        """Targets whose columns have another type than here, by the columns that do.
-
-        The last entry stands for all targets that are in none of the others.
-        """
-        groups: dict[tuple[str, ...], list[str]] = {}
-        known = {r.table_name for r in self.loads() if r.resource == resource and r.table_name}
-        for table in sorted(known) if disposition == "append" else ():
-            before = {f.name: f.dataType for f in self.schema(table).fields}
-            changed = tuple(
-                f.name for f in df.schema.fields if before.get(f.name, f.dataType) != f.dataType
-            )
-            if changed:
-                groups.setdefault(changed, []).append(table)
-        rest = [t for tables in groups.values() for t in tables]
-        return [*((tables, changed) for changed, tables in groups.items()), (rest, ())]
-
-    def _route(
-        self,
-        df: DataFrame,
-        target: str,
-        load_id: str,
-        cursor: str | None,
-        disposition: str,
-        resource: str,
-        base: str,
-    ) -> list[dict]:
-        df.write.mode("overwrite").partitionBy(target).parquet(base)
-        written = self.spark.read.schema(df.schema).parquet(base)
-        columns = [f for f in df.schema.fields if f.name != target]
-        filled = [F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(columns)]
-        top = F.max(cursor).cast("string") if cursor else F.lit(None).cast("string")
-        facts = written.groupBy(target).agg(
-            F.count("*").alias("n_rows"), top.alias("cursor_max"), *filled
+        loads, old = self._current(table), self.schema(table)
+        incoming = _evolve(latest_per_key(df, keys, order_by or ([cursor] if cursor else keys)), old)
+        schema = merged_schema(old, incoming.schema)
+        merges = [r for r in loads if r.disposition == "merge"]
+        path = merges[-1].path if merges else f"{self.root}/_merged/{table}/{resource}-{load_id}"
+        buckets = merges[-1].buckets if merges else self.buckets
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        incoming = incoming.withColumns({BUCKET: bucket, "_new": F.lit(True)})
+        stored = []
+        if merges:
+            incoming = written(incoming, "merge-incoming")
+            touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]  # at most ``buckets``
+            with_bucket = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+            merged = self.spark.read.schema(with_bucket).parquet(path)
+            stored.append(merged.filter(F.col(BUCKET).isin(touched)))
+        later = [r for r in loads if not merges or r.seq > merges[-1].seq]
+        if later:
+            stored.append(self._rows(later).withColumn(BUCKET, bucket))
+        for part in stored:
+            incoming = incoming.unionByName(part.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+        if stored:
+            incoming = latest_per_key(incoming, keys, [*([cursor] if cursor else []), "_new"], tie_break=())
+        # Files of even size, each of few buckets.
+        result = incoming.select(*[f"`{c}`" for c in schema.names], BUCKET).hint("rebalance", BUCKET)
+        facts = _observed_write(result, cursor, path, [BUCKET])
+        self._commit(
+            resource=resource, table_name=table, load_id=load_id, disposition="merge", path=path,
+            buckets=buckets, routed=False, table_schema=_schema_text(schema), **facts,
         )
-        entries = []
-        for row in facts.collect():  # one row per target table
-            table = row[target]
-            old = self.schema(table) if disposition == "append" else None
-            own = T.StructType([f for i, f in enumerate(columns) if row[f"c{i}"]])
-            path = f"{base}/{target}={table}"
-            entry = self._entry(resource, table, load_id, disposition, path, row)
-            entries.append({**entry, "table_schema": _schema_text(old, own)})
-        return entries
-
-    @staticmethod
-    def _entry(
-        resource: str, table: str, load_id: str, disposition: str, path: str, facts: Row
-    ) -> dict:
-        return {
-            "resource": resource,
-            "table_name": table,
-            "load_id": load_id,
-            "disposition": disposition,
-            "path": path,
-            "n_rows": facts.n_rows,
-            "cursor_max": facts.cursor_max,
-        }
-
-    @staticmethod
-    def _evolve(df: DataFrame, old: T.StructType | None) -> DataFrame:
-        """A column whose type changed goes to a new column named after the type."""
-        if old is None:
-            return df
-        for f in df.schema.fields:
-            before = next((o for o in old.fields if o.name == f.name), None)
-            if before is not None and before.dataType != f.dataType:
-                df = df.withColumnRenamed(f.name, _variant(f))
-        return df
 
     def vacuum(self, table: str) -> list[str]:
         """Delete the folders of loads no reader sees any more."""
-        current = {r.path for r in self._current(table)}
-        stale = [r.path for r in self.loads(table) if r.path not in current]
+        current = self._current(table)
+        merges = [r for r in current if r.disposition == "merge"]
+        seen = {_folder(r) for r in current if r.disposition == "merge" or not merges or r.seq > merges[-1].seq}
+        stale = sorted({_folder(r) for r in self.loads(table)} - seen)
         conf = self.spark._jsc.hadoopConfiguration()
         for path in stale:
             hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -353,8 +296,30 @@ class RawStore:
         return stale
 
 
-def _variant(field: T.StructField) -> str:
-    return f"{field.name}__v_{field.dataType.typeName()}"
+def _folder(load: Row) -> str:
+    appended = f"{load.path}/{RESOURCE}={load.resource}/{LOAD}={load.load_id}"
+    return load.path if load.disposition == "merge" else appended
+
+
+def _observed_write(df: DataFrame, cursor: str | None, path: str, partition_by: Sequence[str]) -> dict:
+    """Write partitions anew; rows and greatest cursor are counted on the way."""
+    seen = Observation()
+    top = F.max(cursor).cast("string") if cursor else F.max(F.lit(None).cast("string"))
+    df = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), top.alias("cursor_max"))
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+    return seen.get
+
+
+def _evolve(df: DataFrame, old: T.StructType | None) -> DataFrame:
+    """A column whose type changed goes to a new column named after the type."""
+    before = {f.name: f.dataType for f in (old.fields if old else [])}
+    changed = {
+        f.name: f"{f.name}__v_{f.dataType.typeName()}"
+        for f in df.schema.fields
+        if before.get(f.name, f.dataType) != f.dataType
+    }
+    return df.withColumnsRenamed(changed)
 
 
 def _cursor_order(text: str) -> int | str:
@@ -362,12 +327,6 @@ def _cursor_order(text: str) -> int | str:
     return int(text) if text.lstrip("-").isdigit() else text
 
 
-def _since_replace(loads: Sequence[Row]) -> list[Row]:
-    ordered = sorted(loads, key=lambda r: r.seq)
-    starts = [i for i, r in enumerate(ordered) if r.disposition == "replace"]
-    return ordered[starts[-1] :] if starts else ordered
-
-
 def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     """Old columns first, then new ones; all nullable."""
     fields = {f.name: f for f in (old.fields if old else [])}
@@ -376,5 +335,5 @@ def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields.values()])
 
 
-def _schema_text(old: T.StructType | None, new: T.StructType) -> str:
-    return json.dumps(merged_schema(old, new).jsonValue())
+def _schema_text(schema: T.StructType) -> str:
+    return json.dumps(schema.jsonValue())

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 # Property list of each CRM object.
 CRM_PROPERTIES: dict[str, tuple[str, ...]] = {
     "contacts": ("updatedAt", "email", "associatedcompanyid", "firstname", "lastname"),
@@ -90,9 +92,12 @@ _OPTIONS = (
 
 @dataclass(frozen=True)
 class Resource:
-    """``record`` is a DDL schema, or None to infer it with a pass over the pages.
+    """``record`` is a DDL schema of the fields whose types are fixed, or None.
 
-    ``cursor`` names the record field that orders changes, ``cursor_type`` its
+    Fields that pages hold beside these are found in them and kept, with the type
+    they have there. ``transform`` is a hook on the records, after pruning and
+    before flattening; it keeps the bookkeeping columns, whose names begin with an
+    underscore, and the cursor. ``cursor`` names the record field that orders changes, ``cursor_type`` its
     type. The two flags say whether the bounds of a date window belong to it.
     """
 
@@ -115,6 +120,7 @@ class Resource:
     route_prefix: str = ""
     parent: str | None = None
     table: str | None = None
+    transform: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def target(self) -> str:
@@ -240,7 +246,7 @@ DATA_SOURCES = Resource(
     casts={"created_time": "timestamp", "last_edited_time": "timestamp"},
 )
 
-# Users name the properties of their pages, so the record schema is inferred.
+# Users name the properties of their pages, so no field is declared.
 DATA_SOURCE_ROWS = Resource(
     name="notion__data_source_rows",
     selector="results",

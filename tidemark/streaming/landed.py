@@ -4,36 +4,13 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.load import landed_records, load_records
+from tidemark.sources.load import load_stream, page_texts
 from tidemark.sources.raw_store import RawStore
 from tidemark.sources.resources import Resource
 
 
-def stream_records(
-    store: RawStore,
-    resource: Resource,
-    records: DataFrame,
-    checkpoint: str,
-    **options: Any,
-) -> StreamingQuery:
-    """Load whatever arrived since the last run, then stop.
-
-    The stream's checkpoint remembers which files are done and takes the place of
-    the cursor. A batch that is run again has the same number, so the same load
-    id, and replaces what its first try wrote.
-    """
-
-    def load(batch: DataFrame, number: int) -> None:
-        load_id = f"{resource.name}-{number:012d}"
-        load_records(store, resource, batch, load_id, incremental=False, **options)
-
-    writer = records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
-
-
 def stream_resource(
     store: RawStore,
     resource: Resource,
@@ -43,7 +20,15 @@ def stream_resource(
     files_per_batch: int | None = None,
     **options: Any,
 ) -> StreamingQuery:
-    """``files_per_batch`` cuts a large backlog into batches of so many files."""
+    """Load whatever arrived since the last run, batch by batch, then stop.
+
+    Pages are read as text and parsed to VARIANT, so a resource needs no declared
+    fields; each batch finds its own. The checkpoint takes the place of the cursor.
+    A batch that is run again has the same number, so the same load id, and
+    replaces what its first try wrote. ``files_per_batch`` cuts a large backlog
+    into batches of so many files.
+    """
     limit = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
-    records = landed_records(store.spark, resource, landing, multiline, stream=True, **limit)
-    return stream_records(store, resource, records, checkpoint, **options)
+    texts = page_texts(store.spark, landing, multiline, stream=True, maxFileAge="36500d", **limit)
+    name = lambda number: f"{resource.name}-{number:012d}"
+    return load_stream(store, resource, texts, checkpoint, name, incremental=False, **options)

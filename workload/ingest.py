@@ -92,14 +92,14 @@ def date_window_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 )
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first half is landed and loaded, then everything is landed once more."""
+    """The first half is landed and loaded, then everything is landed once more; a third load finds nothing new."""
     events = given(spark, sf_dir, "events")
     folder = shared_dir(spark, "incremental")
     store = RawStore(spark, f"{folder}/raw")
-    _land(events.filter(F.col("ts") < HALF), f"{folder}/pages/1")
-    load_resource(store, EVENTS, f"{folder}/pages/1", "run-1", multiline=False)
-    _land(events, f"{folder}/pages/2")
-    load_resource(store, EVENTS, f"{folder}/pages/2", "run-2", multiline=False)
+    for run, part in enumerate((events.filter(F.col("ts") < HALF), events, None), 1):
+        if part is not None:
+            _land(part, f"{folder}/pages/{run}")
+        load_resource(store, EVENTS, f"{folder}/pages/*", f"run-{run}", multiline=False)
     return _loaded_events(store)
 
 
@@ -269,7 +269,7 @@ _NOTES_JSON = """'[{"kind":"status","text":"' || o_orderstatus
 @query(
     "child_tables",
     f"""
-    SELECT md5(CAST(o_orderkey AS VARCHAR) || '-' || {_NOTES_JSON}) AS _parent_id,
+    SELECT md5('{{"notes":' || {_NOTES_JSON} || ',"o_orderkey":' || o_orderkey || '}}') AS _parent_id,
            i AS _list_idx, CASE i WHEN 0 THEN 'status' ELSE 'priority' END AS kind,
            CASE i WHEN 0 THEN o_orderstatus ELSE o_orderpriority END AS text
     FROM orders CROSS JOIN (SELECT unnest([0, 1]) AS i) numbers
@@ -402,6 +402,93 @@ def route_tables_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(*tables)
 
 
+@query(
+    "route_stream",
+    """
+    SELECT event_id, value,
+           'app__' || CASE event_type WHEN 'purchase' THEN 'sales' WHEN 'signup' THEN 'accounts'
+                      WHEN 'view' THEN 'traffic' WHEN 'click' THEN 'traffic'
+                      ELSE event_type END AS table_name
+    FROM events
+    """,
+)
+def route_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of pages without declared fields, routed to tables batch by batch in two runs."""
+    resource = Resource(
+        name="app__streamed", selector="results", record=None, route_column="event_type", routes=ROUTES,
+        route_prefix="app__",
+    )
+    events = given(spark, sf_dir, "events")
+    folder = shared_dir(spark, "route-stream")
+    store = RawStore(spark, f"{folder}/raw")
+    for run, part in enumerate((F.col("ts") < HALF, F.col("ts") >= HALF)):
+        _land(events.filter(part), f"{folder}/pages/{run}")
+        stream_resource(
+            store, resource, f"{folder}/pages/*", f"{folder}/checkpoint", multiline=False
+        ).awaitTermination()
+    tables = [
+        store.read(t).select("event_id", F.col("value").cast("double").alias("value"), F.lit(t).alias("table_name"))
+        for t in store.tables()
+    ]
+    return union_all(*tables)
+
+
+@query(
+    "page_explode_undeclared",
+    """
+    SELECT c_custkey AS id, c_mktsegment AS segment,
+           CASE WHEN c_custkey % 3 = 0 THEN c_acctbal END AS balance,
+           CASE WHEN c_custkey % 2 = 0 THEN c_name END AS contact,
+           CASE WHEN c_custkey % 2 = 1 THEN c_name END AS contact_name,
+           CASE WHEN c_custkey % 2 = 1 THEN c_nationkey END AS contact_nation
+    FROM customer
+    """,
+)
+def page_explode_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fields are declared; one more comes in some pages only, one is text in some and an object in others."""
+    resource = Resource(name="shop__customers", selector="results", record="id bigint, segment string")
+    odd = F.col("c_custkey") % 2 == 1
+    nested = F.struct(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    rest = F.concat(
+        F.lit('{"results":[{"contact":'),
+        F.when(odd, F.to_json(nested)).otherwise(F.concat(F.lit('"'), "c_name", F.lit('"'))),
+        F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(',"balance":'), F.col("c_acctbal").cast("string"))).otherwise(F.lit("")),
+        F.lit(',"id":'), F.col("c_custkey").cast("string"), F.lit(',"segment":"'), "c_mktsegment", F.lit('"}]}'),
+    )
+    folder = shared_dir(spark, "undeclared")
+    given(spark, sf_dir, "customer").select(rest).write.text(f"{folder}/pages")
+    store = RawStore(spark, f"{folder}/raw")
+    load_resource(store, resource, f"{folder}/pages", "run-1", multiline=False)
+    return store.read(resource.name).select(
+        "id", "segment", F.col("balance").cast("double").alias("balance"), "contact",
+        F.get_json_object("contact__v_json", "$.name").alias("contact_name"),
+        F.get_json_object("contact__v_json", "$.nation").cast("bigint").alias("contact_nation"),
+    )
+
+
+@query(
+    "row_hook",
+    """
+    SELECT event_id, event_type, CAST(floor(value) AS BIGINT) AS amount, json_extract(props, '$.k')::BIGINT AS k
+    FROM events WHERE event_type <> 'error'
+    """,
+)
+def row_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hook on the records drops some, makes a number of one field and takes another apart."""
+
+    def amounts(records: DataFrame) -> DataFrame:
+        parsed = F.from_json("props", "k bigint").getField("k")
+        kept = records.filter("event_type <> 'error'")
+        return kept.withColumns({"amount": F.floor("value").cast("bigint"), "k": parsed}).drop("value", "props")
+
+    resource = Resource(name="app__hooked", selector="results", record=EVENTS.record, cursor="ts", transform=amounts)
+    folder = shared_dir(spark, "hook")
+    store = RawStore(spark, f"{folder}/raw")
+    _land(given(spark, sf_dir, "events"), f"{folder}/pages")
+    load_resource(store, resource, f"{folder}/pages", "run-1", multiline=False)
+    return store.read(resource.name).select("event_id", "event_type", "amount", "k")
+
+
 @query(
     "property_projection",
     """
@@ -418,11 +505,15 @@ def property_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "load_audit",
     """
-    SELECT conv_id, turn, role, 'load-7' AS _load_id,
-           md5(CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}) AS VARCHAR))
+    SELECT conv_id, turn, role, 'load-' || version AS _load_id,
+           md5(CAST(to_json({'conv_id': conv_id, 'role': role, 'text': text, 'turn': turn}) AS VARCHAR))
                AS _row_id
-    FROM conversations
+    FROM conversations CROSS JOIN (SELECT unnest([7, 8]) AS version) versions
     """,
 )
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_load_audit(given(spark, sf_dir, "conversations"), "load-7").drop("text")
+    """Rows keep their ids in a load whose schema has a new field, null in all of them, and another order."""
+    first = given(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    second = first.select(F.lit(None).cast("string").alias("channel"), "text", "role", "turn", "conv_id")
+    loads = [with_load_audit(first, "load-7"), with_load_audit(second, "load-8")]
+    return union_all(*[df.select("conv_id", "turn", "role", "_load_id", "_row_id") for df in loads])
