@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import ascii_words, bounded_batches, mix, seeds, text_of, word_hashes
+from tidemark.llm.native import maybe_among
 from tidemark.session import written
 
 BAND_ROWS = 6
@@ -164,7 +165,7 @@ def bits_apart(a: str, b: str) -> Column:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """The whole shingle sets (``node``, ``n``, ``shingles``, ``bits``) of the wanted nodes."""
+    """The whole shingle sets (``node``, ``n``, ``shingles``, ``bits``) of the wanted nodes, each of which is there once."""
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([
         T.StructField("node", docs.schema[id_col].dataType), T.StructField("n", T.LongType()),
@@ -182,19 +183,34 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_
             )
 
     texts = docs.select(F.col(id_col).alias("node"), text_of(text_col).alias("_text"))
-    return texts.join(wanted, "node", "left_semi").mapInArrow(sets, schema)
+    # Most texts need not be shuffled. An inner join, since a semi join would be done first.
+    texts = maybe_among(texts, "node", wanted)
+    return texts.join(wanted.hint("merge"), "node").mapInArrow(sets, schema)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
-    sized = pairs.join(left, "a").join(right, "b").filter(
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    """The pairs (a, b) whose full sets reach the threshold.
+
+    Pairs that sizes or bitmaps rule out go first; then only sets that are still
+    asked for are shuffled, those of each side apart.
+    """
+    facts = lambda side: sets.select(
+        F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")
+    )
+    possible = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (
+        (100 + percent) * bits_apart("bits_a", "bits_b") <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
     )
+    sized = pairs.join(facts("a"), "a").join(facts("b"), "b").filter(possible)
+    sized = written(sized.select("a", "b", "n_a", "n_b"), "near-pairs")
+
+    def whole(side: str) -> DataFrame:
+        asked = maybe_among(sets.select("node", "shingles"), "node", sized.select(side).distinct())
+        return asked.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}"))
+
+    found = sized.join(whole("a").hint("merge"), "a").join(whole("b").hint("merge"), "b")
     both = F.size(F.array_intersect("s_a", "s_b")).cast("long")
     return (
-        sized.select("a", "b", "n_a", "n_b", both.alias("both"))
+        found.select("a", "b", "n_a", "n_b", both.alias("both"))
         .filter(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both")))
         .select("a", "b")
         .distinct()
