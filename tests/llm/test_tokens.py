@@ -219,6 +219,7 @@ def test_edited_texts_and_neighbours(docs):
         assert sorted(a) == found[i].anchors
         assert found[i].near_next == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
         assert found[i].near_edited == pytest.approx(len(a & e) / len(a | e) if a | e else 1.0)
+        assert found[i].in_place <= len(a) or len(a) < n // 4  # repeats within a text count by place
     long = [found[i] for i, t in rows if t and len(t.split()) == 200]
     assert all(r.near_edited > 0.2 > r.near_next for r in long)
 
@@ -230,8 +231,7 @@ def test_point_syncmers_match_their_definition_and_join(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     shown = df.select(
         "i", fingerprints.point_syncmers(F.col("t")).alias("a"),
-        F.expr("transform(sequence(1, 6 + length(t)), j -> xxhash64(substr(p, j, 1), substr(p, j + 1, 1), substr(p, j + 2, 1),"
-               " substr(p, j + 3, 1), substr(p, j + 4, 1), substr(p, j + 5, 1)))".replace("(p,", "(concat(repeat('\\0', 11), t),")).alias("m"),
+        F.expr("transform(sequence(1, 6 + length(t)), j -> xxhash64(encode(substr(concat(repeat('\\0', 11), t), j, 6), 'UTF-32')))").alias("m"),
     )
     for r in shown.collect():
         m, n = r.m, len(texts[r.i])
@@ -258,44 +258,23 @@ def test_short_and_unspaced_texts_stay_near_their_edits(docs):
     assert all(r.near_edited > max(0.1, r.near_next) for r in found)
 
 
-def test_closed_syncmers_match_their_definition(spark):
-    rng = random.Random(2)
-    texts = [" ".join(f"w{rng.randrange(30)}" for _ in range(n)) for n in (0, 1, 5, 6, 7, 40, 300)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    found = {
-        r.i: r for r in df.select(
-            "i", fingerprints.closed_syncmers(F.col("t")).alias("a"), fingerprints.word_hashes(F.col("t")).alias("h"),
-            F.expr("transform(sequence(0, greatest(size(split(t, ' ')) - 2, 0)), j -> xxhash64(xxhash64(split(t, ' ')[j]), xxhash64(get(split(t, ' '), j + 1))))").alias("m"),
-        ).collect()
-    }
-    for i, text in enumerate(texts):
-        n = len(text.split())
-        if n < 6:
-            assert [a.position for a in found[i].a] == ([0] if n else [])
-            continue
-        inner = found[i].m
-        want = [p for p in range(n - 5) if min(inner[p], inner[p + 4]) <= min(inner[p + 1 : p + 4])]
-        assert [a.position for a in found[i].a] == want
-    density = len(found[6].a) / 300
-    assert 0.25 < density < 0.6
-
-
 def test_an_edit_moves_no_anchor_elsewhere(spark):
-    words = [f"w{i}" for i in range(120)]
-    changed = [*words[:60], "new", *words[60:]]
-    df = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(changed))], "i int, t string")
+    text = " ".join(f"w{i}" for i in range(120))
+    changed = text[:200] + "new " + text[200:]
+    df = spark.createDataFrame([(0, text), (1, changed)], "i int, t string")
     a, b = (
-        [(x.position, x.hash) for x in r.a]
-        for r in df.select("i", fingerprints.closed_syncmers(F.col("t")).alias("a")).orderBy("i").collect()
+        [(x.end, x.hash) for x in r.a]
+        for r in df.select("i", fingerprints.point_syncmers(F.col("t")).alias("a")).orderBy("i").collect()
     )
-    assert [x for x in a if x[0] < 55] == [x for x in b if x[0] < 55]
-    assert [(p + 1, h) for p, h in a if p >= 60] == [x for x in b if x[0] >= 61]
+    assert [x for x in a if x[0] < 200] == [x for x in b if x[0] < 200]
+    assert [(p + 4, h) for p, h in a if p >= 212] == [x for x in b if x[0] >= 216]
 
 
 def test_fingerprints_repeated_rows_null_ids_and_empty_tables(docs):
     rows = [(5, "same"), (5, "same"), (5, "other"), (None, "a b"), (7, "x " * 50_000)]
     found = fingerprints.fingerprints(docs(rows)).collect()
-    assert sorted(str(r.doc_id) for r in found) == ["5", "5", "7", "None"]
+    assert sorted(str(r.doc_id) for r in found) == ["5", "5", "5", "7", "None"]
+    assert len({(r.edited, r.near_edited, r.in_place) for r in found if r.n_chars == 4 and r.doc_id == 5}) == 1
     assert {r.edited for r in found if r.doc_id is None} <= {"a bsam"[:2] + "s", "a bo"[:2] + "o"}
     assert fingerprints.fingerprints(docs([])).collect() == []
     one = fingerprints.fingerprints(docs([(1, "abcd")])).collect()
