@@ -62,6 +62,40 @@ def test_index_outlives_batches_and_takes_a_batch_twice(spark, docs):
     )
 
 
+def test_an_index_is_opened_with_the_buckets_it_was_made_with(spark, docs):
+    path = shared_dir(spark, "index-reopened")
+    batch = [(i, f"text {i}") for i in range(200)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        first = DigestIndex(spark, path)
+        exact_dedup(docs(batch), first)
+        first.close()
+        spark.conf.set("spark.sql.shuffle.partitions", "5")
+        again = DigestIndex(spark, path)
+        assert again.buckets == 3
+        found = exact_dedup(docs([(i + 1000, t) for i, t in batch]), again).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert not any(r.kept for r in found) and again.table().count() == 200
+    with pytest.raises(ValueError, match="3 buckets"):
+        DigestIndex(spark, path, buckets=5)
+
+
+def test_long_paths_stay_apart_and_no_table_is_left(spark, docs):
+    root = shared_dir(spark, "x" * 40)
+    paths = [f"{root}/{name}/{'y' * 100}" for name in "ab"]
+    indexes = [DigestIndex(spark, p, buckets=2) for p in paths]
+    exact_dedup(docs([(1, "one")]), indexes[0])
+    assert [i.table().count() for i in indexes] == [1, 0]
+    for index in indexes:
+        index.close()
+    tables = {t.name for t in spark.catalog.listTables()}
+    found = exact_dedup(docs([(1, "one"), (2, "one")]))
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    assert sorted(r.kept for r in found.collect()) == [False, True]
+
+
 def test_anti_join_reads_the_index_in_its_buckets(spark, docs):
     index = DigestIndex(spark, shared_dir(spark, "index-plan"), buckets=8)
     exact_dedup(docs([(i, str(i)) for i in range(50)]), index)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import re
+import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,24 +20,48 @@ class DigestIndex:
     a shuffle) and appends them. Appending the same rows again adds nothing, so
     a job that died after its append can simply run again.
 
-    One index has one writer at a time. ``path`` lies on shared storage; a later
-    session opens the same index by the same path and number of buckets.
+    One index has one writer at a time. ``path`` lies on shared storage and keeps
+    the number of buckets beside the data, so a later session opens the index as
+    it was made, whatever its own settings; another number is refused. ``close``
+    takes the table out of the catalog and leaves the files.
     """
 
     COLUMNS = "text_sha256 STRING, keep_id BIGINT"
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         self.spark = spark
-        self.path = path or shared_dir(spark, "digest-index")
+        self.path = (path or shared_dir(spark, "digest-index")).rstrip("/")
+        made_with = self._made_with()
+        if made_with and buckets not in (None, made_with):
+            raise ValueError(f"the index at {self.path} has {made_with} buckets, not {buckets}")
         # Not below the shuffle partitions: else the join deals the index out anew.
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.name = "digests_" + re.sub(r"\W+", "_", self.path).strip("_").lower()[-90:]
+        self.buckets = made_with or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if not made_with:
+            made = spark.range(0, 1, 1, 1).select(F.lit(self.buckets).alias("buckets"))
+            made.write.mode("overwrite").parquet(self._facts)
+        self.name = "digests_" + hashlib.sha256(self.path.encode()).hexdigest()[:40]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({self.COLUMNS}) USING parquet "
             f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.path}'"
         )
 
+    @property
+    def _facts(self) -> str:
+        return f"{self.path}-made-with"
+
+    def _made_with(self) -> int | None:
+        """Buckets of the index at this path; None if there is none yet."""
+        try:
+            return self.spark.read.schema("buckets int").parquet(self._facts).first()[0]
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in str(error):
+                return None
+            raise
+
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -81,8 +106,8 @@ def exact_dedup(
     its rows stay. Other columns of any name are ignored. An empty table gives
     an empty result.
     """
-    spark = docs.sparkSession
-    index = index or DigestIndex(spark)
+    own = None if index else DigestIndex(docs.sparkSession)
+    index = index or own
     rows = written(
         docs.select(
             F.col(id_col).cast("long").alias("doc_id"),
@@ -105,6 +130,8 @@ def exact_dedup(
         ),
         "digests-held",
     )
+    if own:
+        own.close()
     joined = rows.join(held, "text_sha256")
     return joined.select(
         F.col("doc_id").alias(id_col),
