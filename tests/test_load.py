@@ -309,9 +309,7 @@ def test_load_records_from_a_frame(spark, store):
     assert store.read("app__e").count() == 15
 
 
-def test_many_rows_at_the_mark(spark, store, monkeypatch):
-    """Too many stored rows at the mark to broadcast them."""
-    monkeypatch.setattr("tidemark.sources.raw_store.has_few_rows", lambda df: False)
+def test_many_rows_at_the_mark(spark, store):
     resource = Resource(name="app__e", selector="$", record=None, cursor="at", cursor_type="bigint")
     df = spark.range(40).select(F.col("id"), (F.col("id") % 2).alias("at"))
     load_records(store, resource, df.filter("id < 20"), "r1", start=0)

@@ -16,6 +16,8 @@ from tidemark.operators import (
     interval_overlaps,
     json_array_rows,
     latest_per_key,
+    ALL,
+    frequent_keys,
     left_join_hot_right,
     orphan_keys,
     orphans,
@@ -68,31 +70,44 @@ def no_broadcast(spark):
     spark.conf.set(name, before)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 3, 1_000])
+@pytest.mark.parametrize("frequent", [(), "found", ALL])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_is_the_plain_join(spark, no_broadcast, how, hot_rows):
+def test_spread_join_is_the_plain_join(spark, no_broadcast, how, frequent):
     big = spark.range(200).select(
         F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 9)
         .cast("int").alias("k"),
         (F.col("id") % 5).alias("v"),
     )
     small = spark.createDataFrame([(1, "a"), (2, "b"), (50, "c"), (None, "d")], "k int, w string")
-    joined = spread_join(big, small, ["k"], how, hot_rows)
-    assert rows(joined) == rows(big.join(small, "k", how).select(*joined.columns))
+    keys = frequent_keys(big, ["k"], share=10)[0] if frequent == "found" else frequent
+    joined = spread_join(big, small, ["k"], how, keys)
     text = plan(joined)
-    assert "SortMergeJoin" in text and "BroadcastHashJoin" in text
+    assert text.count("SortMergeJoin") == 1 and text.count("Range (") == 1
+    assert rows(joined) == rows(big.join(small, "k", how).select(*joined.columns))
+
+
+def test_frequent_keys_are_found_in_one_pass(spark):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("a"),
+        F.when(F.col("id") % 20 == 1, F.lit(-1)).otherwise(F.col("id")).alias("b"),
+    )
+    a, b = frequent_keys(df, ["a"], ["b"])
+    hashes = df.select(F.xxhash64(F.lit(None).cast("long")), F.xxhash64(F.lit(-1).cast("long"))).first()
+    assert (a, b) == ([hashes[0]], [hashes[1]])
+    assert frequent_keys(df.limit(0), ["a"]) == [[]]
+    # All rows have keys of their own.
+    assert frequent_keys(spark.range(50_000), ["id"]) == [[]]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 2])
-def test_left_join_with_hot_right_keys(spark, no_broadcast, hot_rows):
+@pytest.mark.parametrize("share", [1, 5, 1000])
+def test_left_join_with_hot_right_keys(spark, no_broadcast, share):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "k int, l string")
-    right = spark.createDataFrame([(1, n) for n in range(9)] + [(3, 1), (4, 4)], "k int, r int")
-    joined = left_join_hot_right(left, right, ["k"], hot_rows)
+    right = spark.createDataFrame([(1, n) for n in range(9)] + [(3, 1), (4, 4), (None, 5)], "k int, r int")
+    joined = left_join_hot_right(left, right, ["k"], frequent_keys(right, ["k"], share=share)[0])
     assert rows(joined, "k", "l", "r") == rows(left.join(right, "k", "left"), "k", "l", "r")
 
 
-def test_orphans_too_many_to_broadcast(spark, no_broadcast, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.joins.has_few_rows", lambda df: False)
+def test_orphans_too_many_to_broadcast(spark, no_broadcast):
     child = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
     parent = spark.range(3)
     assert orphans(child, "k", parent, "id").count() == 70
@@ -132,7 +147,7 @@ def _overlaps_by_hand(logs):
 def test_interval_overlaps_against_brute_force(spark, logs, bucket):
     in_ms = [(a * 1000, b * 1000) for a, b in logs]
     df = spark.createDataFrame(in_ms, "a bigint, b bigint")
-    found = interval_overlaps(df, "a", "b", bucket_seconds=bucket, hot_rows=0).collect()
+    found = interval_overlaps(df, "a", "b", bucket_seconds=bucket, share=100).collect()
     expected = _overlaps_by_hand(in_ms)
     assert sum(r.n_overlaps for r in found) == len(expected)
     assert {(r.a, r.b) for r in found} == {(a, b) for a, b, _ in expected}

@@ -53,3 +53,18 @@ def test_windows_of_models_are_limited_before_the_shuffle(spark):
         text = plan(df)
         if "row_number()" in text:
             assert "row_number(), 1, Partial" in text, name
+
+
+def test_the_join_chain_reads_each_source_once(spark):
+    """Also where nothing fits a broadcast and keys are spread."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        frames = raw_frames(spark)
+        text = plan(build(frames, ["engagement_contacts_v1"])["engagement_contacts_v1"])
+    finally:
+        spark.conf.set(name, before)
+    scans = text.count("Scan ExistingRDD") + text.count("LocalTableScan")
+    # Companies, contacts, three kinds of engagements and of links.
+    assert scans == 8 and "BroadcastHashJoin" not in text and text.count("SortMergeJoin") == 3

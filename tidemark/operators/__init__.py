@@ -2,6 +2,8 @@ from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.intervals import interval_overlaps
 from tidemark.operators.joins import (
     child_counts,
+    ALL,
+    frequent_keys,
     left_join_hot_right,
     orphan_keys,
     orphans,
@@ -25,6 +27,8 @@ __all__ = [
     "interval_overlaps",
     "json_array_rows",
     "latest_per_key",
+    "ALL",
+    "frequent_keys",
     "left_join_hot_right",
     "orphan_keys",
     "orphans",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import HOT_ROWS, spread_join
+from tidemark.operators.joins import SHARE, frequent_keys, spread_join
 from tidemark.session import written
 
 _KEYS = "__key"
@@ -20,7 +20,7 @@ def interval_overlaps(
     end: str,
     entity: Sequence[str] = (),
     bucket_seconds: int = 60,
-    hot_rows: int = HOT_ROWS,
+    share: int = SHARE,
     units_per_second: int = 1000,
 ) -> DataFrame:
     """Intervals that end after the next one (by start, then end) begins.
@@ -68,7 +68,8 @@ def interval_overlaps(
     )
 
     # Every log but the last of its start is followed by a log with the same start.
-    joined = spread_join(logs, linked, [_KEYS], "inner", hot_rows)
+    frequent = frequent_keys(logs, [_KEYS], share=share)[0]
+    joined = spread_join(logs, linked, [_KEYS], "inner", frequent)
     begin, stop = F.col(f"{_KEYS}.start"), F.col("__end")
     is_last = F.coalesce(stop == F.col("__last_end"), F.col("__last_end").isNull())
     tied = F.col("__copies") - F.when(is_last, 1).otherwise(0)

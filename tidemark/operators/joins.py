@@ -2,8 +2,8 @@
 
 AQE can split a skewed partition only where both join sides come straight from a
 shuffle, which is not so after a window or an aggregation on the same key, and
-never on the side an outer join looks up. So hot keys are taken out here: they are
-few by definition, and the rows they join to fit a broadcast.
+never on the side an outer join looks up. So frequent keys are found by a sketch,
+in one pass over the keys, and their rows are spread by a salt in the one join.
 """
 
 from __future__ import annotations
@@ -15,25 +15,47 @@ from pyspark.sql import functions as F
 
 from tidemark.session import written
 
-# A key with more rows than this is not sent to one task. Of N rows at most
-# N / HOT_ROWS keys can be hot, which bounds what is broadcast for them: 20,000
-# keys for a table of 10^11 rows.
-HOT_ROWS = 5_000_000
+# A key with more than one in so many rows is frequent. There are fewer than so many,
+# which bounds what the driver gets and how often rows of the other side are repeated.
+SHARE = 1_000
+# Stands for frequent keys where every key is one, because there are few.
+ALL = None
 
-# Row count up to which a set of keys is broadcast after it was counted.
-SMALL_ROWS = 200_000
+_SALT = "__salt"
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast the frame."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes())) <= conf.autoBroadcastJoinThreshold()
+def frequent_keys(df: DataFrame, *keys: Sequence[str], share: int = SHARE) -> list[list[int]]:
+    """Hashes of the frequent keys, for each of several keys in one pass over ``df``.
+
+    A mergeable sketch of bounded size counts at least what a frequent key has, up
+    to one in ten times ``share`` rows, so none is missed; a few others may pass.
+    """
+    tracked = min(10 * share, 1_000_000)
+    hashed = df.select(*[F.xxhash64(*on).alias(f"k{i}") for i, on in enumerate(keys)])
+    tops = [F.expr(f"approx_top_k(k{i}, {share}, {tracked})").alias(f"k{i}") for i in range(len(keys))]
+    row = hashed.agg(F.count(F.lit(1)).alias("n"), *tops).first()
+    return [[t["item"] for t in row[f"k{i}"] or [] if t["count"] * share > row["n"]] for i in range(len(keys))]
+
+
+def _salts(df: DataFrame) -> int:
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
+
+
+def _frequent(on: Sequence[str], frequent: Sequence[int] | None) -> Column:
+    return F.lit(True) if frequent is ALL else F.xxhash64(*on).isin(list(frequent))
 
 
-def has_few_rows(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
-    """Counts the rows, but no further than the limit."""
-    return df.limit(limit + 1).count() <= limit
+def _spread(df: DataFrame, on: Sequence[str], frequent: Sequence[int] | None) -> DataFrame:
+    """Rows of frequent keys dealt out to salts by their content."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(_salts(df)))
+    return df.withColumn(_SALT, F.when(_frequent(on, frequent), salt).otherwise(F.lit(0).cast("long")))
+
+
+def _repeated(df: DataFrame, on: Sequence[str], frequent: Sequence[int] | None) -> DataFrame:
+    """Rows of frequent keys once for every salt."""
+    every = F.sequence(F.lit(0).cast("long"), F.lit(_salts(df) - 1).cast("long"))
+    once = F.array(F.lit(0).cast("long"))
+    return df.withColumn(_SALT, F.explode(F.when(_frequent(on, frequent), every).otherwise(once)))
 
 
 def spread_join(
@@ -41,59 +63,42 @@ def spread_join(
     small: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    keys: DataFrame | None = None,
+    frequent: Sequence[int] | None = (),
 ) -> DataFrame:
     """``big`` joined to ``small``, where single keys may fill much of ``big``.
 
     ``small`` has one row per key; ``how`` is inner, left, left_semi or left_anti.
-    A small side that Spark broadcasts anyway needs no more care. Otherwise rows of
-    hot keys (null among them) are joined to the few matching rows of ``small`` by
-    broadcast and never shuffled; all other rows take the ordinary join. Without
-    hot keys AQE drops the first part at run time. ``keys`` may name a frame with
-    the same keys as ``big`` that is cheaper to count.
+    ``frequent`` are the keys of ``big`` to spread, as ``frequent_keys`` finds them
+    (null among them), or ``ALL`` where there are few keys. Each side is read once,
+    and without frequent keys this is the plain join.
     """
     on = list(on)
-    if fits_broadcast(small):
+    if frequent is not ALL and not frequent:
         return big.join(small, on, how)
-    counts = (big if keys is None else keys).groupBy(*on).agg(F.count("*").alias("__rows"))
-    hot = counts.filter(F.col("__rows") > hot_rows)
-    hot = F.broadcast(hot.select(*[F.col(c).alias(f"__hot_{c}") for c in on]))
-
-    def is_hot(df: DataFrame) -> Column:
-        same = F.lit(True)
-        for c in on:
-            same = same & df[c].eqNullSafe(hot[f"__hot_{c}"])
-        return same
-
-    hot_part = big.join(hot, is_hot(big), "left_semi")
-    looked_up = small.join(hot, is_hot(small), "left_semi")
-    rest = big.join(hot, is_hot(big), "left_anti")
-    return rest.join(small, on, how).unionByName(hot_part.join(F.broadcast(looked_up), on, how))
+    joined = _spread(big, on, frequent).join(_repeated(small, on, frequent), [*on, _SALT], how)
+    return joined.drop(_SALT)
 
 
 def left_join_hot_right(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    keys: DataFrame | None = None,
+    left: DataFrame, right: DataFrame, on: Sequence[str], frequent: Sequence[int] = ()
 ) -> DataFrame:
     """Left join of unique ``left`` keys to a side with very many rows for some keys.
 
-    Matches are looked up from the right, as ``spread_join`` does; rows without a
-    match come from an anti join against the distinct right keys, which are reduced
-    before they are shuffled. ``keys`` may name a frame with the same keys as
-    ``right`` that is cheaper to read.
+    ``frequent`` are keys of ``right``. Rows of these are spread, and the left row is
+    repeated for every salt; a salt that got none of them gives no row, since a
+    frequent key has a match in another.
     """
     on = list(on)
-    matched = spread_join(right, left, on, "inner", hot_rows, keys)
-    extra = [f for f in right.schema.fields if f.name not in on]
-    known = (right if keys is None else keys).select(*on).distinct()
-    unmatched = left.join(known, on, "left_anti").select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
-    )
-    return unmatched.unionByName(matched)
+    if not frequent:
+        return left.join(right, on, "left")
+    spread = _spread(right, on, frequent).withColumn("__matched", F.lit(True))
+    joined = _repeated(left, on, frequent).join(spread, [*on, _SALT], "left")
+    kept = F.col("__matched").isNotNull() | ~_frequent(on, frequent)
+    # A null key is never matched: its row stays once.
+    null_key = F.lit(False)
+    for c in on:
+        null_key = null_key | F.col(c).isNull()
+    return joined.filter(kept | (null_key & (F.col(_SALT) == 0))).drop(_SALT, "__matched")
 
 
 def child_counts(
@@ -125,13 +130,9 @@ def orphan_keys(
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows without a parent.
 
-    The missing keys are found and written first, on one column, and counted there:
-    if they are few, as in sound data, their rows are picked without a shuffle of the
-    child table. What was counted is what is broadcast.
+    The missing keys are found first, on one column, and counted before they are
+    joined; of each there is one row, so Spark broadcasts them if they are few, as
+    in sound data, and the child table is then not shuffled.
     """
     missing = written(orphan_keys(child, column, parent, field).select(column), "orphan-keys")
-    if has_few_rows(missing):
-        found = child.join(F.broadcast(missing), column, "left_semi")
-    else:
-        found = spread_join(child, missing, [column], "left_semi")
-    return found.select(*child.columns)
+    return child.join(missing, column, "left_semi").select(*child.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import trunc_date
-from tidemark.operators.joins import spread_join
+from tidemark.operators.joins import frequent_keys, spread_join
 
 
 @dataclass(frozen=True)
@@ -111,7 +111,10 @@ def measure(
             F.expr(other.key(entity, primary=True).expr).alias(key),
             *[other.dimension(d.partition("__")[2]).alias(d) for d in mine],
         )
-        base = base.join(looked_up, key, "left") if additive else spread_join(base, looked_up, [key])
+        if additive:
+            base = base.join(looked_up, key, "left")
+        else:
+            base = spread_join(base, looked_up, [key], frequent=frequent_keys(base, [key])[0])
     final = [(_merge(m) if additive else whole(m)).alias(m.name) for m in wanted]
     return base.groupBy(*by).agg(*final)
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import completion_rate, surrogate_key, trunc_date
 from tidemark.operators import (
     child_counts,
+    ALL,
+    frequent_keys,
     left_join_hot_right,
     spread_join,
     union_all,
@@ -195,9 +197,9 @@ def habits_metrics(
         "target_pct", "threshold", "below_threshold", "active",
     )
     rate = completion_rate("completed_periods", "total_periods")
-    # There are few habits, so each is a hot key should the targets not be broadcast.
+    # There are few habits, so each is a frequent key should the targets not be broadcast.
     return (
-        spread_join(periods.withColumn("completion_rate", rate), targets, ["habit"])
+        spread_join(periods.withColumn("completion_rate", rate), targets, ["habit"], frequent=ALL)
         .select(
             "habit", "habit_name", "category", "frequency", "source", "habit_type",
             "period_start", "report_period", "total_periods", "completed_periods",
@@ -214,17 +216,20 @@ def engagement_contacts(
     """Engagements with their contacts and the contacts' companies.
 
     A company may have very many contacts, a contact very many engagements and an
-    engagement very many contacts; each join takes such keys apart. Ids in the
+    engagement very many contacts; such keys are found by two passes over the keys
+    when this is called, and spread in the joins. Ids in the
     result come from the contact and the company, so they are null for a link to an
     unknown contact and for a contact of an unknown company.
     """
     known_companies = companies.select(
         "company_id", F.col("company_id").alias("known_company_id"), "company_name"
     )
+    employers = frequent_keys(contacts, ["company_id"])[0]
     people = spread_join(
         contacts.select("contact_id", "company_id", "first_name", "last_name"),
         known_companies,
         ["company_id"],
+        frequent=employers,
     )
     people = people.select(
         "contact_id",
@@ -234,13 +239,15 @@ def engagement_contacts(
         F.col("known_company_id").alias("company_id"),
         "company_name",
     )
-    widened = spread_join(links.select("engagement_id", "contact_id"), people, ["contact_id"])
+    often_met, crowded = frequent_keys(links, ["contact_id"], ["engagement_id"])
+    links = links.select("engagement_id", "contact_id")
+    widened = spread_join(links, people, ["contact_id"], frequent=often_met)
     widened = widened.drop("contact_id").withColumnRenamed("known_contact_id", "contact_id")
     events = engagements.select(
         "engagement_id", "engagement_type", "body_preview", "occurred_at", "is_synchronous",
         "updated_at",
     )
-    joined = left_join_hot_right(events, widened, ["engagement_id"], keys=links)
+    joined = left_join_hot_right(events, widened, ["engagement_id"], crowded)
     return joined.select(
         surrogate_key("engagement_id", "contact_id").alias("engagement_key"),
         "engagement_id", "engagement_type", "body_preview", "occurred_at", "is_synchronous",

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.operators.joins import has_few_rows, spread_join
 from tidemark.session import written
 from tidemark.sources.nested import LIST_INDEX, PARENT_ID, ROW_ID
 
@@ -128,7 +127,7 @@ class RawStore:
         for parent in parents:
             # Rows of parents that were replaced stay in the dataset and are passed over.
             alive = self.read(parent).select(F.col(ROW_ID).alias(PARENT_ID)).distinct()
-            found = spread_join(found, alive, [PARENT_ID], "left_semi").select(*found.columns)
+            found = found.join(alive, PARENT_ID, "left_semi").select(*found.columns)
             found = latest_per_key(found, [PARENT_ID, LIST_INDEX], [LOAD_ID])
         return found
 
@@ -187,13 +186,9 @@ class RawStore:
         at_mark = [r for r in loads if r.cursor_max == mark]
         found = self._rows(at_mark).filter(F.col(cursor) == low)
         seen = written(found.select(ROW_ID).distinct(), "seen-rows")
-        if has_few_rows(seen):
-            # Ids hold the cursor value too, so ids of newer rows are not among them.
-            since = df.filter(F.col(cursor) >= low)
-            return since.join(F.broadcast(seen), ROW_ID, "left_anti").select(*df.columns)
-        newer = df.filter(F.col(cursor) > low)
-        at_mark_rows = spread_join(df.filter(F.col(cursor) == low), seen, [ROW_ID], "left_anti")
-        return newer.unionByName(at_mark_rows.select(*df.columns))
+        # Ids hold the cursor value too, so ids of newer rows are not among them. Ids
+        # are spread evenly; Spark broadcasts them if they are few.
+        return df.filter(F.col(cursor) >= low).join(seen, ROW_ID, "left_anti").select(*df.columns)
 
     # --- writing ---------------------------------------------------------
 

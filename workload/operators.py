@@ -23,6 +23,7 @@ from tidemark.operators import (
     interval_overlaps,
     json_array_rows,
     latest_per_key,
+    frequent_keys,
     left_join_hot_right,
     spread_join,
     union_all,
@@ -192,15 +193,17 @@ def denormalised_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = given(spark, sf_dir, "supplier").select(supplier.cast("int").alias("p_size"), "s_name")
     part = F.when(F.col("p_size") < 40, F.col("p_partkey")).otherwise(-F.col("p_partkey"))
     parts = given(spark, sf_dir, "part").withColumn("p_partkey", part)
-    parts = spread_join(parts, suppliers, ["p_size"]).select("p_partkey", "p_brand", "s_name")
+    sizes = frequent_keys(parts, ["p_size"])[0]
+    parts = spread_join(parts, suppliers, ["p_size"], frequent=sizes).select("p_partkey", "p_brand", "s_name")
     bought = F.when(F.col("l_quantity") > 20, F.col("l_partkey"))
     links = given(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), bought.alias("l_partkey")
     )
     known = parts.withColumn("l_partkey", F.col("p_partkey"))
-    widened = spread_join(links, known, ["l_partkey"]).drop("l_partkey")
+    parts_often, orders_large = frequent_keys(links, ["l_partkey"], ["o_orderkey"])
+    widened = spread_join(links, known, ["l_partkey"], frequent=parts_often).drop("l_partkey")
     orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    joined = left_join_hot_right(orders, widened, ["o_orderkey"], keys=links)
+    joined = left_join_hot_right(orders, widened, ["o_orderkey"], orders_large)
     key = surrogate_key("o_orderkey", "p_partkey").alias("key")
     return joined.select(key, "o_orderkey", "o_orderpriority", "p_partkey", "p_brand", "s_name")
 
