@@ -68,3 +68,27 @@ def test_facts_are_summed_before_the_join(orders, related):
     text = plan(measure(ORDERS, orders, ["total"], ["customer__segment"], related))
     below_join = text[text.index("Join") :]
     assert "partial_sum" in below_join
+
+
+def test_sketches_of_days_roll_up_to_coarser_grains(spark):
+    from tidemark.operators.measures import Dimension, Measure, SemanticModel, distinct_sketches, measure, rolled_up
+
+    model = SemanticModel(
+        "m",
+        dimensions=[Dimension("day", "d", is_time=True), Dimension("kind", "k")],
+        measures=[Measure("n", "count_distinct", "v"), Measure("n_odd", "count_distinct", "v", "v % 2 = 1"), Measure("s", "sum", "v")],
+    )
+    df = spark.range(30_000).selectExpr("date_add(date'2024-01-29', cast(id % 9 as int)) AS d", "if(id % 3 = 0, null, 'a') AS k", "id % 7000 AS v")
+    sketches = distinct_sketches(model, df, ["n", "n_odd"], "day", ["kind"])
+    assert sketches.count() == 9  # a day's ids have one remainder by 3, so one kind
+    for grain in ("week", "month", "quarter"):
+        exact = {(r[0], r.kind): (r.n, r.n_odd) for r in measure(model, df, ["n", "n_odd"], [f"day__{grain}", "kind"]).collect()}
+        about = {(r[0], r.kind): (r.n, r.n_odd) for r in rolled_up(sketches, ["n", "n_odd"], "day", grain, ["kind"]).collect()}
+        assert exact.keys() == about.keys()
+        assert all(abs(a - e) <= 0.05 * e for key in exact for a, e in zip(about[key], exact[key]))
+    none = distinct_sketches(model, df.filter("k = 'a'"), ["n_odd"], "day", ["kind"])
+    assert none.filter("kind IS NULL").count() == 0
+    import pytest
+
+    with pytest.raises(ValueError):
+        distinct_sketches(model, df, ["s"], "day")

@@ -241,3 +241,19 @@ def test_hot_keys_give_the_same_answer(spark, share):
     kept = latest_per_key(df, ["k"], ["at"])
     expected = df.groupBy("k").agg(F.max("at").alias("at"))
     assert rows(kept, "k", "at") == rows(expected, "k", "at")
+
+
+def test_each_group_has_the_days_of_its_own_range(spark):
+    from datetime import date
+
+    from tidemark.operators import gap_fill_by
+
+    day = lambda n: date(2024, 1, n)
+    daily = spark.createDataFrame(
+        [("a", day(1), 5), ("a", day(3), None), (None, day(9), 2), (None, day(10), 1), ("b", None, 7)],
+        "k string, d date, n int",
+    )
+    assert rows(gap_fill_by(daily, "d", ["k"], ["n"])) == sorted(
+        [("a", day(1), 5), ("a", day(2), 0), ("a", day(3), 0), (None, day(9), 2), (None, day(10), 1)], key=repr
+    )
+    assert gap_fill_by(daily.limit(0), "d", ["k"], ["n"]).count() == 0

@@ -18,7 +18,7 @@ given_tables = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="given table
 # These load or write when called; their parts are planned by other queries.
 EAGER = {
     "incremental_append", "incremental_append_stream", "full_refresh", "merge_upsert",
-    "route_tables", "route_tables_drift", "route_stream", "page_explode_undeclared", "row_hook", "dq_model_suite", "csv_round_trip",
+    "route_tables", "route_tables_drift", "route_stream", "page_explode_undeclared", "row_hook", "publish_table", "dq_report_on_write", "dq_model_suite", "csv_round_trip",
 }
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "RoundRobin")
 

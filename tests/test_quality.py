@@ -91,3 +91,18 @@ def test_row_checks_share_one_pass(table):
     checks = [*not_null("id", "n"), *between("n", 0, 10), *accepted_values("period", ["day"])]
     text = report_one(table, "t", checks)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Aggregate") == 1
+
+
+def test_report_of_the_pass_that_writes(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.quality import between, not_null, report_one, unique, written_with_report
+
+    df = spark.range(10).select(F.when(F.col("id") != 3, F.col("id")).alias("a"), (F.col("id") % 4).alias("b"))
+    checks = [*not_null("a"), *between("b", 0, 2), *unique("a", "b")]
+    table, report, facts = written_with_report(df, "m", checks, cursor="a")
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, report_one(df, "m", checks).collect()))
+    assert facts == {"n_rows": 10, "cursor_max": 9} and table.count() == 10
+    empty, report, facts = written_with_report(df.limit(0), "m", checks)
+    assert facts == {"n_rows": 0, "cursor_max": None} and empty.count() == 0
+    assert all(r.passed for r in report.collect())

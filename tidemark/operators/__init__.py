@@ -1,8 +1,8 @@
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.intervals import interval_overlaps
 from tidemark.operators.joins import (
-    child_counts,
     ALL,
+    child_counts,
     frequent_keys,
     left_join_hot_right,
     orphan_keys,
@@ -17,17 +17,18 @@ from tidemark.operators.reshape import (
     union_by_name,
     unpivot_flags,
 )
-from tidemark.operators.spine import date_spine, gap_fill
+from tidemark.operators.spine import date_spine, gap_fill, gap_fill_by
 
 __all__ = [
+    "ALL",
     "child_counts",
     "date_spine",
     "empty_relation",
     "gap_fill",
+    "gap_fill_by",
     "interval_overlaps",
     "json_array_rows",
     "latest_per_key",
-    "ALL",
     "frequent_keys",
     "left_join_hot_right",
     "orphan_keys",

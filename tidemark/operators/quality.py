@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions import json_length
 from tidemark.operators.intervals import interval_overlaps
 from tidemark.operators.joins import orphan_keys, orphans
+from tidemark.session import written
 
 REPORT_SCHEMA = "model string, check string, target string, failures bigint, passed boolean"
 
@@ -127,23 +128,61 @@ def report_one(
     tables: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Failure count per check. All one-row checks share a single pass over the table."""
-    violations = [(c, _violation(c, df)) for c in checks]
-    local = [(c, v) for c, v in violations if v is not None]
-    others = [c for c, v in violations if v is None]
+    local = [(c, v) for c, v in ((c, _violation(c, df)) for c in checks) if v is not None]
     parts = []
     if local:
         counts = [F.count_if(v).alias(f"c{i}") for i, (_, v) in enumerate(local)]
-        rows = []
-        for i, (check, _) in enumerate(local):
-            fields = {**_label(model, check), "failures": f"c{i}"}
-            rows.append(f"struct({', '.join(f'{v} as `{k}`' for k, v in fields.items())})")
-        parts.append(df.agg(*counts).selectExpr(f"inline(array({', '.join(rows)}))"))
-    for check in others:
-        counted = _failure_count(df, check, tables)
-        label = [f"{text} as `{column}`" for column, text in _label(model, check).items()]
-        parts.append(counted.selectExpr(*label, "failures"))
-    combined = reduce(DataFrame.unionByName, parts)
-    return combined.withColumn("passed", F.col("failures") == 0)
+        failures = [(f"c{i}", c) for i, (c, _) in enumerate(local)]
+        parts.append(df.agg(*counts).selectExpr(_counted(model, failures)))
+    return _reported(parts, df, model, checks, tables)
+
+
+def _counted(model: str, failures: Sequence[tuple[str, Check]]) -> str:
+    """One row for each check whose number of failures an expression gives."""
+    rows = []
+    for count, check in failures:
+        fields = {**_label(model, check), "failures": f"cast({count} as bigint)"}
+        rows.append(f"struct({', '.join(f'{v} as `{k}`' for k, v in fields.items())})")
+    return f"inline(array({', '.join(rows)}))"
+
+
+def _reported(
+    parts: list[DataFrame], df: DataFrame, model: str, checks: Sequence[Check], tables: Mapping[str, DataFrame] | None
+) -> DataFrame:
+    """The rows at hand, and those of the checks that look at more than one row."""
+    for check in checks:
+        if _violation(check, df) is None:
+            counted = _failure_count(df, check, tables)
+            label = [f"{text} as `{column}`" for column, text in _label(model, check).items()]
+            parts = [*parts, counted.selectExpr(*label, "failures")]
+    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
+
+
+def written_with_report(
+    df: DataFrame,
+    model: str,
+    checks: Sequence[Check],
+    tables: Mapping[str, DataFrame] | None = None,
+    cursor: str | None = None,
+) -> tuple[DataFrame, DataFrame, dict]:
+    """The table written and read back, its report, and its ``n_rows`` and ``cursor_max``.
+
+    One-row checks, the rows and the greatest cursor are counted by the pass that
+    writes; the other checks read what was written, so ``df`` is computed once.
+    """
+    local = [(c, v) for c, v in ((c, _violation(c, df)) for c in checks) if v is not None]
+    seen = Observation()
+    top = F.max(cursor) if cursor else F.max(F.lit(None).cast("string"))
+    metrics = [F.count(F.lit(1)).alias("n_rows"), top.alias("cursor_max")]
+    metrics += [F.count_if(v).alias(f"c{i}") for i, (_, v) in enumerate(local)]
+    table = written(df.observe(seen, *metrics), model)
+    found = seen.get
+    parts = []
+    if local:
+        failures = [(str(found[f"c{i}"]), c) for i, (c, _) in enumerate(local)]
+        parts.append(df.sparkSession.range(0, 1, 1, 1).selectExpr(_counted(model, failures)))
+    facts = {name: found[name] for name in ("n_rows", "cursor_max")}
+    return table, _reported(parts, table, model, checks, tables), facts
 
 
 def report(

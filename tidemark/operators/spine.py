@@ -37,3 +37,23 @@ def gap_fill(
     series = daily.withColumnRenamed(date_column, "date_day")
     filled = [F.coalesce(F.col(v), F.lit(0)).alias(v) for v in values]
     return spine.join(series, "date_day", "left").select("date_day", *filled)
+
+
+def gap_fill_by(
+    daily: DataFrame, date_column: str, by: Sequence[str], values: Sequence[str]
+) -> DataFrame:
+    """Each group's days from its first to its last, with its values; days without a row get 0.
+
+    ``daily`` holds one row per group and day. A group's days are made of its own
+    range, so no group meets the days of another. Null is a group like others; rows
+    without a day are left out.
+    """
+    known = daily.filter(F.col(date_column).isNotNull())
+    ranges = known.groupBy(*by).agg(F.min(date_column).alias("__first"), F.max(date_column).alias("__last"))
+    days = ranges.select(*by, F.explode(F.sequence("__first", "__last")).alias("date_day")).alias("d")
+    same = F.col("d.date_day") == F.col(f"v.{date_column}")
+    for c in by:
+        same = same & F.col(f"d.{c}").eqNullSafe(F.col(f"v.{c}"))
+    filled = [F.coalesce(F.col(f"v.{v}"), F.lit(0)).alias(v) for v in values]
+    joined = days.join(known.alias("v"), same, "left")
+    return joined.select(*[F.col(f"d.{c}").alias(c) for c in by], "d.date_day", *filled)

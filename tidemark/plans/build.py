@@ -155,6 +155,26 @@ def with_comments(df: DataFrame) -> DataFrame:
     return df
 
 
+def publish_table(
+    df: DataFrame,
+    name: str,
+    database: str | None = None,
+    folder: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """Write a table with the comments of its columns to the catalog, and read it from there.
+
+    With ``folder`` the data goes to a new path below it and the table moves there
+    when it is complete; what was there before stays readable.
+    """
+    spark, table = df.sparkSession, f"{database}.{name}" if database else name
+    writer = with_comments(df).write.mode("overwrite").partitionBy(*partition_by)
+    if folder:
+        writer = writer.option("path", f"{folder.rstrip('/')}/{name}/{uuid.uuid4().hex}")
+    writer.saveAsTable(table)
+    return spark.table(table).select(*df.columns)
+
+
 def publish(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -171,15 +191,9 @@ def publish(
     there when the data is complete; what was there before stays readable.
     """
     frames: dict[str, DataFrame] = dict(raw)
-    prefix = f"{database}." if database else ""
-    build_id = uuid.uuid4().hex
 
     def save(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        writer = with_comments(df).write.mode("overwrite").partitionBy(*partition_by)
-        if folder:
-            writer = writer.option("path", f"{folder.rstrip('/')}/{name}/{build_id}")
-        writer.saveAsTable(f"{prefix}{name}")
-        return spark.table(f"{prefix}{name}").select(*df.columns)
+        return publish_table(df, name, database, folder, partition_by)
 
     for name, model in MODELS.items():
         df = model.build(*[frames[i] for i in model.inputs])

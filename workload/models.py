@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import surrogate_key
 from tidemark.operators import gap_fill
 from tidemark.operators.measures import measure
 from tidemark.operators.spine import date_spine
-from tidemark.plans.build import MODELS, build
+from tidemark.plans.build import MODELS, build, publish_table
+from tidemark.plans.marts import habits_metrics
 from tidemark.plans.semantic import ENGAGEMENT_CONTACTS, HABITS
 from tidemark.plans.staging import activities
-from tidemark.session import shared_dir
+from tidemark.session import shared_dir, written
 from tidemark.sources.csv import read_csv
 from workload.registry import query
-from workload.standins import RAW_SQL, raw, raw_for_duckdb
+from workload.standins import RAW_SQL, given, raw, raw_for_duckdb
 
 
 def _latest(source: str, key: str, order: str) -> str:
@@ -410,3 +412,47 @@ def measure_engagements(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = models(spark, sf_dir, "engagement_contacts_v1")["engagement_contacts_v1"]
     names = [m.name for m in ENGAGEMENT_CONTACTS.measures]
     return measure(ENGAGEMENT_CONTACTS, mart, names, ["company_name", "engagement_date__year"])
+
+
+_ALIGNED_SQL = MODEL_SQL["habits_metrics_v1"].replace(
+    "SELECT habit, habit_date, habit_period, 1,",
+    "SELECT habit, CASE WHEN habit_period = 'week' THEN CAST(date_trunc('week', habit_date) AS DATE) ELSE habit_date END, habit_period, 1,",
+)
+
+
+@query(
+    "habits_metrics_aligned",
+    with_models(f"SELECT * FROM ({_ALIGNED_SQL}) aligned", "habits_v1", "stg_notion__habit_reference"),
+)
+def habits_metrics_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics with weekly pages moved to the Monday of their week."""
+    built = models(spark, sf_dir, "habits_v1", "stg_notion__habit_reference")
+    return habits_metrics(built["habits_v1"], built["stg_notion__habit_reference"], align_weeks=True)
+
+
+@query(
+    "publish_table",
+    """
+    SELECT md5(CAST(o_orderkey AS VARCHAR)) AS habit_key, CAST(o_orderdate AS DATE) AS habit_date,
+           CASE o_orderstatus WHEN 'F' THEN 'day' ELSE 'week' END AS habit_period, o_orderstatus = 'F' AS is_complete,
+           'Hash that identifies the habit record' AS key_comment, 'Day the record counts for' AS date_comment
+    FROM orders
+    """,
+)
+def publish_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table in the catalog: its rows and the comments of its columns, as the catalog has them."""
+    done = F.col("o_orderstatus") == "F"
+    rows = given(spark, sf_dir, "orders").select(
+        surrogate_key("o_orderkey").alias("habit_key"), F.col("o_orderdate").cast("date").alias("habit_date"),
+        F.when(done, "day").otherwise("week").alias("habit_period"), done.alias("is_complete"),
+    )
+    folder = shared_dir(spark, "published")
+    name = "published_" + folder.rpartition("-")[2]
+    table = publish_table(rows, name, folder=folder, partition_by=["habit_period"])
+    comments = {c.name: c.description for c in spark.catalog.listColumns(name)}
+    commented = table.select(
+        "*", F.lit(comments["habit_key"]).alias("key_comment"), F.lit(comments["habit_date"]).alias("date_comment")
+    )
+    read = written(commented, "published-read")
+    spark.sql(f"DROP TABLE {name}")
+    return read

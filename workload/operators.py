@@ -20,6 +20,7 @@ from tidemark.operators import (
     child_counts,
     empty_relation,
     gap_fill,
+    gap_fill_by,
     interval_overlaps,
     json_array_rows,
     latest_per_key,
@@ -30,7 +31,15 @@ from tidemark.operators import (
     union_by_name,
     unpivot_flags,
 )
-from tidemark.operators.measures import Dimension, Entity, Measure, SemanticModel, measure
+from tidemark.operators.measures import (
+    Dimension,
+    Entity,
+    Measure,
+    SemanticModel,
+    distinct_sketches,
+    measure,
+    rolled_up,
+)
 from tidemark.operators.spine import spine_between
 from workload.registry import query
 from workload.standins import given
@@ -419,6 +428,42 @@ def measure_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measure(EVENT_MODEL, given(spark, sf_dir, "events"), names, ["kind"])
 
 
+@query(
+    "measure_distinct_sketched",
+    """
+    WITH grains AS (
+        SELECT 'week' AS grain, CAST(date_trunc('week', ts) AS DATE) AS period_start, event_type AS kind, user_id, value FROM events
+        UNION ALL
+        SELECT 'month', CAST(date_trunc('month', ts) AS DATE), event_type, user_id, value FROM events)
+    SELECT grain, period_start, kind, count(DISTINCT user_id) AS n_users,
+           count(DISTINCT CASE WHEN value >= 50 THEN user_id END) AS n_large_users,
+           true AS users_close, true AS large_users_close
+    FROM grains GROUP BY ALL
+    """,
+)
+def measure_distinct_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct users per week and month beside those rolled up from daily sketches: within 5 %?"""
+    events = given(spark, sf_dir, "events")
+    names = ["n_users", "n_large_users"]
+    sketches = distinct_sketches(EVENT_MODEL, events, names, "day", ["kind"])
+    parts = []
+    for grain in ("week", "month"):
+        at = f"day__{grain}"
+        exact = measure(EVENT_MODEL, events, names, [at, "kind"]).alias("e")
+        about = rolled_up(sketches, names, "day", grain, ["kind"]).alias("s")
+        same = F.col(f"e.{at}").eqNullSafe(F.col(f"s.{at}")) & F.col("e.kind").eqNullSafe(F.col("s.kind"))
+        close = [
+            (F.abs(F.col(f"s.{n}") - F.col(f"e.{n}")) <= 0.05 * F.col(f"e.{n}")).alias(f"{n.removeprefix('n_')}_close")
+            for n in names
+        ]
+        parts.append(
+            exact.join(about, same).select(
+                F.lit(grain).alias("grain"), F.col(f"e.{at}").alias("period_start"), "e.kind", *[f"e.{n}" for n in names], *close
+            )
+        )
+    return union_all(*parts)
+
+
 @query(
     "measure_by_dimension",
     """
@@ -621,6 +666,32 @@ def gap_filled_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gap_fill(_order_days(spark, sf_dir), daily, "day", ["n_orders", "n_customers"])
 
 
+@query(
+    "gap_filled_by_dimension",
+    """
+    WITH daily AS (
+        SELECT nullif(o_orderpriority, '5-LOW') AS priority, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS day,
+               count(*) AS n_orders
+        FROM orders WHERE o_orderstatus = 'P' GROUP BY ALL),
+    days AS (
+        SELECT priority, status, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS date_day
+        FROM daily GROUP BY priority, status)
+    SELECT d.priority, d.status, d.date_day, coalesce(v.n_orders, 0) AS n_orders
+    FROM days d LEFT JOIN daily v
+      ON v.priority IS NOT DISTINCT FROM d.priority AND v.status = d.status AND v.day = d.date_day
+    """,
+)
+def gap_filled_by_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under way per day, for each priority (one of them null) and status."""
+    orders = given(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    daily = orders.groupBy(
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderdate").cast("date").alias("day"),
+    ).agg(F.count("*").alias("n_orders"))
+    return gap_fill_by(daily, "day", ["priority", "status"], ["n_orders"])
+
+
 # --- scalar functions ----------------------------------------------------------
 
 
