@@ -8,110 +8,85 @@ from pyspark.sql import functions as F
 from tidemark.llm.native import id_key, let, upto
 from tidemark.session import written
 
-# Of the rolling hash over two lines: the factor, and the prime it is taken by.
+# Factor of the rolling hash over two lines; line hashes have 57 bits, so it fits a long.
 FACTOR = 31
-PRIME = 4294967291
 
 
 def line_hash(line: Column) -> Column:
-    """The first 32 bits of the line's MD5."""
-    return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
+    return F.shiftrightunsigned(F.xxhash64(line), 7)
 
 
-def chunk_ends(lines: Column) -> Column:
-    """Numbers of the lines (from 0) that end a chunk.
+def is_filled(line: Column) -> Column:
+    """Whether a line has more than white space."""
+    return F.trim(F.translate(line, "\t\r", "")) != ""
 
-    The rolling hash at a line covers it and the one before. A chunk ends where
-    that hash is smaller than the one before and not larger than the one behind,
-    and at the end of the text. So an end hangs on four lines alone, a text
-    inserted elsewhere moves it along, and chunks inside a text have two lines
-    or more.
-    """
 
-    def rolled(h: Column) -> Column:
+def pairs(lines: Column) -> Column:
+    """Neighbouring filled lines in order: ``first`` and ``last`` (numbers from 0) and the rolling ``hash`` over both."""
+
+    def of(filled: Column) -> Column:
         return F.transform(
-            h, lambda x, i: (F.when(i > 0, F.get(h, i - 1)).otherwise(0) * FACTOR + x) % PRIME
+            upto(F.size(filled) - 1),
+            lambda k: F.struct(
+                filled[k]["i"].alias("first"),
+                filled[k + 1]["i"].alias("last"),
+                (filled[k]["h"] * FACTOR + filled[k + 1]["h"]).alias("hash"),
+            ),
         )
 
-    def ends(r: Column) -> Column:
-        n = F.size(r)
-        low = lambda i: (r[i] < F.get(r, i - 1)) & (r[i] <= F.get(r, i + 1))
-        return F.filter(upto(n), lambda i: (i == n - 1) | ((i > 0) & low(i)))
+    numbered = F.transform(lines, lambda line, i: F.struct(i.alias("i"), F.when(is_filled(line), line_hash(line)).alias("h")))
+    return let(F.filter(numbered, lambda x: x["h"].isNotNull()), of)
 
-    return let(F.transform(lines, line_hash), lambda h: let(rolled(h), ends))
 
-
-def chunks(lines: Column) -> Column:
-    """Chunks of a text in order: ``start`` (line, from 0) and ``n`` lines."""
-    return let(
-        chunk_ends(lines),
-        lambda e: F.transform(
-            e,
-            lambda end, i: F.struct(
-                F.when(i > 0, F.get(e, i - 1) + 1).otherwise(0).alias("start"),
-                F.when(i > 0, end - F.get(e, i - 1)).otherwise(end + 1).alias("n"),
-            ),
-        ),
-    )
-
-
-def chunk_text(lines: Column, chunk: Column) -> Column:
-    return F.array_join(F.slice(lines, chunk["start"] + 1, chunk["n"]), "\n")
+def pair_text(lines: Column, pair: Column) -> Column:
+    return F.concat(F.get(lines, pair["first"]), F.lit("\n"), F.get(lines, pair["last"]))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns, with repeated chunks of two lines or more taken out of the text.
 
-    Of the places (id, chunk number) that hold the same chunk, byte for byte, the
-    first keeps it. ``n_lines`` is the number of lines before, ``n_removed`` of
-    those taken out; input columns of these names are replaced. Lines end at line
-    feeds; chunks of white space only stay. Null counts as empty text, of one
-    empty line. A null id comes before all others. Rows that share an id and a
-    text are one place: what one keeps the other keeps too; rows that share only
-    the id follow each other by a hash of the text. An empty table stays empty.
-
-    Chunks meet by hash first, as narrow rows; only the texts of those whose hash
+    A hash rolls over each two neighbouring lines, blank ones passed over. Chunks
+    end where it turns from a pair of lines that an earlier place (id, number) has,
+    byte for byte, to one that none has: so a chunk is a longest run of repeated
+    lines, and an end hangs on two lines alone, wherever the run stands and
+    whatever is round it. These chunks go, with the blank lines inside; the first
+    place of each pair keeps it. A repeated line between two new ones stays.
+
+    ``n_lines`` is the number of lines before, ``n_removed`` of those taken out;
+    input columns of these names are replaced. Lines end at line feeds. Null counts
+    as empty text, of one empty line. A null id comes before all others. Rows that
+    share an id and a text are one place: what one keeps the other keeps too; rows
+    that share only the id follow each other by a hash of the text. An empty table
+    stays empty.
+
+    Pairs meet by hash first, as narrow rows; only the texts of those whose hash
     occurs twice are shuffled and grouped by their bytes. Grouping works within
-    tasks first, so a chunk in very many documents is no large group anywhere.
+    tasks first, so a passage in very many documents is no large group anywhere.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
-        F.col(id_col).alias("id"), id_key(F.col(id_col)).alias("key"), F.xxhash64(text).alias("tie"),
-        text.alias("text"), F.split(text, "\n").alias("lines"),
+        F.col(id_col).alias("id"), id_key(F.col(id_col)).alias("key"), F.xxhash64(text).alias("tie"), text.alias("text")
     )
-    cut = rows.select("id", "key", "tie", "lines", chunks(F.col("lines")).alias("chunks"))
-    found = cut.select(
-        "id", "key", "tie",
-        F.explode(
-            F.transform(
-                "chunks",
-                lambda c, i: F.struct(
-                    i.alias("number"),
-                    F.when(c["n"] > 1, F.xxhash64(chunk_text(F.col("lines"), c))).alias("hash"),
-                ),
-            )
-        ).alias("chunk"),
-    ).select("id", "key", "tie", "chunk.*").filter("hash is not null")
-    found = written(found, "line-chunks")
+    found = rows.select("id", "key", "tie", F.posexplode(pairs(F.split("text", "\n"))).alias("number", "pair"))
+    found = written(found.select("key", "tie", "number", F.col("pair.hash").alias("hash")), "line-pairs")
     twice = written(
         found.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("hash"),
         "line-twice",
     )
     asked = found.join(twice, "hash").groupBy("key", "tie").agg(F.collect_set("number").alias("numbers"))
     asked = written(asked, "line-asked").hint("merge")
-    plain = rows.select("id", "key", "tie", "text").join(asked, ["key", "tie"])
     asked_texts = let(
         F.split("text", "\n"),
         lambda lines: let(
-            chunks(lines),
-            lambda c: F.transform(
-                F.array_sort("numbers"),
-                lambda i: F.struct(i.alias("number"), chunk_text(lines, c[i]).alias("text")),
+            pairs(lines),
+            lambda p: F.transform(
+                F.array_sort("numbers"), lambda k: F.struct(k.alias("number"), pair_text(lines, p[k]).alias("text"))
             ),
         ),
     )
-    texts = plain.select("id", "key", "tie", F.explode(asked_texts).alias("chunk")).select("id", "key", "tie", "chunk.*")
-    texts = written(texts.filter(F.trim(F.translate("text", "\n\t\r", "")) != ""), "line-texts")
+    plain = rows.join(asked, ["key", "tie"])
+    texts = plain.select("id", "key", "tie", F.explode(asked_texts).alias("pair")).select("id", "key", "tie", "pair.*")
+    texts = written(texts, "line-texts")
     place = F.struct("id", "tie", "number")
     first = written(
         texts.groupBy("text").agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -132,21 +107,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = F.split("text", "\n")
 
     def cleaned(line_list: Column) -> Column:
-        parts = F.filter(
-            F.transform(
-                chunks(line_list),
-                lambda c, i: F.when(
-                    ~F.array_contains("gone", i),
-                    F.struct(chunk_text(line_list, c).alias("text"), c["n"].alias("n")),
-                ),
-            ),
-            lambda part: part.isNotNull(),
+        covered = let(
+            pairs(line_list),
+            lambda p: F.flatten(F.transform("gone", lambda k: F.sequence(p[k]["first"], p[k]["last"]))),
         )
+        kept = F.array_except(upto(F.size(line_list)), covered)
         return let(
-            parts,
-            lambda p: F.struct(
-                F.array_join(F.transform(p, lambda x: x["text"]), "\n").alias("text"),
-                F.aggregate(p, F.lit(0), lambda total, x: total + x["n"]).alias("n"),
+            kept,
+            lambda k: F.struct(
+                F.array_join(F.transform(k, lambda i: F.get(line_list, i)), "\n").alias("text"), F.size(k).alias("n")
             ),
         )
 

@@ -179,29 +179,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
       FROM documents
-    ), hashed AS (
-      SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM split
-    ), rolled AS (
-      SELECT *, (coalesce(lag(h) OVER doc, 0) * 31 + h) % 4294967291 AS r
-      FROM hashed WINDOW doc AS (PARTITION BY doc_id ORDER BY i)
-    ), cut AS (
-      SELECT *, coalesce(r < lag(r) OVER doc AND r <= lead(r) OVER doc, false) AS ends
-      FROM rolled WINDOW doc AS (PARTITION BY doc_id ORDER BY i)
-    ), numbered AS (
-      SELECT *, coalesce(sum(ends::INT) OVER (
-        PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-      FROM cut
-    ), chunks AS (
-      SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
-      FROM numbered GROUP BY doc_id, chunk
-    ), judged AS (
-      SELECT *, n > 1 AND trim(translate(body, chr(10) || chr(9) || chr(13), '')) <> ''
-        AND row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS gone
-      FROM chunks
+    ), pairs AS (
+      SELECT doc_id, i AS last, lag(i) OVER doc AS first, lag(line) OVER doc || chr(10) || line AS body
+      FROM split WHERE trim(translate(line, chr(9) || chr(13), '')) <> ''
+      WINDOW doc AS (PARTITION BY doc_id ORDER BY i)
+    ), late AS (
+      SELECT doc_id, first, last FROM pairs WHERE first IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, last) > 1
+    ), gone AS (
+      SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM late
     )
-    SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text,
-      sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed
-    FROM judged GROUP BY doc_id
+    SELECT s.doc_id, coalesce(string_agg(s.line, chr(10) ORDER BY s.i) FILTER (g.i IS NULL), '') AS text,
+      count(*) AS n_lines, count(g.i) AS n_removed
+    FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.i = s.i GROUP BY s.doc_id
     """,
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
