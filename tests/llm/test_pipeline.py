@@ -51,3 +51,27 @@ def test_stages_match_brute_force(spark, tmp_path, reference):  # noqa: F811
     assert {r.doc_id for r in pieces} == set(ids)
     assert all(r.doc_tokens == len(ids[r.doc_id]) for r in pieces)
     assert sum(r.length for r in pieces) == sum(map(len, ids.values()))
+
+
+def test_stages_take_empty_tables_repeated_rows_long_texts_and_clashing_columns(spark, tmp_path):
+    long = "\n".join(f"long line number {i} of this text" for i in range(20_000))
+    rows = [(1, "first line here\nsecond line here\nmail x.y@mail.example.com now", "en", "s", 0)] * 2
+    rows += [(2, long, "en", None, 0), (3, None, None, None, None), (None, "some text of nobody", "en", "s", 1)]
+    rows += [(i, f"word {i} one.\nand number {i * 7} more.", "en", "s", 2) for i in range(10, 40)]
+    clash = [f"'mine' AS `{c}`" for c in ("n_lines", "n_removed", "row", "key", "tie", "gone", "kept", "pair")]
+    documents = spark.createDataFrame(rows, ROWS).selectExpr("*", *clash)
+    marks = [(i, i % 2, 0) for i in range(10, 40)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for at, docs in enumerate((documents, documents.limit(0))):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            stage_rows = out.collect()
+            if name == "packing":
+                assert bool(stage_rows) == (at == 0)
+                continue
+            assert out.dtypes == docs.dtypes, name
+            assert all(r.n_lines == r.row == r.gone == r.kept == "mine" for r in stage_rows)
+            if at == 0 and name != "quality":
+                assert {1, 2, 3, None} <= {r.doc_id for r in stage_rows}
+            if name in ("line_dedup", "pii"):
+                assert all(r.n_chars == len(r.text) for r in stage_rows)

@@ -25,7 +25,7 @@ _tables: dict[str, WordTable] = {}
 def shape_of(word: str) -> str:
     """Letter case, digits and marks of a word, with runs of the same kind as one or two."""
     out: list[str] = []
-    for c in word[:64]:
+    for c in word:
         kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if out[-2:] != [kind, kind]:
             out.append(kind)
