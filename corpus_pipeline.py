@@ -8,11 +8,13 @@ Documents with a null id pass every filter that goes by id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents
+from tidemark.llm.common import bounded_batches, documents
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.packing import pack_texts
@@ -21,12 +23,17 @@ from tidemark.llm.quality import quality_score, train_quality
 from tidemark.session import configure, written
 
 
-def _with_text(docs: DataFrame, like: DataFrame) -> DataFrame:
-    columns = [
-        F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`")
-        for c in like.columns
-    ]
-    return docs.select(*columns)
+# What a stage that changes texts makes anew; all other columns go along as they are.
+_OF_TEXT = ("text", "n_chars")
+
+
+def _with_text(docs: DataFrame, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The documents with the text that ``change`` gives them; other columns travel apart, under any name."""
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in _OF_TEXT])
+    changed = change(docs.select("doc_id", "text", rest.alias("row")))
+    kinds = dict(docs.dtypes)
+    made = {"text": F.col("text"), "n_chars": F.char_length("text").cast(kinds.get("n_chars", "long"))}
+    return changed.select(*[made.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +47,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without chunks of lines that an earlier one holds."""
     configure(spark)
-    return _with_text(dedup_lines(docs), docs)
+    return _with_text(docs, dedup_lines)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +60,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
-    configure(spark)
-    return _with_text(docs.withColumn("text", redact_pii("text")), docs)
+    bounded_batches(configure(spark))
+    return _with_text(docs, lambda rows: rows.withColumn("text", redact_pii("text")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
