@@ -7,6 +7,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -66,19 +67,33 @@ def test_quality_without_labels_or_rows(spark, docs):
 
 
 def test_ftrl_takes_the_steps_of_its_definition():
-    """One coordinate, by hand: z, n and the closed form of the weight."""
-    one = np.array([3])
-    z = n = 0.0
-    for label in (1, 0, 1, 1):
-        w = 0.0 if abs(z) <= 0.05 else -(z - math.copysign(0.05, z)) / ((1 + math.sqrt(n)) / 0.3 + 0.1)
-        bias = 0.0
-        g = (1 / (1 + math.exp(-(w * 2 + bias))) - label) * 2
-        z += g - (math.sqrt(n + g * g) - math.sqrt(n)) / 0.3 * w
-        n += g * g
-        break
-    w = -(z - math.copysign(0.05, z)) / ((1 + math.sqrt(n)) / 0.3 + 0.1)
-    model = quality.ftrl([(one, np.array([2.0]), 1)], passes=1)
-    assert model.weights[3] == pytest.approx(w) and not model.weights[:3].any()
+    """Two coordinates and the bias, by hand: z, n and the closed form of each weight, over two passes."""
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.05, 0.1
+    examples = [({3: 2.0}, 1), ({3: 1.0, 7: 0.5}, 0), ({7: 3.0}, 0), ({3: 2.0, 7: 1.0}, 1), ({7: 0.01}, 1)]
+    z, n, bias_z, bias_n = {3: 0.0, 7: 0.0}, {3: 0.0, 7: 0.0}, 0.0, 0.0
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(2):
+        for values, label in examples:
+            w = {i: weight(i) for i in values}
+            bias = -bias_z / ((beta + math.sqrt(bias_n)) / alpha)
+            slope = 1 / (1 + math.exp(-(sum(w[i] * x for i, x in values.items()) + bias))) - label
+            for i, x in values.items():
+                g = slope * x
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w[i]
+                n[i] += g * g
+            bias_z += slope - (math.sqrt(bias_n + slope * slope) - math.sqrt(bias_n)) / alpha * bias
+            bias_n += slope * slope
+    model = quality.ftrl([(np.array(list(v)), np.array(list(v.values())), label) for v, label in examples], passes=2)
+    assert [model.weights[i] for i in (3, 7)] == pytest.approx([weight(3), weight(7)])
+    assert model.bias == pytest.approx(-bias_z / ((beta + math.sqrt(bias_n)) / alpha))
+    assert np.flatnonzero(model.weights).tolist() == [3, 7]
+    # A coordinate that never gets beyond the first penalty has no weight.
+    assert not quality.ftrl([(np.array([3]), np.array([0.05]), 1)], passes=1).weights.any()
 
 
 def test_quality_features_are_counted_per_text():
@@ -235,6 +250,44 @@ def test_every_place_of_every_text_is_a_target_of_training(monkeypatch):
     assert seen == tokens.tolist() and trainer.tokens == 10_000
 
 
+def test_scores_of_documents_by_hand(docs):
+    """Every token's hidden state, class and member, one number after the other."""
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(1500)]
+    texts = [" ".join(rng.choice(vocabulary[: 40 * (1 + i)]) for _ in range(rng.randrange(1, 60))) for i in range(40)] + [""]
+    rows = list(enumerate(texts))
+    model = masked_lm.train_language_model(docs(rows))
+    counted = Counter(w for t in texts for w in t.split())
+    net, spread = model.network, model.vocabulary.spread
+
+    def log_soft(row, at):
+        top = max(row)
+        return row[at] - top - math.log(sum(math.exp(x - top) for x in row))
+
+    def score(text):
+        words = text.split()
+        tokens, counts = model.vocabulary.numbers(pa.array([text]))
+        assert counts.tolist() == [len(words)]
+        around = [0, 0, *tokens.tolist(), 0, 0]
+        total = 0.0
+        for place, (word, token) in enumerate(zip(words, tokens.tolist())):
+            h = [
+                math.tanh(net.hidden[d] + sum(net.reach[k, d] * net.embed[around[place + 2 + o], d] for k, o in enumerate((-2, -1, 1, 2))))
+                for d in range(masked_lm.WIDTH)
+            ]
+            group, member = divmod(token, masked_lm.CLASSES)
+            total += log_soft([float(np.dot(h, net.to_class[:-1, c]) + net.to_class[-1, c]) for c in range(masked_lm.CLASSES)], group)
+            inner = net.to_member[group]
+            total += log_soft([float(np.dot(h, inner[:-1, m]) + inner[-1, m]) for m in range(masked_lm.CLASSES)], member)
+            if token <= masked_lm.RARE:
+                total += math.log(counted[word]) - spread[token]
+        return total
+
+    for r in masked_lm.score_language(docs(rows), model).collect():
+        assert r.n_tokens == len(texts[r.doc_id].split())
+        assert r.log_prob == pytest.approx(score(texts[r.doc_id]), abs=0.02), texts[r.doc_id]
+
+
 def test_scores_do_not_depend_on_the_texts_beside():
     vocabulary = masked_lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(masked_lm.TOKENS))
     rng = np.random.default_rng(2)
@@ -311,6 +364,16 @@ def test_facts_are_those_of_the_whole_word():
     assert pii.shape("4111-1111") == "d4-d4" and "\n" not in pii.shape("a.b@c.example")
 
 
+def test_added_spans_overlap_no_base_span():
+    rng = random.Random(3)
+    for _ in range(200):
+        spans = lambda n: [("ip", a, a + rng.randrange(1, 9)) for a in (rng.randrange(60) for _ in range(n))]  # noqa: E731, B023
+        base, more = spans(rng.randrange(6)), spans(8)
+        want = [s for s in more if not any(a < s[2] and s[1] < b for _, a, b in base)]
+        found = [s[:3] for s in pii.with_added(base, more) if not s[3]]
+        assert sorted(found) == sorted(want)
+
+
 def test_viterbi_finds_the_best_of_all_paths():
     tagger = pii.Tagger(pii.train_crf())
     crf, k = tagger.crf, len(pii.LABELS)

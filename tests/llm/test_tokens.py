@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from text_fixtures import docs, plan  # noqa: F401
 from hypothesis import given, settings
@@ -79,8 +81,21 @@ def test_round_trip_of_documents(docs, own):
 
 
 def test_decoding_ends_within_characters(own):
-    ids = bpe.encode("日", own)
-    assert bpe.decode(ids[:4], own) == "日".encode()[: len(bpe.decode(ids[:4], own))]
+    ids = bpe.encode("日本", own)
+    numbers = np.frombuffer(ids, "<u4").tolist()
+    for n in range(len(numbers) + 1):
+        part = bpe.decode(ids[: 4 * n], own)
+        assert part == b"".join(own.decode_single_token_bytes(i) for i in numbers[:n])
+    assert bpe.decode(ids, own) == "日本".encode()
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="given tables are not here")
+def test_ids_of_given_documents_are_those_of_the_tokenizers_library(reference):
+    again = bpe.encoder(bpe.read_ranks(JSON), PATTERN, bpe.ranks_of_json)
+    chunks = bpe.ChunkIds(again)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    for text in texts:
+        assert np.frombuffer(chunks.encode(text or ""), "<u4").tolist() == reference(text or "")
 
 
 # --- packing -----------------------------------------------------------------------

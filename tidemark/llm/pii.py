@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -388,8 +390,11 @@ def with_added(base: list[tuple[str, int, int]], more: list[tuple[str, int, int]
     out = [(k, a, b, True) for k, a, b in base]
     if more:
         taken = sorted((a, b) for _, a, b in base)
+        starts = [a for a, _ in taken]
+        # How far the spans up to each one reach.
+        reach = [0, *accumulate((b for _, b in taken), max)]
         for k, a, b in more:
-            if not any(x < b and a < y for x, y in taken):
+            if reach[bisect_left(starts, b)] <= a:
                 out.append((k, a, b, False))
     return sorted(out, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
