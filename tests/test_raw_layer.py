@@ -194,3 +194,20 @@ def test_row_hook(store, land):
     resource = Resource(name="app__hooked", selector="results", record="id bigint, at string", cursor="at", transform=hook)
     load_resource(store, resource, land("h", {"results": [{"id": n, "at": AT} for n in (1, 2, 3)]}), "r1")
     assert rows(store.read("app__hooked"), "id", "double_id") == [(1, 2), (3, 6)]
+
+
+def test_jobs_from_the_command_line(spark, land, tmp_path, monkeypatch, capsys):
+    """Batch and stream loads of the notes source into tables named on the command line."""
+    from tidemark import __main__ as jobs
+
+    monkeypatch.setattr(jobs, "get_session", lambda app: spark)
+    land("notion__data_source_rows", {"results": [habit_page(1, 1, "own-id")]}, 1)
+    landing = str(tmp_path / "landing")
+    for raw, extra in (("batch", ["--load-id", "r1"]), ("stream", ["--stream", "--files-per-batch", "1"])):
+        argv = ["tidemark", "load", "--raw", str(tmp_path / raw), "--landing", landing, "--source", "notion",
+                "--notes-table", "own-id=journal", *extra]
+        monkeypatch.setattr("sys.argv", argv)
+        assert jobs.main() == 0
+        store = RawStore(spark, str(tmp_path / raw))
+        assert store.tables() == ["notion__data_source_journal"]
+        assert rows(store.read("notion__data_source_journal"), "id") == [("page-1",)]

@@ -12,7 +12,7 @@ from tidemark.session import get_session, shared_dir
 from tidemark.sources.load import load_resource
 from tidemark.sources.pages import BASE_DATE
 from tidemark.sources.raw_store import RawStore
-from tidemark.sources.resources import RESOURCES
+from tidemark.sources.resources import RESOURCES, notes_rows
 from tidemark.streaming import stream_resource
 
 
@@ -27,6 +27,10 @@ def main() -> int:
     parser.add_argument("--full-refresh", action="store_true")
     parser.add_argument("--lines", action="store_true", help="one page per line, not per file")
     parser.add_argument("--stream", action="store_true", help="as a stream, in batches")
+    parser.add_argument(
+        "--notes-table", action="append", metavar="ID=NAME", default=[],
+        help="table of a data source of the notes workspace, in place of the known ones",
+    )
     parser.add_argument("--files-per-batch", type=int, help="with --stream")
     parser.add_argument("--load-id", help="give the same id again to repeat a load")
     parser.add_argument("--database")
@@ -42,7 +46,11 @@ def main() -> int:
             parser.error("a full refresh reads all pages at once")
         load_id = args.load_id or datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f")
         window = {"start": args.initial_date, "end": args.end_date}
-        for resource in RESOURCES.values():
+        resources = dict(RESOURCES)
+        if args.notes_table:
+            own = notes_rows(dict(pair.split("=", 1) for pair in args.notes_table))
+            resources[own.name] = own
+        for resource in resources.values():
             if not resource.name.startswith(args.source):
                 continue
             landing = f"{args.landing}/{resource.name}"

@@ -246,22 +246,29 @@ DATA_SOURCES = Resource(
     casts={"created_time": "timestamp", "last_edited_time": "timestamp"},
 )
 
-# Users name the properties of their pages, so no field is declared.
-DATA_SOURCE_ROWS = Resource(
-    name="notion__data_source_rows",
-    selector="results",
-    record=None,
-    cursor="last_edited_time",
-    include_start=False,
-    include_end=False,
-    exclude=NOTES_EXCLUDED,
-    json_columns=("title",),
-    max_nesting=2,
-    casts={"created_time": "timestamp"},
-    route_column="parent__data_source_id",
-    routes=NOTES_TABLES,
-    route_prefix="notion__data_source_",
-)
+def notes_rows(tables: Mapping[str, str] = NOTES_TABLES) -> Resource:
+    """Pages of the data sources of a workspace, whose ids ``tables`` names; others keep their id as name.
+
+    Users name the properties of their pages, so no field is declared.
+    """
+    return Resource(
+        name="notion__data_source_rows",
+        selector="results",
+        record=None,
+        cursor="last_edited_time",
+        include_start=False,
+        include_end=False,
+        exclude=NOTES_EXCLUDED,
+        json_columns=("title",),
+        max_nesting=2,
+        casts={"created_time": "timestamp"},
+        route_column="parent__data_source_id",
+        routes=tables,
+        route_prefix="notion__data_source_",
+    )
+
+
+DATA_SOURCE_ROWS = notes_rows()
 
 RESOURCES: dict[str, Resource] = {
     r.name: r
