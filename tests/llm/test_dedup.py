@@ -14,6 +14,7 @@ from text_fixtures import docs, plan  # noqa: F401
 from tidemark.llm.common import ascii_words, word_hashes
 from tidemark.llm.exact_dedup import DigestIndex, exact_dedup
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.native import maybe_among, with_mark
 from tidemark.llm.minhash import FastSimilaritySketch, bands_for, near_duplicates, parity_bitmaps, shingle_sets
 from tidemark.session import shared_dir
 
@@ -299,3 +300,14 @@ def test_line_dedup_null_ids_repeated_rows_and_empty_tables(docs):
 
 def test_line_dedup_is_native(docs):
     assert not [w for w in ("Python", "Pandas", "Arrow") if w in plan(dedup_lines(docs([(1, "a\nb"), (2, "a\nb")])))]
+
+
+def test_marks_lose_no_wanted_key(spark):
+    df = spark.range(3000).selectExpr("if(id % 10 = 0, null, id) AS k", "id AS v")
+    wanted = spark.range(0, 3000, 7).selectExpr("id AS w")
+    kept = {r.k for r in maybe_among(df, "k", wanted).collect()}
+    want = {i for i in range(0, 3000, 7) if i % 10}
+    assert want <= kept and len(kept - want) < 5 and None not in kept
+    marked = with_mark(df, "k", wanted, "m")
+    assert marked.count() == 3000 and marked.columns == ["k", "v", "m"] and marked.filter("m is null").isEmpty()
+    assert maybe_among(df, "k", wanted.limit(0)).isEmpty()

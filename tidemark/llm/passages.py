@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import ascii_words, bounded_batches, mix, starts_of, text_of, word_hashes
+from tidemark.llm.native import maybe_among, with_mark
 from tidemark.session import written
 
 WINDOW = 20
@@ -245,20 +246,28 @@ def dedup_passages(
 
     # Windows around them, each with the earliest place of the same words.
     same_row = lambda a, b: (a["key"] == b["key"]) & (a["tie"] == b["tie"]) & a["id"].eqNullSafe(b["id"])
-    texts = rows.alias("t").join(asked.hint("merge").alias("a"), same_row(rows, asked)).select("a.base", "a.places", "t.text")
+    some = maybe_among(rows, "key", asked.select("key"))  # the other texts need not be shuffled
+    texts = some.join(asked.hint("merge").alias("a"), same_row(some, asked)).select("a.base", "a.places", "text")
     windows = texts.mapInArrow(_windows(window), schema("w1 long, w2 int, base long, start int"))
     windows = written(windows, "passage-windows")
     where = F.col("base") + F.col("start")
     first = windows.groupBy("w1", "w2").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-    first = first.filter("first < last").drop("last")
+    # Written, so that the rows of a very common window can be split in the join.
+    first = written(first.filter("first < last").drop("last"), "passage-firsts")
     gone = (
         windows.join(first.hint("merge"), ["w1", "w2"])
         .filter(where > F.col("first"))
         .groupBy("base").agg(F.collect_set("start").alias("gone"))
     )
     gone = written(placed.join(gone.hint("merge"), "base", "left").filter("copy or gone is not null"), "passage-gone")
-    marked = rows.alias("t").join(gone.hint("merge").alias("g"), same_row(rows, gone), "left").select(
-        "t.id", "t.text", F.coalesce("g.copy", F.lit(False)).alias("copy"), "g.gone"
+    marked = with_mark(rows, "key", gone.select("key"), "marked")
+    some = marked.filter("marked")
+    some = some.join(gone.hint("merge").alias("g"), same_row(some, gone), "left").select(
+        some["id"], some["text"], F.coalesce("g.copy", F.lit(False)).alias("copy"), "g.gone"
     )
+    whole = marked.filter("not marked").select(
+        "id", "text", F.lit(False).alias("copy"), F.lit(None).cast("array<int>").alias("gone")
+    )
+    marked = some.union(whole)
     kept = marked.mapInArrow(_kept(window), schema("text string, n_words long, n_removed long", id_field))
     return kept.withColumnRenamed("id", id_col)
