@@ -5,10 +5,9 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from tidemark.sources.load import load_all, load_records, load_resource, property_names
-from tidemark.sources.pages import date_window, explode_pages, read_pages
+from tidemark.sources.pages import date_window
 from tidemark.sources.raw_store import RawStore
 from tidemark.sources.resources import ACTIVITIES, DATA_SOURCES, RESOURCES, SLEEP, Resource
-from tidemark.sources.schemas import schema_of
 from tidemark.streaming import stream_resource
 
 CONTACTS = RESOURCES["hubspot__contacts"]
@@ -280,10 +279,20 @@ def test_stream_upsert(spark, store, land, tmp_path):
     assert rows(store.read("app__things"), "id", "v") == [(1, "a"), (2, "B")]
 
 
-def test_one_page_per_line(spark, tmp_path):
-    (tmp_path / "pages.json").write_text('{"results": [{"id": "1"}]}\n{"results": [{"id": "2"}]}\n')
-    pages = read_pages(spark, str(tmp_path / "pages.json"), schema_of("id string"), "results", multiline=False)
-    assert rows(explode_pages(pages, "results")) == [("1",), ("2",)]
+def test_one_page_per_line(store, tmp_path):
+    (tmp_path / "lines").mkdir()
+    at = '"updatedAt": "2025-01-01T00:00:00Z"'
+    (tmp_path / "lines" / "pages.json").write_text(f'{{"results": [{{"id": "1", {at}}}]}}\n\n{{"results": [{{"id": "2", {at}}}]}}\n')
+    load_resource(store, CONTACTS, str(tmp_path / "lines"), "r1", multiline=False)
+    assert rows(store.read("hubspot__contacts"), "id") == [(1,), (2,)]
+
+
+def test_a_page_that_is_no_json_stops_the_load(store, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "page.json").write_text('{"results": [')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        load_resource(store, CONTACTS, str(tmp_path / "broken"), "r1")
+    assert not store.exists("hubspot__contacts")
 
 
 def test_resources_cover_every_object():
