@@ -223,7 +223,7 @@ def test_edited_texts_and_neighbours(docs):
     rows = [(i * 3 - 20, " ".join(f"wé{rng.randrange(300)}" for _ in range(rng.choice((0, 1, 4, 6, 30, 200))))) for i in range(60)]
     rows += [(500, None), (501, ""), (502, " \n"), (503, "a b c d e f g h")]
     shuffled = rng.sample(rows, len(rows))
-    found = {r.doc_id: r for r in fingerprints.fingerprints(docs(shuffled, CLASHING)).collect()}
+    found = {r.doc_id: r for r in fingerprints.fingerprints(docs(shuffled, CLASHING), in_place=True).collect()}
     assert len(found) == len(rows)
     for j, (i, text) in enumerate(rows):
         text = text or ""
@@ -234,7 +234,11 @@ def test_edited_texts_and_neighbours(docs):
         assert sorted(a) == found[i].anchors
         assert found[i].near_next == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
         assert found[i].near_edited == pytest.approx(len(a & e) / len(a | e) if a | e else 1.0)
-        assert found[i].in_place <= len(a) or len(a) < n // 4  # repeats within a text count by place
+    moved = fingerprints.fingerprints(docs([(1, "abcdefghijklmnopqrstuvwxyz" * 2), (2, "z")]), in_place=True)
+    first = next(r for r in moved.collect() if r.doc_id == 1)
+    # What stays is in place: anchors that end before the cut.
+    own = docs([(1, "abcdefghijklmnopqrstuvwxyz" * 2)]).select(fingerprints.point_syncmers(F.col("text")).alias("a")).first().a
+    assert first.in_place == sum(a.end < 26 for a in own)
     long = [found[i] for i, t in rows if t and len(t.split()) == 200]
     assert all(r.near_edited > 0.2 > r.near_next for r in long)
 
@@ -287,7 +291,7 @@ def test_an_edit_moves_no_anchor_elsewhere(spark):
 
 def test_fingerprints_repeated_rows_null_ids_and_empty_tables(docs):
     rows = [(5, "same"), (5, "same"), (5, "other"), (None, "a b"), (7, "x " * 50_000)]
-    found = fingerprints.fingerprints(docs(rows)).collect()
+    found = fingerprints.fingerprints(docs(rows), in_place=True).collect()
     assert sorted(str(r.doc_id) for r in found) == ["5", "5", "5", "7", "None"]
     assert len({(r.edited, r.near_edited, r.in_place) for r in found if r.n_chars == 4 and r.doc_id == 5}) == 1
     assert {r.edited for r in found if r.doc_id is None} <= {"a bsam"[:2] + "s", "a bo"[:2] + "o"}

@@ -127,7 +127,6 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
-        "in_place",
     )
 
 
