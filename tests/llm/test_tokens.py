@@ -300,6 +300,19 @@ def test_fingerprints_repeated_rows_null_ids_and_empty_tables(docs):
     assert (one[0].edited, one[0].near_next) == ("abab", 1.0)
 
 
+def test_anchors_of_a_text_are_made_once_and_cross_blocks(docs, monkeypatch):
+    rows = [(i, f"text {i * i} of its own, " * (i % 4)) for i in range(40)]
+    whole = fingerprints.fingerprints(docs(rows), in_place=True)
+    # Each text once, and the part across a cut.
+    assert plan(fingerprints.fingerprints(docs(rows))).count("UTF-32") == 2
+    monkeypatch.setattr(fingerprints, "BLOCK_POINTS", 50)
+    small = fingerprints.fingerprints(docs(rows), in_place=True)
+    assert sorted(small.collect()) == sorted(whole.collect())
+    edited = {r.doc_id: r.edited for r in small.collect()}
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        assert edited[i] == text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+
+
 def test_fingerprints_are_native(docs):
     text = plan(fingerprints.fingerprints(docs([(1, "a b"), (2, "c")])))
     assert not [w for w in ("Python", "Pandas", "Arrow") if w in text]
