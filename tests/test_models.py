@@ -23,6 +23,7 @@ from tidemark.plans.build import (
 )
 from tidemark.plans.checks import MODEL_CHECKS
 from tidemark.plans.semantic import ENGAGEMENT_CONTACTS, HABITS
+from tidemark.sources import csv as csv_files
 from tidemark.sources.csv import read_csv
 from tidemark.sources.load import load_all
 from tidemark.sources.raw_store import RawStore
@@ -258,6 +259,17 @@ def test_csv_in_both_quotings(spark, tmp_path):
     assert (row.page_date, row.did_workout, row.did_language) == (date(2023, 1, 2), True, None)
 
 
+@pytest.mark.parametrize("escape", ['"', "\\"])
+def test_csv_files_hold_a_bounded_number_of_rows(spark, tmp_path, escape):
+    table = spark.range(0, 1000, 1, 1).selectExpr(
+        "string(id) AS id", """id || ' "x, y"' || chr(10) || 'z' AS properties__firstname""")
+    csv_files.write_csv(table, str(tmp_path / "out"), escape, file_rows=100)
+    assert len(list((tmp_path / "out").glob("part-*"))) == 10
+    read = read_csv(spark, str(tmp_path / "out"), "hubspot__contacts", escape)
+    found = {(str(r.id), r.properties__firstname) for r in read.collect()}
+    assert found == {(r.id, r.properties__firstname) for r in table.collect()}
+
+
 def test_landed_pages_to_published_tables(spark, tmp_path, land):
     """The whole way: pages on disk, raw tables, models, checks."""
     store = RawStore(spark, str(tmp_path / "raw"))

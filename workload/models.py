@@ -14,7 +14,7 @@ from tidemark.plans.marts import habits_metrics
 from tidemark.plans.semantic import ENGAGEMENT_CONTACTS, HABITS
 from tidemark.plans.staging import activities
 from tidemark.session import shared_dir, written
-from tidemark.sources.csv import read_csv
+from tidemark.sources.csv import read_csv, write_csv
 from workload.registry import query
 from workload.standins import RAW_SQL, given, raw, raw_for_duckdb
 
@@ -341,7 +341,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = []
     for dialect, escape in (("doubled", '"'), ("backslash", "\\")):
         path = shared_dir(spark, f"csv-{dialect}")
-        contacts.write.option("header", True).option("escape", escape).csv(path)
+        write_csv(contacts, path, escape)
         table = read_csv(spark, path, "hubspot__contacts", escape)
         read.append(table.select(F.lit(dialect).alias("dialect"), "*"))
     return read[0].unionByName(read[1])
