@@ -316,3 +316,22 @@ def test_anchors_of_a_text_are_made_once_and_cross_blocks(docs, monkeypatch):
 def test_fingerprints_are_native(docs):
     text = plan(fingerprints.fingerprints(docs([(1, "a b"), (2, "c")])))
     assert not [w for w in ("Python", "Pandas", "Arrow") if w in text]
+
+
+def test_texts_of_fingerprints_are_shuffled_once_in_blocks_by_number(docs, monkeypatch):
+    monkeypatch.setattr(fingerprints, "BLOCK_POINTS", 20)
+    texts = [f"text {i * i} of its own, " * (i % 4) for i in range(40)]
+    rows = [(None, "a"), (None, "b"), *[(i - 9, t) for i, t in enumerate(texts)], (50, "same"), (50, "same")]
+    shown = plan(fingerprints.fingerprints(docs(rows[:-1])))
+    assert shown.count("Exchange") == 1 and "Join" not in shown
+    for kind in ("long", "string", "double", "date"):
+        ids = F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id").cast("int")) if kind == "date" else F.col("doc_id").cast(kind)
+        df = docs(rows).withColumn("doc_id", ids)
+        ordered = [r.text for r in df.distinct().orderBy("doc_id", F.xxhash64("text")).collect()]
+        found = fingerprints.fingerprints(df)
+        expected = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for t, n in zip(ordered, ordered[1:] + ordered[:1], strict=True)]
+        assert sorted(r.edited for r in found.select("edited").distinct().collect()) == sorted(set(expected))
+        assert found.count() == len(rows)
+        places = df.distinct().select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), F.char_length("text").alias("n"))
+        # However many code points there are, the blocks are a few for each of 4 partitions.
+        assert 4 < fingerprints.block_starts(places, places.agg(F.sum(F.col("n") + 1)).first()[0])[1] <= 20
