@@ -17,6 +17,7 @@ from tidemark.plans.build import (
     all_passed,
     build,
     check_report,
+    models_to_check,
     publish,
     raw_tables,
     write_models,
@@ -227,6 +228,17 @@ def test_check_report(raw, models):
     assert results.filter(F.col("model").isin(*MODEL_CHECKS)).count() == declared
 
 
+def test_checks_write_what_is_read_again_only(raw, models, tmp_path):
+    checked = models_to_check(raw, str(tmp_path))
+    assert rows(check_report(raw, checked)) == rows(check_report(raw, models))
+    kept = {p.name for p in tmp_path.iterdir()}
+    assert not kept & {"int_habits_unpivoted", "habits_v1", "habits_metrics_v1", "stg_hubspot__engagements"}
+    assert {"base_hubspot__engagements", "stg_notion__daily_habits", "stg_fitbit__activities"} <= kept
+    assert set(MODEL_CHECKS) <= set(checked)
+    assert "contact_id" in checked["engagement_contacts_v1"].columns
+    assert "body_preview" not in checked["engagement_contacts_v1"].columns
+
+
 def test_publish(spark, raw, tmp_path):
     publish(spark, raw, folder=str(tmp_path))
     published = publish(spark, raw, folder=str(tmp_path))  # a rebuild replaces the tables

@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
 
-from tidemark.plans.build import all_passed, check_report, publish, raw_tables, write_models
+from tidemark.plans.build import all_passed, check_report, models_to_check, publish, raw_tables
 from tidemark.session import get_session, shared_dir
 from tidemark.sources.load import load_resource
 from tidemark.sources.pages import BASE_DATE
@@ -74,7 +74,7 @@ def main() -> int:
     if args.job == "build":
         publish(spark, raw, args.database, args.tables)
         return 0
-    results = check_report(raw, write_models(raw, shared_dir(spark, "models"))).cache()
+    results = check_report(raw, models_to_check(raw, shared_dir(spark, "models"))).cache()
     results.show(1000, truncate=False)
     return 0 if all_passed(results) else 1
 

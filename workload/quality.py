@@ -23,7 +23,7 @@ from tidemark.operators.quality import (
     unique,
 )
 from tidemark.plans.checks import MODEL_CHECKS, SOURCE_CHECKS
-from tidemark.plans.build import check_report, write_models
+from tidemark.plans.build import check_report, models_to_check
 from workload.models import MODEL_SQL, models, with_models
 from workload.operators import overlap_sql
 from workload.registry import SQL, query
@@ -243,7 +243,7 @@ def _suite_sql() -> str:
 def dq_model_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared check on every source table and model, over the stand-ins."""
     sources = {n: raw(spark, sf_dir, n) for n in RAW_SQL}
-    return check_report(sources, write_models(sources, shared_dir(spark, "models")))
+    return check_report(sources, models_to_check(sources, shared_dir(spark, "models")))
 
 
 @query(
