@@ -335,3 +335,39 @@ def test_texts_of_fingerprints_are_shuffled_once_in_blocks_by_number(docs, monke
         places = df.distinct().select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), F.char_length("text").alias("n"))
         # However many code points there are, the blocks are a few for each of 4 partitions.
         assert 4 < fingerprints.block_starts(places, places.agg(F.sum(F.col("n") + 1)).first()[0])[1] <= 20
+
+
+def test_blocks_of_fingerprints_are_bounded_however_few_shuffle_partitions_there_are(docs, monkeypatch):
+    rows = [(i, f"text {i * i} of its own, " * (1 + i % 4)) for i in range(200)]
+    whole = sorted(fingerprints.fingerprints(docs(rows), in_place=True).collect())
+    monkeypatch.setattr(fingerprints, "BLOCK_POINTS", 20)
+    monkeypatch.setattr(fingerprints, "MOST_POINTS", 300, raising=False)
+    points = sum(len(t) + 1 for _, t in rows)
+    longest = max(len(t) + 1 for _, t in rows)
+    places = docs(rows).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), F.char_length("text").alias("n"))
+    count = fingerprints.block_starts(places, points)[1]
+    assert points // 300 <= count <= points // 300 + 1 + 4  # of 4 partitions, each begins a block
+    found = fingerprints.fingerprints(docs(rows), in_place=True)
+    assert sorted(found.collect()) == whole
+    # A task has a few blocks, and there are more tasks than shuffle partitions.
+    tasks = found.groupBy(F.spark_partition_id()).agg(F.sum(F.col("n_chars") + 1).alias("points")).collect()
+    assert len(tasks) > 4
+    assert max(t.points for t in tasks) <= (fingerprints.BLOCKS + 1) * (300 + longest)
+
+
+def test_only_texts_of_repeated_rows_are_shuffled_before_those_of_fingerprints(docs, monkeypatch):
+    rows = [(i, f"text {i * i} of its own, " * (i % 4)) for i in range(60)]
+    texts = dict(rows)
+    repeated = [(7, texts[7]), (7, texts[7]), (None, "a"), (None, "a"), (9, "another"), (None, "b")]
+    marked, with_mark = [], getattr(fingerprints, "with_mark", None)
+    monkeypatch.setattr(fingerprints, "with_mark", lambda *args: marked.append(with_mark(*args)) or marked[-1], raising=False)
+    found = fingerprints.fingerprints(docs(rows + repeated)).collect()
+    assert [sorted((str(r.id), r.text) for r in df.filter("again").collect()) for df in marked] == [
+        [("7", texts[7])] * 3 + [("None", "a")] * 2
+    ]
+    assert len(found) == len(rows) + len(repeated)
+    ids = [r.doc_id for r in found]
+    assert (ids.count(7), ids.count(None), ids.count(9)) == (3, 3, 2)
+    assert len({(r.edited, r.near_next) for r in found if r.doc_id == 7}) == 1
+    once = {r.doc_id: r.edited for r in found if r.doc_id not in (7, 9, None)}
+    assert all(once[i] == t[: len(t) - len(t) // 2] + texts[i + 1][: len(t) // 2] for i, t in rows[:-1] if i not in (7, 8, 9))
